@@ -1,8 +1,9 @@
 from .text import (
-    any_word, keep_letters, lower_case, moment, shape_of, strip_punctuation, white_split, word_count,
+    any_word, keep_letters, lower_case, moment, settle, shape_of, strip_punctuation, white_split,
+    word_count,
 )
 
 __all__ = [
-    "any_word", "keep_letters", "lower_case", "moment", "shape_of", "strip_punctuation",
+    "any_word", "keep_letters", "lower_case", "moment", "settle", "shape_of", "strip_punctuation",
     "white_split", "word_count",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from string import ascii_lowercase
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import ACCENTED_LETTERS
 
@@ -67,3 +67,14 @@ def shape_of(token, shapes: Iterable[tuple[str, str]], other: str) -> Column:
     for pattern, value in shapes[1:]:
         picked = picked.when(token.rlike(pattern), value)
     return picked.otherwise(other)
+
+
+def settle(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row, whatever reads it later.
+
+    A plain column is an expression the optimizer may copy into its readers: into a filter that
+    is pushed below it, or into a lambda, where it would run once per array element. A generator
+    of one row per row is a boundary neither crosses.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*others, F.inline_outer(F.array(F.struct(value.alias(name)))))

@@ -5,7 +5,7 @@ from .entities import (
 )
 from .keywords import keyword_counts, pos_frequencies, token_counts
 from .lexicon import (
-    embed, lemmatize, lookup, pos_tag, pos_words, train_embeddings, train_pos_lexicon,
+    annotate, embed, lemmatize, lookup, pos_tag, pos_words, train_pos_lexicon,
 )
 from .messages import article_lines, flatten_articles, to_messages
 from .phrases import match_phrases, ner_tag, normalize_gazetteer

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import settle
 from .phrases import OUTSIDE
 
 CHUNKS = "array<struct<result:string,metadata:map<string,string>>>"
@@ -45,4 +46,4 @@ def iob_to_chunks(
     spans = F.arrays_zip(
         F.filter(positions, begins).alias("first"), F.filter(positions, ends).alias("last")
     )
-    return df.withColumn(out, F.transform(spans, chunk).cast(CHUNKS))
+    return settle(df, out, F.transform(spans, chunk).cast(CHUNKS))

@@ -16,7 +16,7 @@ def annotate_entities(
 ) -> DataFrame:
     """Text to (id, text, token, ner, entities)."""
     tokens = tokenize(assemble(df, text_col, id_col))
-    return iob_to_chunks(ner_tag(tokens, gazetteer, id_col=id_col, **ner_args))
+    return iob_to_chunks(ner_tag(tokens, gazetteer, **ner_args))
 
 
 def entity_pairs(annotated: DataFrame, entities_col: str = "entities", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -38,11 +38,10 @@ def extract_entities(
     gazetteer: DataFrame | None = None,
     as_of=None,
     source: str = ARTICLE_SOURCE,
-    id_col: str | None = "doc_id",
     **ner_args,
 ) -> DataFrame:
     """Entity rows of a batch or stream of texts, names of one character left out."""
-    pairs = entity_pairs(annotate_entities(df, text_col, gazetteer, id_col, **ner_args))
+    pairs = entity_pairs(annotate_entities(df, text_col, gazetteer, None, **ner_args))
     return pairs.where(F.col("entity").isNotNull() & (F.length("entity") > 1)).select(
         F.col("entity").alias("entity_name"),
         "entity_type",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import POS_OTHER, POS_SHAPES, POS_WORDS
-from ..functions import shape_of
+from ..functions import settle, shape_of
 
 BROADCAST_ROWS = 200_000
 SALTS = 16
@@ -79,36 +79,28 @@ def embed(rows: DataFrame, vectors: DataFrame, token_col: str = "token", **looku
     return lookup(rows, entries, token_col, **{"broadcast_rows": 20_000, **lookup_args})
 
 
-def train_embeddings(
-    df: DataFrame, tokens_col: str = "token", size: int = 100, partitions: int | None = None, **params
-) -> DataFrame:
-    """(token, vector) trained on the corpus, for use with `embed`."""
-    from pyspark.ml.feature import Word2Vec
-
-    tasks = partitions or df.sparkSession.sparkContext.defaultParallelism
-    model = Word2Vec(
-        vectorSize=size, inputCol=tokens_col, outputCol="_doc", numPartitions=tasks, seed=1, **params
-    ).fit(df)
-    return model.getVectors().withColumnRenamed("word", "token")
+def content_key(tokens: str) -> Column:
+    """A key for the content of a token array; equal arrays have equal keys."""
+    return F.sha2(F.array_join(tokens, " "), 256)
 
 
 def annotate(
-    df: DataFrame, lexicon: DataFrame, tagger, value_col: str, tokens_col: str, out: str, id_col: str,
+    df: DataFrame, lexicon: DataFrame, tagger, value_col: str, tokens_col: str = "token", out: str = "pos",
     **lookup_args,
 ) -> DataFrame:
-    """Run a token-row tagger over token arrays and put its values back as an array per document.
+    """Run a token-row tagger over token arrays and put its values back, one array per document.
 
-    `id_col` must name each document once. Only ids, positions and values are shuffled.
+    The values depend on the tokens alone, so they are put together per distinct content: copies
+    of a document combine before the shuffle, and no id is needed. Only keys, positions and
+    values are grouped.
     """
-    rows = df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
+    keyed = settle(df, "_key", content_key(tokens_col))
+    rows = keyed.select("_key", F.posexplode(tokens_col).alias("pos", "token"))
     values = (
         tagger(rows, lexicon, **lookup_args)
-        .groupBy(id_col)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", F.col(value_col).alias("value")))).alias("_values"))
+        .groupBy("_key")
+        .agg(F.array_sort(F.collect_set(F.struct("pos", F.col(value_col).alias("value")))).alias("_values"))
     )
     none = F.array().cast(values.schema["_values"].dataType)
-    return (
-        df.join(values, id_col, "left")
-        .withColumn(out, F.coalesce("_values", none)["value"])
-        .drop("_values")
-    )
+    found = keyed.join(values, "_key", "left")
+    return settle(found, out, F.coalesce("_values", none)["value"]).drop("_key", "_values")

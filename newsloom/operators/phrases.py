@@ -13,7 +13,8 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import EN_STOP, NAME_SHAPE, NAME_TYPE
-from .lexicon import fits, lookup
+from ..functions import settle
+from .lexicon import content_key, lookup
 
 OUTSIDE = "O"
 INLINE_PHRASES = 2_000
@@ -55,31 +56,35 @@ def _inline_code(tokens: str, entries, symbols) -> Column:
     return F.array_join(F.transform(tokens, at), "")
 
 
-def _joined_code(df: DataFrame, tokens: str, id_col: str, gazetteer: DataFrame, symbols) -> DataFrame:
-    """The match code by joining n-grams with a gazetteer too large for the plan."""
+def _joined_code(df: DataFrame, tokens: str, gazetteer: DataFrame, symbols) -> DataFrame:
+    """The match code by joining n-grams with a gazetteer too large for the plan.
+
+    Matches depend on the tokens alone, so they are put together per distinct content: copies of
+    a document combine before the shuffle, and no id is needed.
+    """
     longest = max(n for n, _ in symbols)
     kinds = df.sparkSession.createDataFrame(
         [(n, kind, symbol) for (n, kind), symbol in symbols.items()], "n int, entity_type string, symbol string"
     )
     entries = gazetteer.join(F.broadcast(kinds), ["n", "entity_type"]).select("phrase", "symbol")
     first_words = gazetteer.select(F.split("phrase", " ")[0].alias("first")).distinct()
-    windows = df.select(
-        id_col,
+    keyed = settle(df, "_key", content_key(tokens))
+    windows = keyed.select(
+        "_key",
         F.posexplode(F.transform(tokens, lambda _, i: F.slice(tokens, i + 1, longest))).alias("pos", "words"),
     ).withColumn("first", F.col("words")[0])
     grams = (
         lookup(windows, first_words, "first", "inner")
-        .select(id_col, "pos", "words", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("n"))
-        .select(id_col, "pos", "n", F.array_join(F.slice("words", F.lit(1), F.col("n")), " ").alias("phrase"))
+        .select("_key", "pos", "words", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("n"))
+        .select("_key", "pos", "n", F.array_join(F.slice("words", F.lit(1), F.col("n")), " ").alias("phrase"))
     )
     hits = (
         lookup(grams, entries, "phrase", "inner")
-        .groupBy(id_col)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", (-F.col("n")).alias("by"), "symbol"))).alias("_all"))
-        .withColumn(
-            "_hits",
-            F.filter("_all", lambda hit, i: (i == 0) | (hit["pos"] != F.get("_all", i - 1)["pos"])),
-        )
+        .groupBy("_key")
+        .agg(F.array_sort(F.collect_set(F.struct("pos", (-F.col("n")).alias("by"), "symbol"))).alias("_all"))
+    )
+    hits = settle(
+        hits, "_hits", F.filter("_all", lambda hit, i: (i == 0) | (hit["pos"] != F.get("_all", i - 1)["pos"]))
     )
     gaps = F.transform(
         "_hits",
@@ -88,9 +93,9 @@ def _joined_code(df: DataFrame, tokens: str, id_col: str, gazetteer: DataFrame,
             hit["symbol"],
         ),
     )
-    codes = hits.select(id_col, F.array_join(gaps, "").alias("_hit_code"))
+    codes = hits.select("_key", F.array_join(gaps, "").alias("_hit_code"))
     whole = F.rpad(F.coalesce("_hit_code", F.lit("")), F.size(tokens), F.lit(_NO_MATCH))
-    return df.join(codes, id_col, "left").withColumn("_code", whole).drop("_hit_code")
+    return settle(keyed.join(codes, "_key", "left"), "_code", whole).drop("_key", "_hit_code")
 
 
 def _tags(symbols) -> Column:
@@ -112,27 +117,26 @@ def match_phrases(
     df: DataFrame,
     gazetteer: DataFrame,
     tokens_col: str = "token",
-    id_col: str = "doc_id",
     out: str = "ner",
     inline_phrases: int = INLINE_PHRASES,
 ) -> DataFrame:
     """Add IOB tags for the leftmost-longest phrases of a (phrase, entity_type) gazetteer.
 
     Up to `inline_phrases` phrases go into the plan and no row moves. A larger gazetteer is
-    joined with the n-grams of the documents; `id_col` must then name each document once.
+    joined with the n-grams of the documents.
     """
     phrases = normalize_gazetteer(gazetteer)
-    if fits(phrases, inline_phrases):
-        entries = [tuple(row) for row in phrases.collect()]
+    entries = [tuple(row) for row in phrases.limit(inline_phrases + 1).collect()]
+    if len(entries) <= inline_phrases:
         symbols = _symbols({(n, kind) for _, kind, n in entries})
         if not entries:
-            return df.withColumn(out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
-        coded = df.withColumn("_code", _inline_code(tokens_col, entries, symbols))
+            return settle(df, out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
+        coded = settle(df, "_code", _inline_code(tokens_col, entries, symbols))
     else:
         kinds = phrases.select("n", "entity_type").distinct().collect()
         symbols = _symbols({tuple(kind) for kind in kinds})
-        coded = _joined_code(df, tokens_col, id_col, phrases, symbols)
-    return coded.withColumn(out, _tags(symbols)).drop("_code")
+        coded = _joined_code(df, tokens_col, phrases, symbols)
+    return settle(coded, out, _tags(symbols)).drop("_code")
 
 
 def is_name(tokens_col: str, tags_col: str, ignore=EN_STOP) -> Column:
@@ -148,7 +152,6 @@ def ner_tag(
     df: DataFrame,
     gazetteer: DataFrame | None = None,
     tokens_col: str = "token",
-    id_col: str = "doc_id",
     out: str = "ner",
     names: bool = True,
     ignore=EN_STOP,
@@ -157,19 +160,17 @@ def ner_tag(
 ) -> DataFrame:
     """Add one IOB tag per token: gazetteer phrases first, then capitalised words."""
     if gazetteer is not None:
-        df = match_phrases(df, gazetteer, tokens_col, id_col, out, **match_args)
+        df = match_phrases(df, gazetteer, tokens_col, out, **match_args)
     else:
-        df = df.withColumn(out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
+        df = settle(df, out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
     if not names:
         return df
     begin, inside = f"B-{entity_type}", f"I-{entity_type}"
-    tagged = df.withColumn("_name", is_name(tokens_col, out, ignore))
-    return tagged.withColumn(
+    tagged = settle(df, "_name", is_name(tokens_col, out, ignore))
+    merged = F.transform(
         out,
-        F.transform(
-            out,
-            lambda tag, i: F.when(~F.get("_name", i), tag)
-            .when(F.coalesce(F.get("_name", i - 1), F.lit(False)), inside)
-            .otherwise(begin),
-        ),
-    ).drop("_name")
+        lambda tag, i: F.when(~F.get("_name", i), tag)
+        .when(F.coalesce(F.get("_name", i - 1), F.lit(False)), inside)
+        .otherwise(begin),
+    )
+    return settle(tagged, out, merged).drop("_name")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions import settle
 from .lexicon import SALTS, lemmatize
+from .tokens import drop_stopwords
 
 NUM_FEATURES = 1000
 
@@ -29,18 +31,13 @@ def tfidf(df: DataFrame, terms_col: str = "finished_lemma", num_features: int =
 def term_frequencies(df: DataFrame, id_col: str = "doc_id", terms_col: str = "token") -> DataFrame:
     """(id, term, tf) of each document, counted inside the row: the terms are sorted and each run
     of equal terms is one row, so nothing is shuffled."""
-    runs = (
-        df.select(id_col, F.sort_array(terms_col).alias("_terms"))
-        .withColumn("_size", F.size("_terms"))
-        .where(F.col("_size") > 0)
-        .withColumn(
-            "_starts",
-            F.filter(
-                F.sequence(F.lit(0), F.col("_size") - 1),
-                lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1)),
-            ),
-        )
+    runs = settle(df.select(id_col, terms_col), "_terms", F.sort_array(terms_col)).select(id_col, "_terms")
+    runs = runs.withColumn("_size", F.size("_terms")).where(F.col("_size") > 0)
+    starts = F.filter(
+        F.sequence(F.lit(0), F.col("_size") - 1),
+        lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1)),
     )
+    runs = settle(runs, "_starts", starts)
     counted = F.transform(
         "_starts",
         lambda start, i: F.struct(
@@ -56,14 +53,19 @@ def term_tfidf(
     id_col: str = "doc_id",
     terms_col: str = "token",
     lexicon: DataFrame | None = None,
+    stopwords: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """(id, term, tf, df, tfidf) with tfidf = tf * ln((m + 1) / (df + 1)).
 
+    `stopwords` is a table of words to leave out, `lexicon` a (token, lemma) table.
+
     The document frequencies are as long as the vocabulary, so they are not broadcast: they are
     joined on (term, salt), where a frequent term is spread over `salts` tasks.
     """
     tf = term_frequencies(df, id_col, terms_col)
+    if stopwords is not None:
+        tf = drop_stopwords(tf, stopwords, "term")
     if lexicon is not None:
         tf = (
             lemmatize(tf, lexicon, "term")

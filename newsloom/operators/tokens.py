@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import EN_STOP
-from ..functions import strip_punctuation, white_split
+from ..functions import settle, strip_punctuation, white_split
 
 
 def assemble(df: DataFrame, text_col: str = "text", id_col: str | None = "doc_id") -> DataFrame:
@@ -23,7 +23,7 @@ def tokens_of(text) -> Column:
 
 
 def tokenize(df: DataFrame, text_col: str = "text", out: str = "token") -> DataFrame:
-    return df.withColumn(out, tokens_of(text_col))
+    return settle(df, out, tokens_of(text_col))
 
 
 def token_rows(df: DataFrame, id_col: str = "doc_id", tokens_col: str = "token") -> DataFrame:
@@ -36,7 +36,7 @@ def remove_stopwords(
     """Drop listed words from the token arrays, whatever their case. The list is part of the
     plan; a word list that lives in a table goes to `drop_stopwords`."""
     listed = [w.lower() for w in words]
-    return df.withColumn(out, F.filter(tokens_col, lambda token: ~F.lower(token).isin(listed)))
+    return settle(df, out, F.filter(tokens_col, lambda token: ~F.lower(token).isin(listed)))
 
 
 def drop_stopwords(rows: DataFrame, words: DataFrame, token_col: str = "token") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..fixed_values import ARTICLE_SOURCE, OTHER_TOPIC, TOPIC_RULES
-from ..functions import any_word, lower_case
+from ..functions import any_word, lower_case, settle
 
 _LOWERED = "_lowered"
 
@@ -27,11 +27,7 @@ def classify_topic(
     for name, words in rules:
         found = any_word(_LOWERED, words, whole_word)
         topic = F.when(found, name) if topic is None else topic.when(found, name)
-    return (
-        df.withColumn(_LOWERED, lower_case(text_col))
-        .withColumn(out, topic.otherwise(other))
-        .drop(_LOWERED)
-    )
+    return settle(df.withColumn(_LOWERED, lower_case(text_col)), out, topic.otherwise(other)).drop(_LOWERED)
 
 
 def topic_counts(df: DataFrame, topic_col: str = "detected_topic") -> DataFrame:

@@ -53,7 +53,7 @@ def spread(df: DataFrame) -> DataFrame:
     is only added where the whole input is small beside the cluster.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size >= cores * SMALL_TASK_BYTES:
         return df
     tasks = min(cores, math.ceil(size / MIN_TASK_BYTES))

@@ -66,7 +66,6 @@ def entity_query(
     gazetteer: DataFrame | None = None,
     text_col: str = "value",
     every: str | None = ARTICLES_EVERY,
-    id_col: str | None = None,
     as_of=None,
     **ner_args,
 ) -> StreamingQuery:
@@ -76,7 +75,7 @@ def entity_query(
         article_sink(enrich_articles(batch, text_col, ts=as_of), batch_id)
 
     def entities(batch: DataFrame, batch_id: int) -> None:
-        entity_sink(extract_entities(batch, text_col, gazetteer, as_of, id_col=id_col, **ner_args), batch_id)
+        entity_sink(extract_entities(batch, text_col, gazetteer, as_of, **ner_args), batch_id)
 
     return start(lines, [articles, entities], checkpoint, "append", every)
 
