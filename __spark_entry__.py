@@ -53,6 +53,13 @@ def _classified(spark, sf_dir, **args):
     return classify_topic(_documents(spark, sf_dir), "text", **args)
 
 
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    """A lexicon of the corpus as a table in the shared folder, as lexicons come."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _names(spark, sf_dir):
     """Documents with their runs of capitalised words."""
     return annotate_entities(_documents(spark, sf_dir), "text")
@@ -75,7 +82,7 @@ def _plurals(spark, sf_dir):
     """A (token, lemma) lexicon of the corpus: a word and the same word with an s."""
     words = token_counts(_tokens(spark, sf_dir)).select("token")
     singular = words.select(F.col("token").alias("lemma"), F.concat("token", F.lit("s")).alias("token"))
-    return words.join(singular, "token").select("token", "lemma")
+    return _saved(words.join(singular, "token").select("token", "lemma"), "plurals")
 
 
 def _vectors(spark, sf_dir):
@@ -88,7 +95,7 @@ def _vectors(spark, sf_dir):
         .where(F.col("token").rlike(r"^\p{Ll}"))
         .select("token", F.pmod(number, count).alias("vec_id"))
     )
-    return words.join(table, "vec_id").select("token", F.col("embedding").alias("vector"))
+    return _saved(words.join(table, "vec_id").select("token", F.col("embedding").alias("vector")), "vectors")
 
 
 def _articles(spark, sf_dir):

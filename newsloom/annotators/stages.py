@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..fixed_values import EN_STOP
 from ..functions import settle
 from ..operators.chunks import CHUNKS, iob_to_chunks
-from ..operators.lexicon import annotate, embed, lemmatize, pos_tag
+from ..operators.lexicon import lemma_arrays, tag_arrays, vector_arrays
 from ..operators.phrases import ner_tag
 from ..operators.tfidf import NUM_FEATURES
 from ..operators.tokens import finish, remove_stopwords, tokens_of
@@ -84,22 +84,19 @@ class _LexiconStage(_Stage):
         super().__init__(inputCol, outputCol)
         self.lexicon = lexicon
 
-    def _looked_up(self, df, tagger, value_col):
-        return annotate(self._tokens(df), self.lexicon, tagger, value_col, _TOKENS, _VALUES)
-
 
 class PosTagger(_LexiconStage):
     adds = "pos"
 
     def _transform(self, df):
-        return self._annotated(self._looked_up(df, pos_tag, "pos_tag"), _TOKENS)
+        return self._annotated(tag_arrays(self._tokens(df), self.lexicon, _TOKENS, _VALUES), _TOKENS)
 
 
 class Lemmatizer(_LexiconStage):
     reads, adds = "cleanTokens", "lemma"
 
     def _transform(self, df):
-        return self._annotated(self._looked_up(df, lemmatize, "lemma"))
+        return self._annotated(lemma_arrays(self._tokens(df), self.lexicon, _TOKENS, _VALUES))
 
 
 class Embedder(_LexiconStage):
@@ -108,8 +105,7 @@ class Embedder(_LexiconStage):
     adds = "word_embeddings"
 
     def _transform(self, df):
-        found = self._looked_up(df, embed, "vector")
-        return found.withColumnRenamed(_VALUES, self.getOutputCol()).drop(_TOKENS)
+        return vector_arrays(self._tokens(df), self.lexicon, _TOKENS, self.getOutputCol()).drop(_TOKENS)
 
 
 class EntityTagger(_Stage):

@@ -5,7 +5,7 @@ from .entities import (
 )
 from .keywords import keyword_counts, pos_frequencies, token_counts
 from .lexicon import (
-    annotate, embed, lemmatize, lookup, pos_tag, pos_words, train_pos_lexicon,
+    embed, lemma_arrays, lemmatize, lookup, pos_tag, pos_words, tag_arrays, train_pos_lexicon, vector_arrays,
 )
 from .messages import article_lines, flatten_articles, to_messages
 from .phrases import match_phrases, ner_tag, normalize_gazetteer

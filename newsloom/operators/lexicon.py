@@ -1,19 +1,43 @@
-"""Lookups of tokens in lexicon tables: part-of-speech tags, lemmas, embeddings."""
+"""Lookups of tokens in lexicon tables: part-of-speech tags, lemmas, embeddings.
+
+Token rows are joined with the lexicon. Token arrays are looked up where they are: a lexicon of a
+checked size travels to the tasks, and no token is shuffled.
+"""
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import POS_OTHER, POS_SHAPES, POS_WORDS
 from ..functions import settle, shape_of
 
 BROADCAST_ROWS = 200_000
-SALTS = 16
+BROADCAST_VECTORS = 20_000
+MOST_SALTS = 64
 
 
 def fits(table: DataFrame, rows: int) -> bool:
     """Whether the table has at most `rows` rows; looks at no more than that."""
-    return table.limit(rows + 1).count() <= rows
+    return rows > 0 and table.limit(rows + 1).count() <= rows
+
+
+def salts_for(spark: SparkSession) -> int:
+    """Over how many tasks to spread a key that may hold a large share of the rows: more on a
+    larger cluster, none where there are few tasks anyway."""
+    return max(1, min(MOST_SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+
+
+def salted_join(rows: DataFrame, table: DataFrame, on: str, how: str = "inner", salts: int | None = None) -> DataFrame:
+    """Equi-join of many rows with a table of one row per key, the rows of each key spread over
+    `salts` tasks and the table copied to each."""
+    salts = salts or salts_for(rows.sparkSession)
+    if salts == 1:
+        return rows.join(table, on, how)
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
 def lookup(
@@ -22,18 +46,13 @@ def lookup(
     on: str = "token",
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Join token rows with a lexicon that has one row per `on`.
-
-    A lexicon of a checked size is broadcast and the tokens stay where they are. A larger one
-    is shuffled with a salt, so that a word holding a third of all tokens goes to `salts` tasks.
-    """
+    """Join token rows with a lexicon that has one row per `on`: broadcast where its size is
+    checked, else shuffled with a salt, so that no word is a task of its own."""
     if fits(lexicon, broadcast_rows):
         return rows.join(F.broadcast(lexicon), on, how)
-    copies = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    return salted_join(rows, lexicon, on, how, salts)
 
 
 def train_pos_lexicon(tagged: DataFrame, token_col: str = "token", tag_col: str = "tag") -> DataFrame:
@@ -76,7 +95,7 @@ def lemmatize(rows: DataFrame, lexicon: DataFrame, token_col: str = "token", **l
 def embed(rows: DataFrame, vectors: DataFrame, token_col: str = "token", **lookup_args) -> DataFrame:
     """Add `vector`: the embedding of the token, null for unknown tokens."""
     entries = vectors.select(F.col("token").alias(token_col), "vector")
-    return lookup(rows, entries, token_col, **{"broadcast_rows": 20_000, **lookup_args})
+    return lookup(rows, entries, token_col, **{"broadcast_rows": BROADCAST_VECTORS, **lookup_args})
 
 
 def content_key(tokens: str) -> Column:
@@ -84,23 +103,71 @@ def content_key(tokens: str) -> Column:
     return F.sha2(F.array_join(tokens, " "), 256)
 
 
-def annotate(
-    df: DataFrame, lexicon: DataFrame, tagger, value_col: str, tokens_col: str = "token", out: str = "pos",
-    **lookup_args,
-) -> DataFrame:
-    """Run a token-row tagger over token arrays and put its values back, one array per document.
+def _carried(entries, value_type: str):
+    """A function that looks all tokens of a batch of arrays up in one vectorized pass."""
+    keys = entries.column(0).combine_chunks().cast(pa.string())
+    values = entries.column(1).combine_chunks()
+
+    @F.arrow_udf(f"array<{value_type}>")
+    def look(tokens: pa.Array) -> pa.Array:
+        found = values.take(pc.index_in(tokens.values.cast(pa.string()), value_set=keys))
+        missing = tokens.is_null() if tokens.null_count else None
+        return pa.ListArray.from_arrays(tokens.offsets, found, mask=missing)
 
-    The values depend on the tokens alone, so they are put together per distinct content: copies
-    of a document combine before the shuffle, and no id is needed. Only keys, positions and
-    values are grouped.
-    """
+    return look
+
+
+def _joined(df: DataFrame, entries: DataFrame, tokens_col: str, out: str) -> DataFrame:
+    """Values for token arrays by a join, for a lexicon too large to travel. They depend on the
+    tokens alone, so they are put together per distinct content: copies of a document combine
+    before the shuffle, and no id is needed."""
     keyed = settle(df, "_key", content_key(tokens_col))
-    rows = keyed.select("_key", F.posexplode(tokens_col).alias("pos", "token"))
+    rows = keyed.select("_key", F.posexplode(tokens_col).alias("_pos", "_token"))
     values = (
-        tagger(rows, lexicon, **lookup_args)
+        salted_join(rows, entries, "_token", "left")
         .groupBy("_key")
-        .agg(F.array_sort(F.collect_set(F.struct("pos", F.col(value_col).alias("value")))).alias("_values"))
+        .agg(F.array_sort(F.collect_set(F.struct("_pos", "_value"))).alias("_values"))
     )
-    none = F.array().cast(values.schema["_values"].dataType)
     found = keyed.join(values, "_key", "left")
-    return settle(found, out, F.coalesce("_values", none)["value"]).drop("_key", "_values")
+    none = F.array().cast(values.schema["_values"].dataType)
+    return settle(found, out, F.coalesce("_values", none)["_value"]).drop("_key", "_values")
+
+
+def look_up_arrays(
+    df: DataFrame, lexicon: DataFrame, value_col: str, tokens_col: str, out: str, carry_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Add an array with the lexicon's value of each token, null for unknown tokens."""
+    entries = lexicon.select(F.col("token").alias("_token"), F.col(value_col).alias("_value"))
+    carried = entries.limit(carry_rows + 1).toArrow() if carry_rows > 0 else None
+    if carried is None or carried.num_rows > carry_rows:
+        return _joined(df, entries, tokens_col, out)
+    look = _carried(carried, entries.schema["_value"].dataType.simpleString())
+    return settle(df.withColumn(out, look(tokens_col)), out, F.col(out))
+
+
+def _else(df: DataFrame, tokens_col: str, out: str, default) -> DataFrame:
+    """Fill unknown tokens' values with `default(token)`."""
+    pairs = F.arrays_zip(F.col(tokens_col).alias("token"), F.col(out).alias("value"))
+    return settle(df, out, F.transform(pairs, lambda z: F.coalesce(z["value"], default(z["token"]))))
+
+
+def tag_arrays(
+    df: DataFrame, lexicon: DataFrame, tokens_col: str = "token", out: str = "pos", shapes=POS_SHAPES, **args
+) -> DataFrame:
+    """`pos_tag` for token arrays."""
+    lowered = settle(df, "_lowered", F.transform(tokens_col, F.lower))
+    found = look_up_arrays(lowered, lexicon, "tag", "_lowered", out, **args).drop("_lowered")
+    return _else(found, tokens_col, out, lambda token: shape_tag(token, shapes))
+
+
+def lemma_arrays(df: DataFrame, lexicon: DataFrame, tokens_col: str = "token", out: str = "lemma", **args) -> DataFrame:
+    """`lemmatize` for token arrays."""
+    found = look_up_arrays(df, lexicon, "lemma", tokens_col, out, **args)
+    return _else(found, tokens_col, out, lambda token: token)
+
+
+def vector_arrays(
+    df: DataFrame, vectors: DataFrame, tokens_col: str = "token", out: str = "word_embeddings", **args
+) -> DataFrame:
+    """`embed` for token arrays."""
+    return look_up_arrays(df, vectors, "vector", tokens_col, out, **{"carry_rows": BROADCAST_VECTORS, **args})

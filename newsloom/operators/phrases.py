@@ -17,7 +17,7 @@ from ..functions import settle
 from .lexicon import content_key, lookup
 
 OUTSIDE = "O"
-INLINE_PHRASES = 2_000
+INLINE_PHRASES = 10_000
 _NO_MATCH = "0"
 _FIRST_SYMBOL = 0x4E00  # any run of letters without a meaning in a regex
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import settle
-from .lexicon import SALTS, lemmatize
+from .lexicon import lemmatize, salted_join
 from .tokens import drop_stopwords
 
 NUM_FEATURES = 1000
@@ -54,14 +54,14 @@ def term_tfidf(
     terms_col: str = "token",
     lexicon: DataFrame | None = None,
     stopwords: DataFrame | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """(id, term, tf, df, tfidf) with tfidf = tf * ln((m + 1) / (df + 1)).
 
     `stopwords` is a table of words to leave out, `lexicon` a (token, lemma) table.
 
     The document frequencies are as long as the vocabulary, so they are not broadcast: they are
-    joined on (term, salt), where a frequent term is spread over `salts` tasks.
+    joined with a salt that spreads a frequent term over tasks.
     """
     tf = term_frequencies(df, id_col, terms_col)
     if stopwords is not None:
@@ -77,8 +77,6 @@ def term_tfidf(
     weighted = frequencies.withColumn(
         "_idf", F.log((documents + 1).cast("double") / (F.col("df") + 1))
     )
-    copies = weighted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = tf.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
-    return salted.join(copies, ["term", "_salt"]).select(
+    return salted_join(tf, weighted, "term", salts=salts).select(
         id_col, "term", "tf", "df", (F.col("tf") * F.col("_idf")).alias("tfidf")
     )

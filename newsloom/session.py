@@ -17,6 +17,7 @@ SETTINGS = {
     # word-count state grows with the vocabulary: keep it off the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Below this many bytes per core a scan is spread over the cores before regex work.
@@ -57,4 +58,4 @@ def spread(df: DataFrame) -> DataFrame:
     if size >= cores * SMALL_TASK_BYTES:
         return df
     tasks = min(cores, math.ceil(size / MIN_TASK_BYTES))
-    return df.repartition(tasks) if tasks > 1 else df
+    return df.repartition(tasks, *df.columns) if tasks > 1 else df

@@ -11,15 +11,16 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from .files import Sink
 
 
-def fan_out(sinks: Sequence[Sink]) -> Callable[[DataFrame, int], None]:
+def fan_out(sinks: Sequence[Sink], keep: bool = False) -> Callable[[DataFrame, int], None]:
     """Hand each micro-batch that is not empty to all sinks in order.
 
-    With several sinks the batch is kept, so its source and work are not run again for each. An
-    error in a sink fails the query: the batch is not committed and is repeated on restart.
+    With several sinks, or with `keep` for a batch that is costly to make, the batch is kept, so
+    its work is not run again for each. An error in a sink fails the query: the batch is not
+    committed and is repeated on restart.
     """
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        shared = len(sinks) > 1
+        shared = keep or len(sinks) > 1
         if shared:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -44,7 +45,7 @@ def start(
     """Start a query into `sinks`, with a trigger interval like `"3 seconds"`, or over what is
     available now and then stop. The checkpoint is required: without it a restart loses its place."""
     listed = [sinks] if callable(sinks) else list(sinks)
-    return _writer(df, checkpoint, mode, every).foreachBatch(fan_out(listed)).start()
+    return _writer(df, checkpoint, mode, every).foreachBatch(fan_out(listed, mode != "append")).start()
 
 
 def start_lines(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

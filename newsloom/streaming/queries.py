@@ -15,7 +15,7 @@ from ..operators import (
     enrich_articles, article_lines, extract_entities, flatten_articles, topic_trends, trending_entities,
     word_cloud,
 )
-from ..sinks.batches import start, start_lines
+from ..sinks.batches import fan_out, start, start_lines
 
 ARTICLES_EVERY = "3 seconds"
 TOPICS_EVERY = "10 seconds"
@@ -96,8 +96,7 @@ def trending_query(
     def rank(batch: DataFrame, batch_id: int) -> None:
         entities = recent()
         trend = trending_entities(entities, as_of(entities) if as_of else None, **trend_args)
-        if not trend.isEmpty():
-            sink(trend, batch_id)
+        fan_out([sink], keep=True)(trend, batch_id)
 
     return start(lines, rank, checkpoint, "append", every)
 
