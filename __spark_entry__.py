@@ -271,7 +271,8 @@ def q_trending_entities_day(spark, sf_dir):
 
 
 def q_term_tfidf(spark, sf_dir):
-    weighted = term_tfidf(remove_stopwords(_tokens(spark, sf_dir)), terms_col="cleanTokens")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    weighted = term_tfidf(remove_stopwords(_tokens(spark, sf_dir)), terms_col="cleanTokens", documents=documents)
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 

@@ -22,17 +22,12 @@ from ..operators.tokens import finish, remove_stopwords, tokens_of
 _TOKENS, _VALUES = "_tokens", "_values_out"
 
 
-def annotations(values, words: str | None = None) -> Column:
-    """Texts as annotations; with `words`, the word each text is about goes to the metadata."""
-    def one(value, i):
-        about = (
-            F.map_from_arrays(F.array(), F.array())
-            if words is None
-            else F.create_map(F.lit("word"), F.get(words, i))
-        )
-        return F.struct(value.alias("result"), about.cast("map<string,string>").alias("metadata"))
-
-    return F.transform(values, one).cast(CHUNKS)
+def annotations(values) -> Column:
+    """Texts as annotations without metadata."""
+    return F.transform(
+        values,
+        lambda value: F.struct(value.alias("result"), F.lit(None).cast("map<string,string>").alias("metadata")),
+    ).cast(CHUNKS)
 
 
 class _Stage(Transformer, HasInputCol, HasOutputCol):
@@ -45,8 +40,8 @@ class _Stage(Transformer, HasInputCol, HasOutputCol):
     def _tokens(self, df: DataFrame) -> DataFrame:
         return settle(df, _TOKENS, F.col(f"{self.getInputCol()}.result"))
 
-    def _annotated(self, df: DataFrame, words: str | None = None) -> DataFrame:
-        return settle(df, self.getOutputCol(), annotations(_VALUES, words)).drop(_TOKENS, _VALUES)
+    def _annotated(self, df: DataFrame) -> DataFrame:
+        return settle(df, self.getOutputCol(), annotations(_VALUES)).drop(_TOKENS, _VALUES)
 
 
 class TextAssembler(_Stage):
@@ -89,7 +84,7 @@ class PosTagger(_LexiconStage):
     adds = "pos"
 
     def _transform(self, df):
-        return self._annotated(tag_arrays(self._tokens(df), self.lexicon, _TOKENS, _VALUES), _TOKENS)
+        return self._annotated(tag_arrays(self._tokens(df), self.lexicon, _TOKENS, _VALUES))
 
 
 class Lemmatizer(_LexiconStage):
@@ -119,7 +114,7 @@ class EntityTagger(_Stage):
 
     def _transform(self, df):
         tagged = ner_tag(self._tokens(df), self.gazetteer, _TOKENS, _VALUES, **self.ner_args)
-        return self._annotated(tagged, _TOKENS)
+        return self._annotated(tagged)
 
 
 class Chunker(_Stage):
@@ -158,19 +153,23 @@ def news_stages(
     stopwords=EN_STOP,
     num_features: int = NUM_FEATURES,
 ) -> list:
-    """The stages of the batch analysis in order. Tags and entities read all tokens, lemmas and
-    features the tokens that are no stop words."""
+    """The stages of the batch analysis. Tags and entities read all tokens, lemmas and features the
+    tokens that are no stop words.
+
+    Fitting only runs the stages up to the last one that learns from the corpus, so those that
+    the features do not need come after it.
+    """
     embedder = [] if vectors is None else [Embedder(vectors)]
     return [
         TextAssembler(),
         Tokenizer(),
-        PosTagger(pos_lexicon),
         StopWords(words=stopwords),
         Lemmatizer(lemma_lexicon),
-        *embedder,
-        EntityTagger(gazetteer),
-        Chunker(),
         Finisher(),
         HashingTF(inputCol="finished_lemma", outputCol="rawFeatures", numFeatures=num_features),
         IDF(inputCol="rawFeatures", outputCol="features"),
+        PosTagger(pos_lexicon),
+        *embedder,
+        EntityTagger(gazetteer),
+        Chunker(),
     ]

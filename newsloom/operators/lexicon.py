@@ -31,13 +31,18 @@ def salts_for(spark: SparkSession) -> int:
 
 def salted_join(rows: DataFrame, table: DataFrame, on: str, how: str = "inner", salts: int | None = None) -> DataFrame:
     """Equi-join of many rows with a table of one row per key, the rows of each key spread over
-    `salts` tasks and the table copied to each."""
+    `salts` tasks and the table copied to each.
+
+    The hint keeps the optimizer from broadcasting either side: it takes rows that come out of a
+    generator for much smaller than they are. A merge join spills, and is split further at run
+    time where a partition is still too large.
+    """
     salts = salts or salts_for(rows.sparkSession)
     if salts == 1:
-        return rows.join(table, on, how)
+        return rows.join(table.hint("merge"), on, how)
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
 def lookup(
@@ -64,10 +69,13 @@ def train_pos_lexicon(tagged: DataFrame, token_col: str = "token", tag_col: str
 
 def pos_words(spark: SparkSession, words=POS_WORDS) -> DataFrame:
     """The built-in closed-class lexicon as a (token, tag) table."""
-    pairs = [(token, tag) for tag, tokens in words.items() for token in tokens]
-    return spark.createDataFrame(pairs, "token string, tag string").groupBy("token").agg(
-        F.min("tag").alias("tag")
-    )
+    pairs = [
+        F.struct(F.lit(token).alias("token"), F.lit(tag).alias("tag"))
+        for tag, tokens in words.items()
+        for token in tokens
+    ]
+    table = spark.range(1).select(F.inline(F.array(*pairs)))
+    return table.groupBy("token").agg(F.min("tag").alias("tag"))
 
 
 def shape_tag(token, shapes=POS_SHAPES, other: str = POS_OTHER) -> Column:

@@ -54,28 +54,34 @@ def term_tfidf(
     terms_col: str = "token",
     lexicon: DataFrame | None = None,
     stopwords: DataFrame | None = None,
+    documents: DataFrame | None = None,
     salts: int | None = None,
 ) -> DataFrame:
     """(id, term, tf, df, tfidf) with tfidf = tf * ln((m + 1) / (df + 1)).
 
-    `stopwords` is a table of words to leave out, `lexicon` a (token, lemma) table.
+    `stopwords` is a table of words to leave out, `lexicon` a (token, lemma) table. `documents` is
+    a table with as many rows as `df` that is cheaper to count, such as the one `df` was made of.
 
     The document frequencies are as long as the vocabulary, so they are not broadcast: they are
     joined with a salt that spreads a frequent term over tasks.
     """
+    terms = df.select(F.explode(F.array_distinct(terms_col)).alias("term"))
     tf = term_frequencies(df, id_col, terms_col)
     if stopwords is not None:
         tf = drop_stopwords(tf, stopwords, "term")
+        terms = drop_stopwords(terms, stopwords, "term")
     if lexicon is not None:
         tf = (
             lemmatize(tf, lexicon, "term")
             .groupBy(id_col, F.col("lemma").alias("term"))
             .agg(F.sum("tf").cast("int").alias("tf"))
         )
-    documents = df.agg(F.count("*").alias("m")).scalar()
-    frequencies = tf.groupBy("term").agg(F.count("*").alias("df"))
-    weighted = frequencies.withColumn(
-        "_idf", F.log((documents + 1).cast("double") / (F.col("df") + 1))
+        terms = tf
+    m = (df if documents is None else documents).agg(F.count("*").alias("m")).scalar()
+    weighted = (
+        terms.groupBy("term")
+        .agg(F.count("*").alias("df"))
+        .withColumn("_idf", F.log((m + 1).cast("double") / (F.col("df") + 1)))
     )
     return salted_join(tf, weighted, "term", salts=salts).select(
         id_col, "term", "tf", "df", (F.col("tf") * F.col("_idf")).alias("tfidf")

@@ -34,9 +34,9 @@ def batch_results(
         annotated.write.mode("overwrite").parquet(annotated_path)
         annotated = corpus.sparkSession.read.parquet(annotated_path)
     if isinstance(stopwords, DataFrame):
-        tfidf = term_tfidf(annotated, lexicon=lemma_lexicon, stopwords=stopwords)
+        tfidf = term_tfidf(annotated, lexicon=lemma_lexicon, stopwords=stopwords, documents=corpus)
     else:
-        tfidf = term_tfidf(remove_stopwords(annotated, stopwords, out="token"), lexicon=lemma_lexicon)
+        tfidf = term_tfidf(remove_stopwords(annotated, stopwords, out="token"), lexicon=lemma_lexicon, documents=corpus)
     return {
         "top_entities": entity_counts(annotated),
         "entity_counts": entity_type_counts(annotated, date),
