@@ -430,13 +430,12 @@ _GAZETTEER = f"""gazetteer AS (
                CASE length(entity) % 3 WHEN 0 THEN 'PER' WHEN 1 THEN 'LOC' ELSE 'ORG' END AS entity_type
         FROM span GROUP BY entity ORDER BY count(*) DESC, entity LIMIT {GAZETTEER_SIZE}),
     hit AS (
-        SELECT g.doc_id, g.pos, max(z.n) AS n, arg_max(g.phrase, z.n) AS entity, arg_max(z.entity_type, z.n) AS entity_type
-        FROM (SELECT doc_id, pos, k.n, array_to_string(token[pos + 1 : pos + k.n], ' ') AS phrase
-              FROM (SELECT tok.doc_id, tok.pos, tokens.token FROM tok JOIN tokens USING (doc_id)),
-                   (SELECT DISTINCT n FROM gazetteer) k) g
-        JOIN gazetteer z ON g.phrase = z.phrase AND g.n = z.n
-        GROUP BY g.doc_id, g.pos),
-    linked AS (
+        SELECT doc_id, pos, max(n) AS n, arg_max(phrase, n) AS entity, arg_max(entity_type, n) AS entity_type
+        FROM (SELECT tok.doc_id, pos, z.n, phrase, entity_type, tokens.token[pos + 1 : pos + z.n] AS words
+              FROM tok JOIN gazetteer z ON tok.token = split_part(phrase, ' ', 1)
+              JOIN tokens ON tokens.doc_id = tok.doc_id)
+        WHERE array_to_string(words, ' ') = phrase GROUP BY doc_id, pos),
+    linked AS MATERIALIZED (
         SELECT a.*, b.pos AS next FROM hit a ASOF LEFT JOIN hit b ON a.doc_id = b.doc_id AND a.pos + a.n <= b.pos),
     walk AS (
         SELECT * FROM linked WHERE (doc_id, pos) IN (SELECT (doc_id, min(pos)) FROM hit GROUP BY doc_id)

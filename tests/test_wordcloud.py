@@ -1,0 +1,44 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsloom.operators import classify_topic, style_words, unexpired, word_cloud
+
+
+@pytest.mark.parametrize("frequency, size, color", [
+    (1, 16, "#95E1D3"), (2, 16, "#95E1D3"), (3, 20, "#45B7D1"), (5, 20, "#45B7D1"), (6, 28, "#4ECDC4"),
+    (10, 28, "#4ECDC4"), (11, 36, "#FF6B6B"),
+])
+def test_style(spark, frequency, size, color):
+    df = spark.createDataFrame([("mot", "sport", frequency)], "word string, topic string, frequency long")
+    row = style_words(df).first()
+    assert (row.font_size, row.color, row.weight, row.category) == (size, color, float(frequency), "trending")
+
+
+def cloud(df, **args):
+    return word_cloud(classify_topic(df, "text"), "text", "detected_topic", **args)
+
+
+def test_words_and_topics(texts):
+    rows = {(r.word, r.topic): r.frequency for r in cloud(texts(
+        "Tesla, tesla et le tennis !", "Tesla dans l'économie 2024", "très bien mais tout"
+    )).collect()}
+    assert rows == {
+        ("tesla", "sport"): 2, ("tennis", "sport"): 1,
+        ("tesla", "économie_finance"): 1, ("léconomie", "économie_finance"): 1,
+    }
+
+
+def test_expiry(texts):
+    as_of = dt.datetime(2024, 1, 1, 12)
+    df = cloud(texts("voiture"), as_of=as_of)
+    assert df.first().expires_at == as_of + dt.timedelta(hours=2)
+    assert unexpired(df, as_of + dt.timedelta(minutes=119)).count() == 1
+    assert unexpired(df, as_of + dt.timedelta(minutes=120)).count() == 0
+
+
+def test_topic_is_not_worked_out_per_word(texts):
+    plan = cloud(texts("a"))._jdf.queryExecution().executedPlan().toString()
+    words = next(line for line in plan.splitlines() if "explode(split(" in line)
+    assert "Contains" not in words and plan.count("Contains(") == 18
