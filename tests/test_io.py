@@ -1,0 +1,149 @@
+from unittest.mock import MagicMock
+
+import pytest
+
+from newsloom.fixed_values import EN_STOP, FR_STOP
+from newsloom.session import scratch_dir, spread
+from newsloom.sinks import jdbc_sink, preview, publish, top, write_jdbc, write_lines
+from newsloom.sinks.jdbc import flat_arrays
+from newsloom.sources import in_memory, load_lexicon, read_corpus, read_jdbc, read_wordlist
+from newsloom.sources.jdbc import from_clause
+from newsloom.sources.streams import kafka_options
+
+
+def test_corpus_lines(spark, tmp_path):
+    (tmp_path / "news.txt").write_text("a b\n\nc\n")
+    df = read_corpus(spark, str(tmp_path / "news.txt"))
+    assert df.columns == ["text"] and sorted(r.text for r in df.collect()) == ["", "a b", "c"]
+
+
+def test_corpus_table(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], "doc_id long, text string").write.parquet(f"{tmp_path}/docs.parquet")
+    assert read_corpus(spark, f"{tmp_path}/docs.parquet").first().asDict() == {"doc_id": 1, "text": "a"}
+
+
+def test_wordlist(spark, tmp_path):
+    (tmp_path / "words").write_text("a\nb\n\na\n c \n")
+    assert sorted(r.word for r in read_wordlist(spark, str(tmp_path / "words")).collect()) == ["a", "b", "c"]
+
+
+def test_lexicon_table(spark, tmp_path):
+    spark.createDataFrame([("a", "X", 1)], "token string, tag string, n int").write.parquet(f"{tmp_path}/lex")
+    assert load_lexicon(spark, f"{tmp_path}/lex", "token", "tag").columns == ["token", "tag"]
+
+
+def test_in_memory_schema(spark):
+    df = in_memory(spark, [("Emmanuel Macron visite Paris",)])
+    assert not df.schema["text"].nullable and df.count() == 1
+
+
+def test_lines_are_appended(spark, tmp_path):
+    df = spark.createDataFrame([("a",), ("b",)], "line string")
+    write_lines(df, f"{tmp_path}/out")
+    write_lines(df, f"{tmp_path}/out")
+    assert sorted(r.value for r in spark.read.text(f"{tmp_path}/out").collect()) == ["a", "a", "b", "b"]
+
+
+def test_previews(spark, capsys):
+    df = spark.range(5)
+    preview(df, 2)
+    assert "only showing top 2 rows" in capsys.readouterr().out
+    assert [r.id for r in top(df, 3)] == [0, 1, 2]
+
+
+def test_small_scans_are_spread_and_large_ones_left(spark, tmp_path, monkeypatch):
+    spark.range(200_000).coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert "REPARTITION" in spread(df)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr("newsloom.session.SMALL_TASK_BYTES", 1)
+    assert spread(df) is df
+
+
+def test_scratch_folder_is_shared_and_new(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one != two and one.startswith(shared)
+
+
+# No database is started: what is checked is what the connector is asked for.
+
+
+class Recorder(MagicMock):
+    """A reader or writer that notes its options."""
+
+    def __init__(self, **kw):
+        super().__init__(**kw)
+        self.noted = {}
+
+    def format(self, name):
+        self.noted["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.noted[key] = value
+        return self
+
+    def options(self, **pairs):
+        self.noted.update(pairs)
+        return self
+
+    def mode(self, mode):
+        self.noted["mode"] = mode
+        return self
+
+
+def recorded(write_call):
+    df = MagicMock()
+    df.schema.fields = []
+    df.write = Recorder()
+    df.withColumns.return_value = df
+    df.select.return_value = df
+    write_call(df)
+    df.write.save.assert_called_once_with()
+    return df.write.noted
+
+
+def test_jdbc_append():
+    props = {"user": "u", "password": "p", "driver": "d"}
+    noted = recorded(lambda df: jdbc_sink("articles", "append", "jdbc:x", props)(df, 3))
+    assert noted == {"format": "jdbc", "url": "jdbc:x", "dbtable": "articles", "mode": "append", **props}
+
+
+def test_jdbc_overwrite_keeps_the_table():
+    noted = recorded(lambda df: write_jdbc(df, "trending", "overwrite", "jdbc:x"))
+    assert noted["mode"] == "overwrite" and noted["truncate"] == "true"
+
+
+def test_jdbc_mode_is_checked(spark):
+    with pytest.raises(ValueError):
+        write_jdbc(spark.range(1), "t", "ignore")
+
+
+def test_jdbc_arrays_become_text(spark):
+    df = spark.sql("select array('a', 'b') as sources, 1 as n")
+    assert flat_arrays(df).first().asDict() == {"sources": "a,b", "n": 1}
+
+
+def test_jdbc_scan():
+    assert from_clause("trending") == "trending"
+    assert from_clause(" SELECT 1 as x; ") == "(SELECT 1 as x) q"
+    fake = MagicMock()
+    fake.read = Recorder()
+    read_jdbc(fake, "jdbc:x", "select a from t", {"user": "u"}, ("a", 0, 10, 4))
+    assert fake.read.noted == {
+        "format": "jdbc", "url": "jdbc:x", "dbtable": "(select a from t) q", "user": "u",
+        "partitionColumn": "a", "lowerBound": "0", "upperBound": "10", "numPartitions": "4",
+    }
+
+
+def test_kafka_options():
+    assert kafka_options("h:1") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "news", "startingOffsets": "earliest",
+    }
+    noted = recorded(lambda df: publish(df, "h:1"))
+    assert noted == {"format": "kafka", "kafka.bootstrap.servers": "h:1", "topic": "news"}
+
+
+def test_word_lists():
+    assert len(EN_STOP) == len(set(EN_STOP)) == 127
+    assert len(FR_STOP) == len(set(FR_STOP))
