@@ -136,7 +136,7 @@ def _joined(df: DataFrame, entries: DataFrame, tokens_col: str, out: str) -> Dat
         .groupBy("_key")
         .agg(F.array_sort(F.collect_set(F.struct("_pos", "_value"))).alias("_values"))
     )
-    found = keyed.join(values, "_key", "left")
+    found = keyed.join(values.hint("merge"), "_key", "left")
     none = F.array().cast(values.schema["_values"].dataType)
     return settle(found, out, F.coalesce("_values", none)["_value"]).drop("_key", "_values")
 

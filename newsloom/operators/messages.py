@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..fixed_values import ARTICLE_DEFAULTS, LINE_FORMAT
 
@@ -27,22 +31,40 @@ def article_lines(articles: DataFrame) -> DataFrame:
     return articles.select(F.format_string(LINE_FORMAT, title, F.col("publishedAt")).alias("line"))
 
 
+def _runs(batch: pa.RecordBatch, group_cols: tuple[str, ...], per_message: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows of a batch with equal groups side by side, and where each message begins."""
+    place = np.arange(batch.num_rows)
+    begins = place == 0
+    if group_cols:
+        batch = batch.take(pc.sort_indices(batch, sort_keys=[(c, "ascending") for c in group_cols]))
+        for c in group_cols:
+            codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
+            begins[1:] |= codes[1:] != codes[:-1]
+    first = np.maximum.accumulate(np.where(begins, place, 0))
+    return batch, np.flatnonzero((place - first) % per_message == 0)
+
+
 def to_messages(
     articles: DataFrame, group_cols: tuple[str, ...] = (), per_message: int = 100
 ) -> DataFrame:
     """Pack articles into JSON messages of at most `per_message`, one group per message.
 
-    Rows are numbered inside their partition and packed in runs, so no message grows with the
-    data, whatever share of the rows a group holds.
+    Each task packs the rows it has, batch by batch. No row is shuffled and no message grows with
+    the data, whatever share of the rows a group holds; and no later step depends on which rows
+    came together, so a task that is run again does no harm.
     """
     fields = [c for c in articles.columns if c not in group_cols]
-    run = F.floor(F.monotonically_increasing_id() / per_message)
-    return (
-        articles.withColumn("_run", run)
-        .groupBy(*group_cols, "_run")
-        .agg(F.collect_list(F.struct(*fields)).alias("articles"))
-        .select(
-            F.lit(None).cast("string").alias("key"),
-            F.to_json(F.struct("articles")).alias("value"),
-        )
+    packable = articles.select(*group_cols, F.struct(*fields).alias("_article"))
+    schema = StructType([StructField("articles", ArrayType(packable.schema["_article"].dataType))])
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                rows, begins = _runs(batch, tuple(group_cols), per_message)
+                offsets = pa.array(np.append(begins, rows.num_rows), pa.int32())
+                packed = pa.ListArray.from_arrays(offsets, rows.column("_article"))
+                yield pa.RecordBatch.from_arrays([packed], ["articles"])
+
+    return packable.mapInArrow(pack, schema).select(
+        F.lit(None).cast("string").alias("key"), F.to_json(F.struct("articles")).alias("value")
     )

@@ -95,7 +95,7 @@ def _joined_code(df: DataFrame, tokens: str, gazetteer: DataFrame, symbols) -> D
     )
     codes = hits.select("_key", F.array_join(gaps, "").alias("_hit_code"))
     whole = F.rpad(F.coalesce("_hit_code", F.lit("")), F.size(tokens), F.lit(_NO_MATCH))
-    return settle(keyed.join(codes, "_key", "left"), "_code", whole).drop("_key", "_hit_code")
+    return settle(keyed.join(codes.hint("merge"), "_key", "left"), "_code", whole).drop("_key", "_hit_code")
 
 
 def _tags(symbols) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .files import Sink
@@ -49,5 +49,7 @@ def start(
 
 
 def start_lines(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append a `line` column to a text folder with Spark's exactly-once file sink."""
-    return _writer(df.select("line"), checkpoint, "append", every).format("text").start(path)
+    """Append a `line` column to a text folder with Spark's exactly-once file sink. Each batch's
+    progress holds the number of lines as the observed metric `written.lines`."""
+    counted = df.select("line").observe("written", F.count(F.lit(1)).alias("lines"))
+    return _writer(counted, checkpoint, "append", every).format("text").start(path)

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 Sink = Callable[[DataFrame, int], None]
 BATCH = "batch_id"
 
 
-def write_lines(df: DataFrame, path: str, line_col: str = "line") -> None:
-    """Append lines to a text folder, creating it if absent. The write commits or raises."""
-    df.select(line_col).write.mode("append").text(path)
+def write_lines(df: DataFrame, path: str, line_col: str = "line") -> int:
+    """Append lines to a text folder, creating it if absent, and return how many. The write
+    commits or raises; the lines are counted on their way."""
+    written = Observation()
+    counted = df.select(line_col).observe(written, F.count(F.lit(1)).alias("lines"))
+    counted.write.mode("append").text(path)
+    return written.get["lines"]
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

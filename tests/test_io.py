@@ -39,7 +39,8 @@ def test_in_memory_schema(spark):
 
 def test_lines_are_appended(spark, tmp_path):
     df = spark.createDataFrame([("a",), ("b",)], "line string")
-    write_lines(df, f"{tmp_path}/out")
+    assert write_lines(df, f"{tmp_path}/out") == 2
+    assert write_lines(df.limit(0), f"{tmp_path}/out") == 0
     write_lines(df, f"{tmp_path}/out")
     assert sorted(r.value for r in spark.read.text(f"{tmp_path}/out").collect()) == ["a", "a", "b", "b"]
 

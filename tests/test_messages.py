@@ -58,8 +58,18 @@ def test_messages_are_bounded_and_whole(spark):
         "cast(id as string) as title", "if(id < 900, 'hot', concat('s', id % 7)) as source"
     )
     messages = to_messages(df, ("source",), per_message=10)
+    assert "Exchange" not in messages._jdf.queryExecution().executedPlan().toString()
     sizes = [len(json.loads(r.value)["articles"]) for r in messages.collect()]
     assert max(sizes) <= 10 and sum(sizes) == 1000
     assert messages.columns == ["key", "value"] and messages.first().key is None
     back = flatten_articles(messages).select("title")
     assert sorted(r.title for r in back.collect()) == sorted(str(i) for i in range(1000))
+
+
+def test_groups_are_not_mixed(spark):
+    rows = [("a", None), ("b", "x"), ("c", "y"), ("d", None), ("e", "x")]
+    df = spark.createDataFrame(rows, "title string, source string").coalesce(1)
+    packed = [[a["title"] for a in json.loads(r.value)["articles"]] for r in to_messages(df, ("source",)).collect()]
+    assert sorted(map(sorted, packed)) == [["a", "d"], ["b", "e"], ["c"]]
+    whole = to_messages(df).collect()
+    assert [len(json.loads(r.value)["articles"]) for r in whole] == [5]

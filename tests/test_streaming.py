@@ -105,7 +105,10 @@ def test_message_job(spark, tmp_path):
         articles = [{"title": f"t{i}", "publishedAt": "2024"}, {"title": None}]
         (landed / f"{i}.json").write_text(json.dumps({"articles": articles}) + "\n{bad\n")
     messages = message_stream(spark, str(landed), maxFilesPerTrigger=1)
-    run_messages(messages, f"{tmp_path}/lines", f"{tmp_path}/checkpoints", now=True).awaitTermination()
+    query = run_messages(messages, f"{tmp_path}/lines", f"{tmp_path}/checkpoints", now=True)
+    query.awaitTermination()
+    counts = [p["observedMetrics"]["written"]["lines"] for p in query.recentProgress if p["numInputRows"]]
+    assert counts == [2, 2, 2]
     got = sorted(r.value for r in spark.read.text(f"{tmp_path}/lines").collect())
     assert got == ["Title: No title | Published At: Unknown date"] * 3 + [
         f"Title: t{i} | Published At: 2024" for i in range(3)
