@@ -31,19 +31,6 @@ def article_lines(articles: DataFrame) -> DataFrame:
     return articles.select(F.format_string(LINE_FORMAT, title, F.col("publishedAt")).alias("line"))
 
 
-def _runs(batch: pa.RecordBatch, group_cols: tuple[str, ...], per_message: int) -> tuple[pa.RecordBatch, np.ndarray]:
-    """The rows of a batch with equal groups side by side, and where each message begins."""
-    place = np.arange(batch.num_rows)
-    begins = place == 0
-    if group_cols:
-        batch = batch.take(pc.sort_indices(batch, sort_keys=[(c, "ascending") for c in group_cols]))
-        for c in group_cols:
-            codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
-            begins[1:] |= codes[1:] != codes[:-1]
-    first = np.maximum.accumulate(np.where(begins, place, 0))
-    return batch, np.flatnonzero((place - first) % per_message == 0)
-
-
 def to_messages(
     articles: DataFrame, group_cols: tuple[str, ...] = (), per_message: int = 100
 ) -> DataFrame:
@@ -57,10 +44,24 @@ def to_messages(
     packable = articles.select(*group_cols, F.struct(*fields).alias("_article"))
     schema = StructType([StructField("articles", ArrayType(packable.schema["_article"].dataType))])
 
+    # Inner functions travel to the workers by value: these need not have this package.
+
+    def grouped(batch):
+        """The rows with equal groups side by side, and the places where a message begins."""
+        place = np.arange(batch.num_rows)
+        begins = place == 0
+        if group_cols:
+            batch = batch.take(pc.sort_indices(batch, sort_keys=[(c, "ascending") for c in group_cols]))
+            for c in group_cols:
+                codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                begins[1:] |= codes[1:] != codes[:-1]
+        first = np.maximum.accumulate(np.where(begins, place, 0))
+        return batch, np.flatnonzero((place - first) % per_message == 0)
+
     def pack(batches):
         for batch in batches:
             if batch.num_rows:
-                rows, begins = _runs(batch, tuple(group_cols), per_message)
+                rows, begins = grouped(batch)
                 offsets = pa.array(np.append(begins, rows.num_rows), pa.int32())
                 packed = pa.ListArray.from_arrays(offsets, rows.column("_article"))
                 yield pa.RecordBatch.from_arrays([packed], ["articles"])
