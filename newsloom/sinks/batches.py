@@ -53,3 +53,17 @@ def start_lines(df: DataFrame, path: str, checkpoint: str, every: str | None = N
     progress holds the number of lines as the observed metric `written.lines`."""
     counted = df.select("line").observe("written", F.count(F.lit(1)).alias("lines"))
     return _writer(counted, checkpoint, "append", every).format("text").start(path)
+
+
+def wait(queries: Sequence[StreamingQuery]) -> None:
+    """Wait until all queries have ended. When one fails the others are stopped and its error is
+    raised, whichever it is."""
+    try:
+        while any(query.isActive for query in queries):
+            for query in queries:
+                query.awaitTermination(1)
+    finally:
+        for query in queries:
+            query.stop()
+    for query in queries:
+        query.awaitTermination()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import classify_topic, enrich_articles, extract_entities, topic_trends, trending_entities, word_cloud
 from newsloom.plans import run_entities, run_messages, run_topics
-from newsloom.sinks import batch_table, fan_out, read_batches, replaced_table, start
+from newsloom.sinks import batch_table, fan_out, read_batches, replaced_table, start, wait
 from newsloom.sources import line_stream, message_stream
 from newsloom.streaming import topic_query
 
@@ -37,11 +37,6 @@ def rows(df, *without):
     return sorted((tuple(r) for r in df.drop(*without).collect()), key=repr)
 
 
-def finish(queries):
-    for query in queries:
-        query.awaitTermination()
-
-
 def test_topic_job_equals_batch(spark, headlines, tmp_path):
     out = tmp_path / "out"
     sinks = {
@@ -51,7 +46,7 @@ def test_topic_job_equals_batch(spark, headlines, tmp_path):
     }
 
     def run():
-        finish(run_topics(stream(spark, headlines), sinks, f"{tmp_path}/checkpoints", now=True, ts=F.lit(AS_OF)))
+        wait(run_topics(stream(spark, headlines), sinks, f"{tmp_path}/checkpoints", now=True, ts=F.lit(AS_OF)))
 
     run()
     batch = enrich_articles(spark.read.text(headlines), ts=F.lit(AS_OF))
@@ -89,7 +84,7 @@ def test_entity_job_equals_batch(spark, headlines, tmp_path):
         "trending_entities": replaced_table(f"{tmp_path}/trending"),
     }
     recent = lambda: read_batches(spark, f"{tmp_path}/entities")
-    finish(run_entities(stream(spark, headlines), sinks, recent, f"{tmp_path}/checkpoints", places, now=True))
+    wait(run_entities(stream(spark, headlines), sinks, recent, f"{tmp_path}/checkpoints", places, now=True))
     expected = extract_entities(spark.read.text(headlines), "value", places)
     assert rows(recent(), "detected_at") == rows(expected, "detected_at")
     assert read_batches(spark, f"{tmp_path}/articles").count() == 7
@@ -126,6 +121,23 @@ def test_failing_sink_fails_the_query_and_is_repeated(spark, headlines, tmp_path
     assert read_batches(spark, f"{tmp_path}/out").count() == 7
 
 
+def test_waiting_sees_the_failure_of_any_query(spark, headlines, tmp_path):
+    def fail(df, batch_id):
+        raise RuntimeError("no table")
+
+    good = start(stream(spark, headlines), batch_table(f"{tmp_path}/out"), f"{tmp_path}/one", every="1 second")
+    bad = start(stream(spark, headlines), fail, f"{tmp_path}/two", every="1 second")
+    with pytest.raises(StreamingQueryException):
+        wait([good, bad])
+    assert not good.isActive and not bad.isActive
+
+
+def test_waiting_ends_with_the_queries(spark, headlines, tmp_path):
+    queries = [start(stream(spark, headlines), batch_table(f"{tmp_path}/{n}"), f"{tmp_path}/c{n}") for n in "ab"]
+    wait(queries)
+    assert read_batches(spark, f"{tmp_path}/a").count() == read_batches(spark, f"{tmp_path}/b").count() == 7
+
+
 def test_empty_batches_reach_no_sink(spark):
     seen = []
     handle = fan_out([lambda df, batch_id: seen.append(batch_id)])
