@@ -235,12 +235,20 @@ def q_gazetteer_match(spark, sf_dir):
     return _chunk_list(iob_to_chunks(tagged))
 
 
-def q_gazetteer_match_joined(spark, sf_dir):
+def q_gazetteer_match_carried(spark, sf_dir):
     """The way taken for a gazetteer too large for the plan."""
     tagged = ner_tag(_tokens(spark, sf_dir), _gazetteer(spark, sf_dir), names=False, inline_phrases=0)
     return _chunk_list(iob_to_chunks(tagged))
 
 
+def q_gazetteer_match_joined(spark, sf_dir):
+    """The way taken for a gazetteer too large to travel to the tasks."""
+    tagged = ner_tag(
+        _tokens(spark, sf_dir), _gazetteer(spark, sf_dir), names=False, inline_phrases=0, carry_phrases=0
+    )
+    return _chunk_list(iob_to_chunks(tagged))
+
+
 def q_entity_type_counts(spark, sf_dir):
     annotated = annotate_entities(_documents(spark, sf_dir), "text", _gazetteer(spark, sf_dir))
     return entity_type_counts(annotated, date="2024-01-31").withColumn(
@@ -576,6 +584,7 @@ def oracle_sql() -> dict[str, str]:
         "entity_counts_top10": f"""WITH {_tokens_cte()}, {_spans_cte()}
             SELECT entity, count(*) AS count FROM span GROUP BY entity ORDER BY count DESC, entity LIMIT 10""",
         "gazetteer_match": gazetteer_match,
+        "gazetteer_match_carried": gazetteer_match,
         "gazetteer_match_joined": gazetteer_match,
         "entity_type_counts": f"""WITH RECURSIVE {_tokens_cte()}, {_spans_cte()}, {_GAZETTEER},
             rest AS (SELECT * FROM tok WHERE (doc_id, pos) NOT IN (

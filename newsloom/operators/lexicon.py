@@ -111,8 +111,9 @@ def content_key(tokens: str) -> Column:
     return F.sha2(F.array_join(tokens, " "), 256)
 
 
-def _carried(entries, value_type: str):
-    """A function that looks all tokens of a batch of arrays up in one vectorized pass."""
+def carried(entries: pa.Table, value_type: str):
+    """A function from an array column to the array of values in a two-column table that travels
+    to the tasks. All elements of a batch are looked up in one vectorized pass."""
     keys = entries.column(0).combine_chunks().cast(pa.string())
     values = entries.column(1).combine_chunks()
 
@@ -146,10 +147,10 @@ def look_up_arrays(
 ) -> DataFrame:
     """Add an array with the lexicon's value of each token, null for unknown tokens."""
     entries = lexicon.select(F.col("token").alias("_token"), F.col(value_col).alias("_value"))
-    carried = entries.limit(carry_rows + 1).toArrow() if carry_rows > 0 else None
-    if carried is None or carried.num_rows > carry_rows:
+    table = entries.limit(carry_rows + 1).toArrow() if carry_rows > 0 else None
+    if table is None or table.num_rows > carry_rows:
         return _joined(df, entries, tokens_col, out)
-    look = _carried(carried, entries.schema["_value"].dataType.simpleString())
+    look = carried(table, entries.schema["_value"].dataType.simpleString())
     return settle(df.withColumn(out, look(tokens_col)), out, F.col(out))
 
 

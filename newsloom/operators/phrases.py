@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import EN_STOP, NAME_SHAPE, NAME_TYPE
 from ..functions import settle
-from .lexicon import content_key, lookup
+from .lexicon import BROADCAST_ROWS, carried, content_key, lookup
 
 OUTSIDE = "O"
-INLINE_PHRASES = 10_000
+INLINE_PHRASES = 1_000
 _NO_MATCH = "0"
 _FIRST_SYMBOL = 0x4E00  # any run of letters without a meaning in a regex
 
@@ -56,6 +57,34 @@ def _inline_code(tokens: str, entries, symbols) -> Column:
     return F.array_join(F.transform(tokens, at), "")
 
 
+def _carried_code(df: DataFrame, tokens: str, entries, symbols) -> DataFrame:
+    """The match code from phrases that travel to the tasks as a table. N-grams are only made
+    where a phrase's first word is."""
+
+    def look(values):
+        pairs = {"key": list(values), "value": list(values.values())}
+        return carried(pa.table({name: pa.array(texts, pa.string()) for name, texts in pairs.items()}), "string")
+
+    starts = look({phrase.split(" ")[0]: "" for phrase, _, _ in entries})
+    whole = look({phrase: symbols[n, kind] for phrase, kind, n in entries})
+    lengths = sorted({n for n, _ in symbols}, reverse=True)
+
+    def grams(n):
+        return F.transform(
+            "_start", lambda start, i: F.when(start.isNotNull(), F.array_join(F.slice(tokens, i + 1, n), " "))
+        )
+
+    begun = settle(df.withColumn("_start", starts(tokens)), "_start", F.col("_start"))
+    found = begun.withColumns({f"_found{n}": whole(grams(n)) for n in lengths})
+    longest = F.transform(
+        "_start",
+        lambda start, i: F.when(start.isNull(), _NO_MATCH).otherwise(
+            F.coalesce(*(F.get(f"_found{n}", i) for n in lengths), F.lit(_NO_MATCH))
+        ),
+    )
+    return settle(found, "_code", F.array_join(longest, "")).drop("_start", *(f"_found{n}" for n in lengths))
+
+
 def _joined_code(df: DataFrame, tokens: str, gazetteer: DataFrame, symbols) -> DataFrame:
     """The match code by joining n-grams with a gazetteer too large for the plan.
 
@@ -119,19 +148,23 @@ def match_phrases(
     tokens_col: str = "token",
     out: str = "ner",
     inline_phrases: int = INLINE_PHRASES,
+    carry_phrases: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add IOB tags for the leftmost-longest phrases of a (phrase, entity_type) gazetteer.
 
-    Up to `inline_phrases` phrases go into the plan and no row moves. A larger gazetteer is
-    joined with the n-grams of the documents.
+    Up to `inline_phrases` phrases go into the plan, up to `carry_phrases` travel to the tasks as a
+    table, and no row moves. A larger gazetteer is joined with the n-grams of the documents.
     """
     phrases = normalize_gazetteer(gazetteer)
-    entries = [tuple(row) for row in phrases.limit(inline_phrases + 1).collect()]
+    most = max(inline_phrases, carry_phrases)
+    entries = [tuple(row) for row in phrases.limit(most + 1).collect()]
+    symbols = _symbols({(n, kind) for _, kind, n in entries})
+    if not entries:
+        return settle(df, out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
     if len(entries) <= inline_phrases:
-        symbols = _symbols({(n, kind) for _, kind, n in entries})
-        if not entries:
-            return settle(df, out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
         coded = settle(df, "_code", _inline_code(tokens_col, entries, symbols))
+    elif len(entries) <= carry_phrases:
+        coded = _carried_code(df, tokens_col, entries, symbols)
     else:
         kinds = phrases.select("n", "entity_type").distinct().collect()
         symbols = _symbols({tuple(kind) for kind in kinds})

@@ -52,15 +52,15 @@ def brute_force(tokens, phrases):
     return tags
 
 
-@pytest.mark.parametrize("inline", [10_000, 0])
-def test_phrases_against_brute_force(spark, inline):
+@pytest.mark.parametrize("inline, carry", [(1000, 1000), (0, 1000), (0, 0)])
+def test_phrases_against_brute_force(spark, inline, carry):
     rng = random.Random(7)
     words = ["a", "b", "c", "d", "e.", "(f)"]
     phrases = {" ".join(rng.choices(words, k=rng.randint(1, 4))): rng.choice(["PER", "LOC"]) for _ in range(30)}
     rows = [(i, rng.choices(words, k=rng.randint(0, 40))) for i in range(60)]
     rows += [(99, rows[3][1]), (99, rows[3][1])]  # copies, also of the id
     df = spark.createDataFrame(rows, "doc_id long, token array<string>")
-    tagged = match_phrases(df, gazetteer(spark, *phrases.items()), inline_phrases=inline)
+    tagged = match_phrases(df, gazetteer(spark, *phrases.items()), inline_phrases=inline, carry_phrases=carry)
     got = sorted((r.doc_id, r.token, r.ner) for r in tagged.collect())
     assert got == sorted((i, t, brute_force(t, phrases)) for i, t in rows)
 
