@@ -318,7 +318,7 @@ def q_article_lines(spark, sf_dir):
     return article_lines(flatten_articles(to_messages(_articles(spark, sf_dir), ("source",))))
 
 
-def q_pipeline(spark, sf_dir):
+def q_annotation_stages(spark, sf_dir):
     """The stages as one fitted pipeline."""
     documents = _documents(spark, sf_dir).withColumn("text", F.regexp_replace("text", r"[,\.!?]", ""))
     model = build_pipeline(news_stages(pos_words(spark), _plurals(spark, sf_dir))).fit(documents)
@@ -625,7 +625,7 @@ def oracle_sql() -> dict[str, str]:
             FROM tok LEFT JOIN vector USING (token) GROUP BY doc_id""",
         "json_articles": _ARTICLES_SQL,
         "article_lines": _LINES_SQL,
-        "pipeline": f"""WITH {_tokens_cte()}, {_POS_CTE}, {_PLURALS}, {_spans_cte()},
+        "annotation_stages": f"""WITH {_tokens_cte()}, {_POS_CTE}, {_PLURALS}, {_spans_cte()},
             per AS (SELECT doc_id, count(*) AS tokens, count(*) FILTER ({_POS} LIKE 'NN%') AS nouns,
                     count(*) FILTER (lower(token) NOT IN ({stop})) AS clean,
                     coalesce(string_agg(coalesce(lemma, token), ' ' ORDER BY pos) FILTER (lower(token) NOT IN ({stop})), '') AS lemmas
