@@ -26,6 +26,14 @@ from newsloom.streaming import (
     article_query, entity_query, message_query, topic_query, trending_query, word_cloud_query,
 )
 
+try:  # the operators for training data are a part that can be left out
+    import corpus_pipeline
+    from newsloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "newsloom.llm"):
+        raise
+    llm_queries = None
+
 AS_OF = "2024-01-31 12:00:00"
 GAZETTEER_SIZE = 200
 
@@ -390,7 +398,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    own = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    return own if llm_queries is None else {**own, **llm_queries.queries(), "pipeline": corpus_pipeline.run}
 
 
 # ---------------------------------------------------------------- the same in SQL
@@ -548,7 +557,7 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT doc_id, {where} AS w FROM tokens)"""
     stop = _quoted(fixed.EN_STOP)
     gazetteer_match = f"WITH RECURSIVE {_tokens_cte()}, {_spans_cte()}, {_GAZETTEER} {_chunk_sql('walk')}"
-    return {
+    own = {
         "article_enrich": _article_sql(),
         "topic_classify": f"SELECT doc_id, {_topic()} AS detected_topic FROM documents",
         "topic_whole_word": f"SELECT doc_id, {_topic(whole_word=True)} AS detected_topic FROM documents",
@@ -641,3 +650,4 @@ def oracle_sql() -> dict[str, str]:
         "stream_trending_entities": _trending_sql("10 minutes"),
         "stream_article_lines": _LINES_SQL,
     }
+    return own if llm_queries is None else {**own, **llm_queries.oracle_sql()}
