@@ -76,3 +76,43 @@ def ship(spark: SparkSession) -> None:
                     out.write(full, os.path.relpath(full, os.path.dirname(root)))
     context.addPyFile(path)
     context._newsloom_shipped = True
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+#: Rows of a list of keys that may be broadcast; a longer list is shuffled, with the same result.
+BROADCAST_ROWS = 1_000_000
+
+
+def listed(docs: DataFrame, keys: DataFrame, on, how: str) -> DataFrame:
+    """Semi or anti join of documents with a saved list of short keys, broadcast behind a count."""
+    small = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(keys) if small else keys.hint("merge"), on, how)
+
+
+def keep_rows(docs: DataFrame, key, verdicts: DataFrame, id_col: str) -> DataFrame:
+    """The rows of `docs` that (doc_id, key, kept) verdicts keep, with all their columns. `key` is
+    the column of `docs` that the verdicts' key comes from; of rows that repeat id and key, one stays."""
+    name, value, own = fresh(docs, "_id", "_key", "_own_key")
+    verdicts = saved(verdicts.select(F.col("doc_id").alias(name), F.col("key").alias(value), "kept"), "verdicts")
+    # an id may come with several texts, so id and key together name what goes
+    gone = saved(verdicts.where(~F.col("kept")).select(name, value).distinct(), "gone")
+    repeated = saved(
+        verdicts.where("kept").groupBy(name, value).agg(F.count("*").alias("kept")).where("kept > 1").drop("kept"), "repeated"
+    )
+    keyed = docs.withColumn(own, key)
+    same = F.col(id_col).eqNullSafe(F.col(name)) & (F.col(own) == F.col(value))
+    kept = listed(keyed, gone, same, "left_anti")
+    if repeated.isEmpty():
+        return kept.drop(own)
+    once = listed(kept, repeated, same, "left_semi").dropDuplicates([id_col, own])
+    return listed(kept, repeated, same, "left_anti").unionByName(once).drop(own)

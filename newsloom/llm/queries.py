@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
+from .dart_minhash import near_dedup
+from .exact_dedup import exact_dedup
 from .packing import pack
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
@@ -27,6 +29,14 @@ def packed(docs: DataFrame) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op1_exact_dedup(spark, sf_dir):
+    return exact_dedup(documents(spark, sf_dir))
+
+
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup(documents(spark, sf_dir))
+
+
 def op3_packing(spark, sf_dir):
     return packed(documents(spark, sf_dir))
 
@@ -46,4 +56,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_exact_dedup": _EXACT,
+    }
+
+
+_EXACT = r"""WITH d AS (
+        SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
+    g AS (SELECT sha256(norm) AS h, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY ALL)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256
+    FROM (SELECT doc_id, sha256(norm) AS h FROM d) JOIN g USING (h)"""
