@@ -116,3 +116,21 @@ def keep_rows(docs: DataFrame, key, verdicts: DataFrame, id_col: str) -> DataFra
         return kept.drop(own)
     once = listed(kept, repeated, same, "left_semi").dropDuplicates([id_col, own])
     return listed(kept, repeated, same, "left_anti").unionByName(once).drop(own)
+
+
+#: Rows of a lookup table that may be broadcast; a longer one is shuffled, with the same result.
+BROADCAST_TABLE = 100_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
+    """Left join with a saved table of one row per key, nulls among the keys being equal. A table
+    too long to broadcast is merged; adaptive execution then splits a key with very many rows."""
+    names = {key: f"__{key}" for key in keys}
+    other = table.withColumnsRenamed(names)
+    small = table.limit(BROADCAST_TABLE + 1).count() <= BROADCAST_TABLE
+    same = None
+    for key, name in names.items():
+        one = F.col(key).eqNullSafe(F.col(name))
+        same = one if same is None else same & one
+    joined = rows.join(F.broadcast(other) if small else other.hint("merge"), same, "left")
+    return joined.drop(*names.values())

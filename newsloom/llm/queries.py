@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import scratch_dir
 from .dart_minhash import near_dedup
 from .exact_dedup import exact_dedup
+from .line_frequency import line_rules
 from .packing import pack
+from .site_quality import site_quality
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
 
@@ -41,6 +43,14 @@ def op3_packing(spark, sf_dir):
     return packed(documents(spark, sf_dir))
 
 
+def op4_line_rules(spark, sf_dir):
+    return line_rules(documents(spark, sf_dir))
+
+
+def op10_site_quality(spark, sf_dir):
+    return site_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_token_files(spark, sf_dir):
     path = scratch_dir(spark, "token-files")
     write_token_files(documents(spark, sf_dir), path, _vocabulary("word_bpe_49k.json"))
@@ -58,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": _EXACT,
+        "op4_line_rules": _LINES,
     }
 
 
@@ -66,3 +77,38 @@ _EXACT = r"""WITH d AS (
     g AS (SELECT sha256(norm) AS h, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY ALL)
     SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256
     FROM (SELECT doc_id, sha256(norm) AS h FROM d) JOIN g USING (h)"""
+
+_LINES = r"""WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
+    five AS (
+        SELECT r, i, list_slice(words, i, i + 4) AS win
+        FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+    again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM five) WHERE n > 1),
+    covered AS (
+        SELECT r, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r),
+    line AS (
+        SELECT r, source, line, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm
+        FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS line FROM d)),
+    word_line AS (
+        SELECT *, len(string_split(norm, ' ')) AS words FROM line WHERE norm <> ''),
+    dup AS (SELECT r, sum(n - 1) AS n_dup_lines FROM (
+        SELECT r, line, count(*) AS n FROM word_line GROUP BY ALL) GROUP BY r),
+    docs AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
+    over_limit AS (
+        SELECT l.source, norm FROM (SELECT source, norm, count(DISTINCT r) AS n FROM word_line GROUP BY ALL) l
+        JOIN docs ON l.source IS NOT DISTINCT FROM docs.source WHERE n > 20 AND n > 0.1 * docs),
+    gone AS (
+        SELECT r, sum(words) AS gone FROM word_line l
+        JOIN over_limit o ON l.norm = o.norm AND l.source IS NOT DISTINCT FROM o.source GROUP BY r),
+    counted AS (
+        SELECT doc_id, len(words)::BIGINT AS n_words,
+               length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+               (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+               coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+               (len(words) - coalesce(gone, 0))::BIGINT AS left_words
+        FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN covered USING (r) LEFT JOIN gone USING (r))
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+           NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_words >= 0.3 * n_words AS kept
+    FROM counted"""
