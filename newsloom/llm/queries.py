@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
+from .curriculum import assign
 from .dart_minhash import near_dedup
 from .exact_dedup import exact_dedup
+from .label_propagation import shard
 from .line_frequency import line_rules
 from .packing import pack
+from .secret_owners import KINDS, find_secrets, shown
 from .site_quality import site_quality
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
@@ -35,6 +38,25 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op2_label_propagation(spark, sf_dir):
+    return shard(documents(spark, sf_dir))
+
+
+def op6_secret_owners(spark, sf_dir):
+    found = find_secrets(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(shown("base"), 256).alias("base_sha256"), shown("all").alias("spans")
+    )
+
+
+def op9_curriculum(spark, sf_dir):
+    taken = F.aggregate("copies", F.lit(0).cast("long"), lambda n, c: n + c["words"])
+    first = F.round(F.get("copies", F.lit(0))["position"], 6)
+    return assign(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), first.alias("first_position")
+    )
+
+
 def op8_near_dedup(spark, sf_dir):
     return near_dedup(documents(spark, sf_dir))
 
@@ -69,6 +91,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": _EXACT,
         "op4_line_rules": _LINES,
+        "op6_secret_owners": _secrets(),
+        "op9_curriculum": _CURRICULUM,
     }
 
 
@@ -112,3 +136,65 @@ _LINES = r"""WITH d AS (
     SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
            NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_words >= 0.3 * n_words AS kept
     FROM counted"""
+
+_CURRICULUM = r"""WITH d AS (
+        SELECT doc_id, source, md5(doc_id::VARCHAR) AS k,
+               len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size FROM documents),
+    s AS (
+        SELECT *, 3 * source_size / w AS ratio FROM (
+            SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn, turn + 1 AS w
+            FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source))),
+    c AS (
+        SELECT *, ((SELECT sum(source_size) FROM s) - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+               / (sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS lam
+        FROM s WINDOW o AS (ORDER BY ratio, source)),
+    lev AS (SELECT min(lam) FILTER (ratio >= lam) AS lam FROM (SELECT *, row_number() OVER (ORDER BY ratio, source) AS i FROM c)
+            WHERE i = (SELECT min(i) FROM (SELECT ratio, lam, row_number() OVER (ORDER BY ratio, source) AS i FROM c) WHERE ratio >= lam)),
+    t AS (SELECT source, source_size, turn, least((3 * source_size)::DOUBLE, lam * w) AS target FROM s, lev),
+    p AS (
+        SELECT d.doc_id, d.size, t.source_size, t.target, t.turn,
+               coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS c
+        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    q AS (SELECT *, floor(target)::BIGINT AS whole, c / target AS y FROM p)
+    SELECT doc_id, size::BIGINT AS size, source_size, target,
+           (greatest(least(whole - c, size), 0) + greatest(least(whole - c - source_size, size), 0)
+            + greatest(least(whole - c - 2 * source_size, size), 0))::BIGINT AS taken,
+           CASE WHEN size > 0 AND whole > c THEN round(CASE turn WHEN 0 THEN (sqrt(2.25 - 2.0 * y) - 1.5) / -1.0 WHEN 1 THEN y
+                ELSE (sqrt(0.25 + 2.0 * y) - 0.5) / 1.0 END, 6) + 0.0 END AS first_position
+    FROM q"""
+
+
+def _secrets() -> str:
+    kinds = []
+    for kind, (pattern, group, least) in KINDS.items():
+        p = "'" + pattern.replace("'", "''") + "'"
+        kinds.append(f"""SELECT r, source, lang, '{kind}' AS kind, unnest(range(1, len(f) + 1)) AS i,
+            list_sum(list_transform(g[1:i], lambda x: length(x))) + list_sum(list_transform(f[1:i], lambda x: length(x))) AS stop,
+            length(f[i]) AS size, v[i] AS value, {least} AS least
+            FROM (SELECT r, source, lang, regexp_extract_all(text, {p}) AS f, regexp_extract_all(text, {p}, {group}) AS v,
+                  string_split_regex(text, {p}) AS g FROM d WHERE regexp_matches(text, {p}))""")
+    return f"""WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+                   coalesce(text, '') AS text FROM documents),
+        m AS ({" UNION ALL ".join(kinds)}),
+        f AS (SELECT r, source, lang, kind, (stop - size)::BIGINT AS start, stop::BIGINT AS stop, value,
+                     (stop - length(value))::BIGINT AS value_start FROM m WHERE length(value) >= least),
+        o AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT source || '/' || lang) AS repos FROM f GROUP BY value),
+        e AS (
+            SELECT r, kind, start, stop, CASE kind WHEN 'assign' THEN 1 WHEN 'access' THEN 2 ELSE 3 END AS rank FROM f
+            UNION ALL
+            SELECT DISTINCT r, verdict, value_start, stop, CASE verdict WHEN 'live' THEN 4 ELSE 5 END FROM (
+                SELECT r, value_start, stop, CASE WHEN owners > 1 OR repos > 3 THEN 'copied'
+                    WHEN length(value) >= 16 AND len(list_distinct(string_split(value, ''))) >= 8
+                         AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') THEN 'live' END AS verdict
+                FROM f JOIN o USING (value)) WHERE verdict IS NOT NULL),
+        g AS (
+            SELECT r, count(*) FILTER (rank = 1) AS n_assign, count(*) FILTER (rank = 2) AS n_access,
+                   count(*) FILTER (rank = 3) AS n_hex,
+                   string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank <= 3) AS base,
+                   string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS spans
+            FROM e GROUP BY r)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN g USING (r)"""

@@ -111,7 +111,7 @@ def site_quality(
     host_col: str = "source",
     path_col: str = "lang",
     fit_rows: int = 20_000,
-    min_quality: float = 0.5,
+    min_quality: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_id_col: str = "doc_id",
