@@ -99,21 +99,29 @@ def listed(docs: DataFrame, keys: DataFrame, on, how: str) -> DataFrame:
     return docs.join(F.broadcast(keys) if small else keys.hint("merge"), on, how)
 
 
+def drop_rows(docs: DataFrame, key, verdicts: DataFrame, id_col: str) -> DataFrame:
+    """`docs` without the rows that (doc_id, key, kept) verdicts reject. `key` is the column of `docs`
+    that the verdicts' key comes from; id and key together name a row, as an id may repeat."""
+    name, value, own = fresh(docs, "_id", "_key", "_own_key")
+    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(name), F.col("key").alias(value)).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(name)) & (F.col(own) == F.col(value))
+    return listed(docs.withColumn(own, key), saved(gone, "gone"), same, "left_anti").drop(own)
+
+
 def keep_rows(docs: DataFrame, key, verdicts: DataFrame, id_col: str) -> DataFrame:
-    """The rows of `docs` that (doc_id, key, kept) verdicts keep, with all their columns. `key` is
-    the column of `docs` that the verdicts' key comes from; of rows that repeat id and key, one stays."""
+    """`drop_rows`, and of kept rows that repeat id and key, one."""
+    verdicts = saved(verdicts.select("doc_id", "key", "kept"), "verdicts")
+    kept = drop_rows(docs, key, verdicts, id_col)
     name, value, own = fresh(docs, "_id", "_key", "_own_key")
-    verdicts = saved(verdicts.select(F.col("doc_id").alias(name), F.col("key").alias(value), "kept"), "verdicts")
-    # an id may come with several texts, so id and key together name what goes
-    gone = saved(verdicts.where(~F.col("kept")).select(name, value).distinct(), "gone")
     repeated = saved(
-        verdicts.where("kept").groupBy(name, value).agg(F.count("*").alias("kept")).where("kept > 1").drop("kept"), "repeated"
+        verdicts.where("kept").groupBy(F.col("doc_id").alias(name), F.col("key").alias(value))
+        .agg(F.count("*").alias("n")).where("n > 1").drop("n"),
+        "repeated",
     )
-    keyed = docs.withColumn(own, key)
-    same = F.col(id_col).eqNullSafe(F.col(name)) & (F.col(own) == F.col(value))
-    kept = listed(keyed, gone, same, "left_anti")
     if repeated.isEmpty():
-        return kept.drop(own)
+        return kept
+    kept = kept.withColumn(own, key)
+    same = F.col(id_col).eqNullSafe(F.col(name)) & (F.col(own) == F.col(value))
     once = listed(kept, repeated, same, "left_semi").dropDuplicates([id_col, own])
     return listed(kept, repeated, same, "left_anti").unionByName(once).drop(own)
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import looked_up, normalized, saved, text_or_empty
+from .common import drop_rows, looked_up, normalized, saved, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -127,10 +127,31 @@ def site_quality(
     that repeat an id share its label. Without labels of both kinds nothing is known, and all
     documents are kept. Other columns are not read; an empty table gives no rows.
     """
+    return _judged(docs, labels, host_col, path_col, fit_rows, min_quality, id_col, text_col, label_id_col, label_col).drop("key")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of `docs` that `site_quality` keeps, with all their columns."""
+    how = {
+        "host_col": "source", "path_col": "lang", "fit_rows": 20_000, "min_quality": 0.3, "id_col": "doc_id",
+        "text_col": "text", "label_id_col": "doc_id", "label_col": "quality",
+    } | how
+    key = _key(how["host_col"], how["path_col"], how["text_col"])
+    return drop_rows(docs, key, _judged(docs, labels, **how), how["id_col"])
+
+
+def _key(host_col: str, path_col: str, text_col: str) -> Column:
+    """What a verdict depends on besides the id: the text and its site."""
+    site = F.to_json(F.struct(F.col(host_col).alias("h"), F.col(path_col).alias("p")))
+    return F.md5(F.concat(site, F.lit("\n"), text_or_empty(text_col)))
+
+
+def _judged(docs, labels, host_col, path_col, fit_rows, min_quality, id_col, text_col, label_id_col, label_col) -> DataFrame:
     found = measures(text_col)
     rows = saved(
         docs.select(
             F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(path_col).alias("path"),
+            _key(host_col, path_col, text_col).alias("key"),
             *[F.coalesce(column, F.lit(0.0)).cast("double").alias(f"m_{name}") for name, column in found.items()],
         ),
         "measures",
@@ -149,7 +170,7 @@ def site_quality(
     logit = F.greatest(F.least(model.logit(names), F.lit(15.0)), F.lit(-15.0))
     scored = (
         rows.join(marked.hint("merge"), rows["doc_id"] == marked["_id"], "left")
-        .select("doc_id", "host", "path", logit.alias("_logit"), "label")
+        .select("doc_id", "host", "path", "key", logit.alias("_logit"), "label")
         .withColumn("_good", F.coalesce("label", _sigmoid(F.col("_logit"))))
     )
     scored = saved(scored, "scored")
@@ -175,5 +196,6 @@ def site_quality(
         F.round("host_share", 6).alias("host_share"),
         F.round("path_share", 6).alias("path_share"),
         F.round(combined, 6).alias("quality"),
+        "key",
     )
     return judged.withColumn("kept", F.col("quality") >= F.lit(min_quality) if any(model.weights) else F.lit(True))
