@@ -62,13 +62,13 @@ class Tokenizer(_Stage):
 
 
 class StopWords(_Stage):
-    """Drop listed words, whatever their case."""
+    """Drop the words of a list or a table, whatever their case."""
 
     adds = "cleanTokens"
 
     def __init__(self, inputCol=None, outputCol=None, words=EN_STOP):
         super().__init__(inputCol, outputCol)
-        self.words = list(words)
+        self.words = words if isinstance(words, DataFrame) else list(words)
 
     def _transform(self, df):
         return self._annotated(remove_stopwords(self._tokens(df), self.words, _TOKENS, _VALUES))

@@ -5,10 +5,10 @@ from .entities import (
 )
 from .keywords import keyword_counts, pos_frequencies, token_counts
 from .lexicon import (
-    embed, lemma_arrays, lemmatize, lookup, pos_tag, pos_words, tag_arrays, train_pos_lexicon, vector_arrays,
+    embed, lemma_arrays, lemmatize, lookup, normalize_lexicon, pos_tag, pos_words, tag_arrays, train_pos_lexicon, vector_arrays,
 )
 from .messages import article_lines, flatten_articles, to_messages
-from .phrases import match_phrases, ner_tag, normalize_gazetteer
+from .phrases import match_phrases, ner_tag, normalize_gazetteer, prepare_gazetteer
 from .tfidf import hashing_tf, idf, term_frequencies, term_tfidf, tfidf
 from .tokens import assemble, drop_stopwords, finish, remove_stopwords, token_rows, tokenize
 from .topics import classify_topic, topic_counts, topic_trends

@@ -26,7 +26,7 @@ def iob_to_chunks(
         return F.get(tags_col, i)
 
     def kind(i):
-        return F.substring(tag(i), 3, 1 << 20)
+        return F.substr(tag(i), F.lit(3))
 
     def begins(i):
         follows = F.coalesce(kind(i - 1) == kind(i), F.lit(False))

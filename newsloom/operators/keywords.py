@@ -1,7 +1,8 @@
 """Keyword and part-of-speech counts.
 
 Tokens are counted first and looked up afterwards: the lexicon is joined with the vocabulary
-instead of the corpus, and no key is ever hot in the join.
+instead of the corpus, and no key is ever hot in the join. How to join the two is left to the
+optimizer, which knows both sizes.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..fixed_values import EN_STOP, POS_SHAPES
-from .lexicon import shape_tag
+from .lexicon import normalize_lexicon, shape_tag
 from .tokens import drop_stopwords
 
 
@@ -41,7 +42,7 @@ def keyword_counts(
         counted = counted.where(~F.lower("token").isin([w.lower() for w in stopwords]))
     word = F.col("token")
     if lexicon is not None:
-        counted = counted.join(lexicon.select("token", "lemma"), "token", "left")
+        counted = counted.join(normalize_lexicon(lexicon, "lemma"), "token", "left")
         word = F.coalesce("lemma", "token")
     words = counted.select(word.alias("word"), "count").where(F.length("word") >= min_len)
     return _summed(words, "word", k)
@@ -51,7 +52,7 @@ def pos_frequencies(
     df: DataFrame, lexicon: DataFrame, k: int | None = 20, shapes=POS_SHAPES, tokens_col: str = "token"
 ) -> DataFrame:
     """(pos_tag, count) over all tokens, by the same rule as `lexicon.pos_tag`."""
-    entries = lexicon.select(F.col("token").alias("_lowered"), "tag")
+    entries = normalize_lexicon(lexicon, "tag", fold=True).withColumnRenamed("token", "_lowered")
     tagged = (
         token_counts(df, tokens_col)
         .withColumn("_lowered", F.lower("token"))

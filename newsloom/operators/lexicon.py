@@ -12,52 +12,74 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import POS_OTHER, POS_SHAPES, POS_WORDS
 from ..functions import settle, shape_of
+from ..session import scratch_dir
 
+#: A table of at most so many rows and bytes travels to the tasks; the results do not depend on it.
 BROADCAST_ROWS = 200_000
-BROADCAST_VECTORS = 20_000
-MOST_SALTS = 64
+BROADCAST_BYTES = 64 << 20
 
 
-def fits(table: DataFrame, rows: int) -> bool:
-    """Whether the table has at most `rows` rows; looks at no more than that."""
-    return rows > 0 and table.limit(rows + 1).count() <= rows
+def normalize_lexicon(lexicon: DataFrame, value_col: str, fold: bool = False) -> DataFrame:
+    """(token, value): one row per token, the smallest value where a token has several; `fold` puts
+    tokens in lower case. Rows without a token or a value are left out. Every lookup uses it."""
+    token = F.lower("token") if fold else F.col("token")
+    known = lexicon.where(F.col("token").isNotNull() & F.col(value_col).isNotNull())
+    return known.groupBy(token.alias("token")).agg(F.min(value_col).alias(value_col))
 
 
-def salts_for(spark: SparkSession) -> int:
-    """Over how many tasks to spread a key that may hold a large share of the rows: more on a
-    larger cluster, none where there are few tasks anyway."""
-    return max(1, min(MOST_SALTS, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+def fits(table: DataFrame, rows: int, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the table has at most `rows` rows and `most_bytes` of content; looks at no more rows
+    than that."""
+    if rows <= 0:
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct(*table.columns)))).alias("size")
+    found = table.limit(rows + 1).agg(F.count("*").alias("n"), size).first()
+    return found["n"] <= rows and (found["size"] or 0) <= most_bytes
 
 
-def salted_join(rows: DataFrame, table: DataFrame, on: str, how: str = "inner", salts: int | None = None) -> DataFrame:
-    """Equi-join of many rows with a table of one row per key, the rows of each key spread over
-    `salts` tasks and the table copied to each.
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """A small table written to the shared scratch folder, so that it is made once."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    The hint keeps the optimizer from broadcasting either side: it takes rows that come out of a
-    generator for much smaller than they are. A merge join spills, and is split further at run
-    time where a partition is still too large.
+
+def even_join(
+    rows: DataFrame, table: DataFrame, on: str, how: str = "left", counts: DataFrame | None = None, shares: int | None = None
+) -> DataFrame:
+    """Equi-join of many rows with a large table of one row per key, whatever share a key holds.
+
+    Keys with more rows than an even share of a task are counted first (`counts`: a (key, _n) table,
+    if there is one already). There are fewer of them than tasks, so their entries are broadcast, and
+    their rows are spread by a hash of the row; all other keys are merged. No entry is copied but
+    those of hot keys, and each row is shuffled once.
     """
-    salts = salts or salts_for(rows.sparkSession)
-    if salts == 1:
-        return rows.join(table.hint("merge"), on, how)
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    return salted.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")
+    shares = shares or max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if counts is None:
+        counts = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
+    counts = saved(counts.select(on, "_n"), "key-counts")
+    even = (counts.agg(F.sum("_n")).first()[0] or 0) / shares
+    entries = table.select(on, F.struct(*[c for c in table.columns if c != on]).alias("_entry"))
+    hot = counts.where(F.col("_n") > even).select(on).join(entries, on, "left")
+    hot = hot.select(F.col(on).alias("_hot"), F.col("_entry").alias("_hot_entry"))
+    known = rows.join(F.broadcast(hot), F.col(on) == F.col("_hot"), "left")
+    away = F.concat(F.lit("\0"), F.xxhash64(*rows.columns).cast("string"))  # meets no entry
+    keyed = known.withColumn("_merge", F.when(F.col("_hot").isNull() & F.col(on).isNotNull(), F.col(on)).otherwise(away))
+    found = keyed.join(entries.withColumnRenamed(on, "_merge").hint("merge"), "_merge", "left")
+    found = found.withColumn("_entry", F.coalesce("_hot_entry", "_entry"))
+    if how == "inner":
+        found = found.where(F.col("_entry").isNotNull())
+    return found.select(*rows.columns, "_entry.*")
 
 
 def lookup(
-    rows: DataFrame,
-    lexicon: DataFrame,
-    on: str = "token",
-    how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int | None = None,
+    rows: DataFrame, lexicon: DataFrame, on: str = "token", how: str = "left", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join token rows with a lexicon that has one row per `on`: broadcast where its size is
-    checked, else shuffled with a salt, so that no word is a task of its own."""
+    checked, else by `even_join`, with the same result."""
     if fits(lexicon, broadcast_rows):
         return rows.join(F.broadcast(lexicon), on, how)
-    return salted_join(rows, lexicon, on, how, salts)
+    return even_join(rows, lexicon, on, how)
 
 
 def train_pos_lexicon(tagged: DataFrame, token_col: str = "token", tag_col: str = "tag") -> DataFrame:
@@ -85,8 +107,9 @@ def shape_tag(token, shapes=POS_SHAPES, other: str = POS_OTHER) -> Column:
 def pos_tag(
     rows: DataFrame, lexicon: DataFrame, shapes=POS_SHAPES, token_col: str = "token", **lookup_args
 ) -> DataFrame:
-    """Add `pos_tag`: the lexicon's tag of the lower-cased token, else the tag of its shape."""
-    entries = lexicon.select(F.col("token").alias("_lowered"), F.col("tag").alias("_tag"))
+    """Add `pos_tag`: the lexicon's tag of the token, whatever the case of either, else the tag of
+    the token's shape."""
+    entries = normalize_lexicon(lexicon, "tag", fold=True).select(F.col("token").alias("_lowered"), F.col("tag").alias("_tag"))
     found = lookup(rows.withColumn("_lowered", F.lower(token_col)), entries, "_lowered", **lookup_args)
     return found.withColumn("pos_tag", F.coalesce("_tag", shape_tag(token_col, shapes))).drop(
         "_lowered", "_tag"
@@ -95,20 +118,20 @@ def pos_tag(
 
 def lemmatize(rows: DataFrame, lexicon: DataFrame, token_col: str = "token", **lookup_args) -> DataFrame:
     """Add `lemma`: the lexicon's lemma of the token, else the token itself."""
-    entries = lexicon.select(F.col("token").alias(token_col), F.col("lemma").alias("_lemma"))
+    entries = normalize_lexicon(lexicon, "lemma").select(F.col("token").alias(token_col), F.col("lemma").alias("_lemma"))
     found = lookup(rows, entries, token_col, **lookup_args)
     return found.withColumn("lemma", F.coalesce("_lemma", token_col)).drop("_lemma")
 
 
 def embed(rows: DataFrame, vectors: DataFrame, token_col: str = "token", **lookup_args) -> DataFrame:
     """Add `vector`: the embedding of the token, null for unknown tokens."""
-    entries = vectors.select(F.col("token").alias(token_col), "vector")
-    return lookup(rows, entries, token_col, **{"broadcast_rows": BROADCAST_VECTORS, **lookup_args})
+    entries = normalize_lexicon(vectors, "vector").select(F.col("token").alias(token_col), "vector")
+    return lookup(rows, entries, token_col, **lookup_args)
 
 
 def content_key(tokens: str) -> Column:
-    """A key for the content of a token array; equal arrays have equal keys."""
-    return F.sha2(F.array_join(tokens, " "), 256)
+    """A key for the content of a token array: equal arrays, and no others, have equal keys."""
+    return F.sha2(F.to_json(tokens), 256)
 
 
 def carried(entries: pa.Table, value_type: str):
@@ -128,29 +151,38 @@ def carried(entries: pa.Table, value_type: str):
 
 def _joined(df: DataFrame, entries: DataFrame, tokens_col: str, out: str) -> DataFrame:
     """Values for token arrays by a join, for a lexicon too large to travel. They depend on the
-    tokens alone, so they are put together per distinct content: copies of a document combine
-    before the shuffle, and no id is needed."""
+    tokens alone, so they are put together per distinct content: copies of a document are looked up
+    once, and no id is needed."""
     keyed = settle(df, "_key", content_key(tokens_col))
-    rows = keyed.select("_key", F.posexplode(tokens_col).alias("_pos", "_token"))
+    contents = keyed.groupBy("_key").agg(F.first(tokens_col).alias("_content"))
+    rows = contents.select("_key", F.posexplode("_content").alias("_pos", "_token"))
     values = (
-        salted_join(rows, entries, "_token", "left")
+        even_join(rows, entries, "_token")
         .groupBy("_key")
-        .agg(F.array_sort(F.collect_set(F.struct("_pos", "_value"))).alias("_values"))
+        .agg(F.array_sort(F.collect_list(F.struct("_pos", "_value"))).alias("_values"))
     )
     found = keyed.join(values.hint("merge"), "_key", "left")
     none = F.array().cast(values.schema["_values"].dataType)
-    return settle(found, out, F.coalesce("_values", none)["_value"]).drop("_key", "_values")
+    held = F.when(F.col(tokens_col).isNotNull(), F.coalesce("_values", none)["_value"])
+    return settle(found, out, held).drop("_key", "_values")
 
 
 def look_up_arrays(
-    df: DataFrame, lexicon: DataFrame, value_col: str, tokens_col: str, out: str, carry_rows: int = BROADCAST_ROWS
+    df: DataFrame, lexicon: DataFrame, value_col: str, tokens_col: str, out: str, carry_rows: int = BROADCAST_ROWS,
+    fold: bool = False,
 ) -> DataFrame:
-    """Add an array with the lexicon's value of each token, null for unknown tokens."""
-    entries = lexicon.select(F.col("token").alias("_token"), F.col(value_col).alias("_value"))
-    table = entries.limit(carry_rows + 1).toArrow() if carry_rows > 0 else None
-    if table is None or table.num_rows > carry_rows:
+    """Add an array with the lexicon's value of each token, null for unknown tokens; a null array
+    gives null. A lexicon of a checked size travels to the tasks, a larger one is joined, with the
+    same result."""
+    entries = normalize_lexicon(lexicon, value_col, fold).select(
+        F.col("token").alias("_token"), F.col(value_col).alias("_value")
+    )
+    if carry_rows <= 0:
+        return _joined(df, entries, tokens_col, out)
+    entries = saved(entries, "lexicon")
+    if not fits(entries, carry_rows):
         return _joined(df, entries, tokens_col, out)
-    look = carried(table, entries.schema["_value"].dataType.simpleString())
+    look = carried(entries.toArrow(), entries.schema["_value"].dataType.simpleString())
     return settle(df.withColumn(out, look(tokens_col)), out, F.col(out))
 
 
@@ -165,7 +197,7 @@ def tag_arrays(
 ) -> DataFrame:
     """`pos_tag` for token arrays."""
     lowered = settle(df, "_lowered", F.transform(tokens_col, F.lower))
-    found = look_up_arrays(lowered, lexicon, "tag", "_lowered", out, **args).drop("_lowered")
+    found = look_up_arrays(lowered, lexicon, "tag", "_lowered", out, fold=True, **args).drop("_lowered")
     return _else(found, tokens_col, out, lambda token: shape_tag(token, shapes))
 
 
@@ -179,4 +211,4 @@ def vector_arrays(
     df: DataFrame, vectors: DataFrame, tokens_col: str = "token", out: str = "word_embeddings", **args
 ) -> DataFrame:
     """`embed` for token arrays."""
-    return look_up_arrays(df, vectors, "vector", tokens_col, out, **{"carry_rows": BROADCAST_VECTORS, **args})
+    return look_up_arrays(df, vectors, "vector", tokens_col, out, **args)

@@ -1,24 +1,24 @@
 """Named-entity tags for tokens: phrases of a gazetteer, then runs of capitalised words.
 
 A document's matches are written as a code with one character per token: `0` for no match, or a
-character that stands for the length and type of the longest phrase starting there. A regex with
-one branch per length then walks the code from the left, taking each match whole. That is
-leftmost-longest matching, in one pass over the row and without shuffling any token.
+character that stands for the length of the longest phrase starting there. A regex with one branch
+per length then walks the code from the left, taking each match whole. That is leftmost-longest
+matching, in one pass over the row. The types of the matches lie beside the code in an array, so
+their number is not part of the plan.
 """
 
 from __future__ import annotations
 
-from itertools import groupby
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import EN_STOP, NAME_SHAPE, NAME_TYPE
 from ..functions import settle
-from .lexicon import BROADCAST_ROWS, carried, content_key, lookup
+from .lexicon import BROADCAST_ROWS, carried, content_key, fits, lookup, saved
 
 OUTSIDE = "O"
-INLINE_PHRASES = 1_000
 _NO_MATCH = "0"
 _FIRST_SYMBOL = 0x4E00  # any run of letters without a meaning in a regex
 
@@ -28,148 +28,154 @@ def normalize_gazetteer(gazetteer: DataFrame) -> DataFrame:
     words = F.filter(F.split("phrase", r"\s+"), lambda w: w != "")
     return (
         gazetteer.select(F.array_join(words, " ").alias("phrase"), "entity_type")
-        .where(F.length("phrase") > 0)
+        .where((F.length("phrase") > 0) & F.col("entity_type").isNotNull())
         .groupBy("phrase")
         .agg(F.min("entity_type").alias("entity_type"))
         .withColumn("n", F.size(F.split("phrase", " ")))
     )
 
 
-def _symbols(kinds) -> dict[tuple[int, str], str]:
-    return {kind: chr(_FIRST_SYMBOL + i) for i, kind in enumerate(sorted(kinds))}
+@dataclass
+class Gazetteer:
+    """A gazetteer made ready once, for any number of batches."""
 
+    table: DataFrame  # normalized and saved
+    lengths: list[int]  # numbers of words of its phrases, the largest first
+    entries: pa.Table | None  # the phrases, if they travel to the tasks
 
-def _inline_code(tokens: str, entries, symbols) -> Column:
-    """The match code from phrases held in the plan as hash sets."""
-    by_kind = {
-        kind: [phrase for phrase, _, _ in rows]
-        for kind, rows in groupby(sorted(entries, key=lambda e: (-e[2], e[1])), key=lambda e: (e[2], e[1]))
-    }
-    first_words = sorted({phrase.split(" ")[0] for phrase, _, _ in entries})
 
-    def at(token, i):
-        symbol = F.when(~token.isin(first_words), _NO_MATCH)
-        for (n, entity_type), phrases in by_kind.items():
-            gram = token if n == 1 else F.array_join(F.slice(tokens, i + 1, n), " ")
-            symbol = symbol.when(gram.isin(phrases), symbols[n, entity_type])
-        return symbol.otherwise(_NO_MATCH)
+def prepare_gazetteer(gazetteer: DataFrame | Gazetteer, carry_phrases: int = BROADCAST_ROWS) -> Gazetteer:
+    """Normalize, size and save a (phrase, entity_type) gazetteer. Up to `carry_phrases` phrases of
+    checked size travel to the tasks as a table; a larger one is joined, with the same result."""
+    if isinstance(gazetteer, Gazetteer):
+        return gazetteer
+    table = saved(normalize_gazetteer(gazetteer), "gazetteer")
+    lengths = sorted((row["n"] for row in table.select("n").distinct().collect()), reverse=True)
+    return Gazetteer(table, lengths, table.toArrow() if fits(table, carry_phrases) else None)
 
-    return F.array_join(F.transform(tokens, at), "")
 
+def _key(n, gram) -> Column:
+    """A phrase with its number of words: a token that holds a blank is no phrase of two words."""
+    return F.concat(n if isinstance(n, Column) else F.lit(str(n)), F.lit(" "), gram)
 
-def _carried_code(df: DataFrame, tokens: str, entries, symbols) -> DataFrame:
-    """The match code from phrases that travel to the tasks as a table. N-grams are only made
-    where a phrase's first word is."""
 
-    def look(values):
-        pairs = {"key": list(values), "value": list(values.values())}
-        return carried(pa.table({name: pa.array(texts, pa.string()) for name, texts in pairs.items()}), "string")
+def _symbol(n: int) -> str:
+    return chr(_FIRST_SYMBOL + n)
 
-    starts = look({phrase.split(" ")[0]: "" for phrase, _, _ in entries})
-    whole = look({phrase: symbols[n, kind] for phrase, kind, n in entries})
-    lengths = sorted({n for n, _ in symbols}, reverse=True)
+
+def _carried_code(df: DataFrame, tokens: str, gazetteer: Gazetteer) -> DataFrame:
+    """The match code and types from phrases that travel to the tasks as a table. N-grams are only
+    made where a phrase's first word is."""
+
+    def look(keys, values):
+        return carried(pa.table({"key": pa.array(keys, pa.string()), "value": pa.array(values, pa.string())}), "string")
+
+    phrases, types, sizes = (gazetteer.entries.column(c).to_pylist() for c in ("phrase", "entity_type", "n"))
+    first_words = list(dict.fromkeys(phrase.split(" ")[0] for phrase in phrases))
+    starts = look(first_words, [""] * len(first_words))
+    whole = look([f"{n} {phrase}" for n, phrase in zip(sizes, phrases)], types)
 
     def grams(n):
-        return F.transform(
-            "_start", lambda start, i: F.when(start.isNotNull(), F.array_join(F.slice(tokens, i + 1, n), " "))
-        )
+        gram = lambda i: F.get(tokens, i) if n == 1 else F.array_join(F.slice(tokens, i + 1, n), " ")
+        full = lambda i: i + n <= F.size(tokens)
+        return F.transform("_start", lambda start, i: F.when(start.isNotNull() & full(i), _key(n, gram(i))))
 
     begun = settle(df.withColumn("_start", starts(tokens)), "_start", F.col("_start"))
-    found = begun.withColumns({f"_found{n}": whole(grams(n)) for n in lengths})
-    longest = F.transform(
-        "_start",
-        lambda start, i: F.when(start.isNull(), _NO_MATCH).otherwise(
-            F.coalesce(*(F.get(f"_found{n}", i) for n in lengths), F.lit(_NO_MATCH))
-        ),
+    found = begun.withColumns({f"_found{n}": whole(grams(n)) for n in gazetteer.lengths})
+    here = [F.col(f"_found{n}") for n in gazetteer.lengths]
+    symbol = lambda i: F.coalesce(
+        *(F.when(F.get(c, i).isNotNull(), _symbol(n)) for n, c in zip(gazetteer.lengths, here)), F.lit(_NO_MATCH)
     )
-    return settle(found, "_code", F.array_join(longest, "")).drop("_start", *(f"_found{n}" for n in lengths))
+    coded = settle(found, "_code", F.array_join(F.transform("_start", lambda _, i: symbol(i)), ""))
+    typed = settle(coded, "_types", F.transform("_start", lambda _, i: F.coalesce(*(F.get(c, i) for c in here))))
+    return typed.drop("_start", *(f"_found{n}" for n in gazetteer.lengths))
 
 
-def _joined_code(df: DataFrame, tokens: str, gazetteer: DataFrame, symbols) -> DataFrame:
-    """The match code by joining n-grams with a gazetteer too large for the plan.
+def _joined_code(df: DataFrame, tokens: str, gazetteer: Gazetteer) -> DataFrame:
+    """The match code and types by joining n-grams with a gazetteer too large to travel.
 
     Matches depend on the tokens alone, so they are put together per distinct content: copies of
-    a document combine before the shuffle, and no id is needed.
+    a document are looked up once, and no id is needed.
     """
-    longest = max(n for n, _ in symbols)
-    kinds = df.sparkSession.createDataFrame(
-        [(n, kind, symbol) for (n, kind), symbol in symbols.items()], "n int, entity_type string, symbol string"
-    )
-    entries = gazetteer.join(F.broadcast(kinds), ["n", "entity_type"]).select("phrase", "symbol")
-    first_words = gazetteer.select(F.split("phrase", " ")[0].alias("first")).distinct()
+    longest = gazetteer.lengths[0]
+    entries = gazetteer.table.select(_key(F.col("n").cast("string"), F.col("phrase")).alias("phrase"), "entity_type")
+    first_words = saved(gazetteer.table.select(F.split("phrase", " ")[0].alias("first")).distinct().withColumn("known", F.lit(True)), "first-words")
     keyed = settle(df, "_key", content_key(tokens))
-    windows = keyed.select(
+    contents = keyed.groupBy("_key").agg(F.first(tokens).alias("_content"))
+    windows = contents.select(
         "_key",
-        F.posexplode(F.transform(tokens, lambda _, i: F.slice(tokens, i + 1, longest))).alias("pos", "words"),
+        F.posexplode(F.transform("_content", lambda _, i: F.slice("_content", i + 1, longest))).alias("pos", "words"),
     ).withColumn("first", F.col("words")[0])
     grams = (
         lookup(windows, first_words, "first", "inner")
         .select("_key", "pos", "words", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("n"))
-        .select("_key", "pos", "n", F.array_join(F.slice("words", F.lit(1), F.col("n")), " ").alias("phrase"))
+        .where(F.col("n").isin(gazetteer.lengths))
+        .select("_key", "pos", "n", _key(F.col("n").cast("string"), F.array_join(F.slice("words", F.lit(1), F.col("n")), " ")).alias("phrase"))
     )
     hits = (
         lookup(grams, entries, "phrase", "inner")
         .groupBy("_key")
-        .agg(F.array_sort(F.collect_set(F.struct("pos", (-F.col("n")).alias("by"), "symbol"))).alias("_all"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", (-F.col("n")).alias("by"), "entity_type"))).alias("_all"))
     )
     hits = settle(
         hits, "_hits", F.filter("_all", lambda hit, i: (i == 0) | (hit["pos"] != F.get("_all", i - 1)["pos"]))
     )
-    gaps = F.transform(
-        "_hits",
-        lambda hit, i: F.concat(
-            F.repeat(F.lit(_NO_MATCH), hit["pos"] - F.coalesce(F.get("_hits", i - 1)["pos"], F.lit(-1)) - 1),
-            hit["symbol"],
-        ),
+
+    by_length = F.create_map(*[x for n in gazetteer.lengths for x in (F.lit(-n), F.lit(_symbol(n)))])
+
+    def aligned(none, value):
+        """One item per token up to the last hit."""
+        gap = lambda hit, i: hit["pos"] - F.coalesce(F.get("_hits", i - 1)["pos"], F.lit(-1)) - 1
+        return F.flatten(F.transform("_hits", lambda hit, i: F.concat(F.array_repeat(none, gap(hit, i)), F.array(value(hit)))))
+
+    symbols = aligned(F.lit(_NO_MATCH), lambda hit: F.element_at(by_length, hit["by"]))
+    codes = hits.select(
+        "_key", F.array_join(symbols, "").alias("_hit_code"),
+        aligned(F.lit(None).cast("string"), lambda hit: hit["entity_type"]).alias("_types"),
     )
-    codes = hits.select("_key", F.array_join(gaps, "").alias("_hit_code"))
     whole = F.rpad(F.coalesce("_hit_code", F.lit("")), F.size(tokens), F.lit(_NO_MATCH))
     return settle(keyed.join(codes.hint("merge"), "_key", "left"), "_code", whole).drop("_key", "_hit_code")
 
 
-def _tags(symbols) -> Column:
-    """Match code to one IOB tag per token."""
-    steps = [_NO_MATCH] + [f"{symbol}.{{{n - 1}}}" for (n, _), symbol in symbols.items()]
+def _places(lengths: list[int]) -> Column:
+    """Match code to each token's place in its match; -1 outside."""
+    steps = [_NO_MATCH] + [f"{_symbol(n)}.{{{n - 1}}}" for n in lengths]
     pieces = F.regexp_extract_all("_code", F.lit("|".join(steps)), F.lit(0))
+    return F.flatten(F.transform(
+        pieces,
+        lambda piece: F.when(piece == _NO_MATCH, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.length(piece) - 1)),
+    ))
 
-    def tags_of(piece):
-        tags = F.when(piece == _NO_MATCH, F.array(F.lit(OUTSIDE)))
-        for (n, entity_type), symbol in symbols.items():
-            run = [f"B-{entity_type}"] + [f"I-{entity_type}"] * (n - 1)
-            tags = tags.when(piece.startswith(symbol), F.array(*map(F.lit, run)))
-        return tags
 
-    return F.flatten(F.transform(pieces, tags_of))
+def _tags() -> Column:
+    """Places and types to one IOB tag per token."""
+    return F.transform(
+        "_places",
+        lambda place, i: F.when(place < 0, OUTSIDE)
+        .when(place == 0, F.concat(F.lit("B-"), F.get("_types", i)))
+        .otherwise(F.concat(F.lit("I-"), F.get("_types", i - place))),
+    )
 
 
 def match_phrases(
     df: DataFrame,
-    gazetteer: DataFrame,
+    gazetteer: DataFrame | Gazetteer,
     tokens_col: str = "token",
     out: str = "ner",
-    inline_phrases: int = INLINE_PHRASES,
     carry_phrases: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add IOB tags for the leftmost-longest phrases of a (phrase, entity_type) gazetteer.
 
-    Up to `inline_phrases` phrases go into the plan, up to `carry_phrases` travel to the tasks as a
-    table, and no row moves. A larger gazetteer is joined with the n-grams of the documents.
+    The phrases travel to the tasks as a table of checked size, and no row moves; a larger gazetteer
+    is joined with the n-grams of the documents, with the same result. A gazetteer used again, as in
+    a stream, goes through `prepare_gazetteer` once.
     """
-    phrases = normalize_gazetteer(gazetteer)
-    most = max(inline_phrases, carry_phrases)
-    entries = [tuple(row) for row in phrases.limit(most + 1).collect()]
-    symbols = _symbols({(n, kind) for _, kind, n in entries})
-    if not entries:
+    ready = prepare_gazetteer(gazetteer, carry_phrases)
+    if not ready.lengths:
         return settle(df, out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
-    if len(entries) <= inline_phrases:
-        coded = settle(df, "_code", _inline_code(tokens_col, entries, symbols))
-    elif len(entries) <= carry_phrases:
-        coded = _carried_code(df, tokens_col, entries, symbols)
-    else:
-        kinds = phrases.select("n", "entity_type").distinct().collect()
-        symbols = _symbols({tuple(kind) for kind in kinds})
-        coded = _joined_code(df, tokens_col, phrases, symbols)
-    return settle(coded, out, _tags(symbols)).drop("_code")
+    coded = (_joined_code if ready.entries is None else _carried_code)(df, tokens_col, ready)
+    placed = settle(coded, "_places", _places(ready.lengths))
+    return settle(placed, out, _tags()).drop("_code", "_types", "_places")
 
 
 def is_name(tokens_col: str, tags_col: str, ignore=EN_STOP) -> Column:
@@ -183,7 +189,7 @@ def is_name(tokens_col: str, tags_col: str, ignore=EN_STOP) -> Column:
 
 def ner_tag(
     df: DataFrame,
-    gazetteer: DataFrame | None = None,
+    gazetteer: DataFrame | Gazetteer | None = None,
     tokens_col: str = "token",
     out: str = "ner",
     names: bool = True,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import settle
-from .lexicon import lemmatize, salted_join
+from .lexicon import even_join, lemmatize, saved
 from .tokens import drop_stopwords
 
 NUM_FEATURES = 1000
@@ -55,15 +55,15 @@ def term_tfidf(
     lexicon: DataFrame | None = None,
     stopwords: DataFrame | None = None,
     documents: DataFrame | None = None,
-    salts: int | None = None,
+    shares: int | None = None,
 ) -> DataFrame:
     """(id, term, tf, df, tfidf) with tfidf = tf * ln((m + 1) / (df + 1)).
 
     `stopwords` is a table of words to leave out, `lexicon` a (token, lemma) table. `documents` is
     a table with as many rows as `df` that is cheaper to count, such as the one `df` was made of.
 
-    The document frequencies are as long as the vocabulary, so they are not broadcast: they are
-    joined with a salt that spreads a frequent term over tasks.
+    The document frequencies are as long as the vocabulary, so they are written once and merged;
+    only the terms that more documents have than a task's even share are broadcast (`even_join`).
     """
     terms = df.select(F.explode(F.array_distinct(terms_col)).alias("term"))
     tf = term_frequencies(df, id_col, terms_col)
@@ -78,11 +78,13 @@ def term_tfidf(
         )
         terms = tf
     m = (df if documents is None else documents).agg(F.count("*").alias("m")).scalar()
-    weighted = (
+    weighted = saved(
         terms.groupBy("term")
         .agg(F.count("*").alias("df"))
-        .withColumn("_idf", F.log((m + 1).cast("double") / (F.col("df") + 1)))
+        .withColumn("_idf", F.log((m + 1).cast("double") / (F.col("df") + 1))),
+        "document-frequencies",
     )
-    return salted_join(tf, weighted, "term", salts=salts).select(
+    counts = weighted.select("term", F.col("df").alias("_n"))
+    return even_join(tf, weighted, "term", "inner", counts, shares).select(
         id_col, "term", "tf", "df", (F.col("tf") * F.col("_idf")).alias("tfidf")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import EN_STOP
 from ..functions import settle, strip_punctuation, white_split
+from .lexicon import look_up_arrays, lookup
 
 
 def assemble(df: DataFrame, text_col: str = "text", id_col: str | None = "doc_id") -> DataFrame:
@@ -33,20 +34,27 @@ def token_rows(df: DataFrame, id_col: str = "doc_id", tokens_col: str = "token")
 def remove_stopwords(
     df: DataFrame, words=EN_STOP, tokens_col: str = "token", out: str = "cleanTokens"
 ) -> DataFrame:
-    """Drop listed words from the token arrays, whatever their case. The list is part of the
-    plan; a word list that lives in a table goes to `drop_stopwords`."""
+    """Drop listed words from the token arrays, whatever their case. A list is part of the plan; a
+    table of words (its first column, as `read_wordlist` gives it) is looked up in the row."""
+    if isinstance(words, DataFrame):
+        lowered = settle(df, "_lowered", F.transform(tokens_col, F.lower))
+        found = look_up_arrays(lowered, _listed(words), "listed", "_lowered", "_listed")
+        kept = F.filter(tokens_col, lambda _, i: F.get("_listed", i).isNull())
+        return settle(found, out, kept).drop("_lowered", "_listed")
     listed = [w.lower() for w in words]
     return settle(df, out, F.filter(tokens_col, lambda token: ~F.lower(token).isin(listed)))
 
 
 def drop_stopwords(rows: DataFrame, words: DataFrame, token_col: str = "token") -> DataFrame:
-    """Anti join of token rows (or counted tokens) with a table of words.
+    """Token rows (or counted tokens) without the words of a table, whatever their case. A list of
+    checked size is broadcast; a larger one is joined so that no frequent word is a task of its own."""
+    listed = _listed(words).withColumnRenamed("token", "_word").distinct()
+    found = lookup(rows.withColumn("_word", F.lower(token_col)), listed, "_word")
+    return found.where(F.col("listed").isNull()).select(*rows.columns)
 
-    The join side is left to the optimizer: it broadcasts the list by its size and shuffles
-    otherwise.
-    """
-    listed = words.select(F.lower(words.columns[0]).alias("_word")).distinct()
-    return rows.join(listed, F.lower(token_col) == F.col("_word"), "left_anti")
+
+def _listed(words: DataFrame) -> DataFrame:
+    return words.select(F.lower(words.columns[0]).alias("token"), F.lit("x").alias("listed")).where("token is not null")
 
 
 def finish(df: DataFrame, annotation_col: str = "lemma", out: str = "finished_lemma") -> DataFrame:

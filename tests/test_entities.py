@@ -44,27 +44,46 @@ def gazetteer(spark, *pairs):
 
 def brute_force(tokens, phrases):
     tags, i = [], 0
+    words = {tuple(phrase.split(" ")): kind for phrase, kind in phrases.items()}
     while i < len(tokens):
-        length = next((n for n in range(9, 0, -1) if i + n <= len(tokens) and " ".join(tokens[i:i + n]) in phrases), 0)
-        kind = phrases.get(" ".join(tokens[i:i + length]))
+        length = next((n for n in range(9, 0, -1) if i + n <= len(tokens) and tuple(tokens[i:i + n]) in words), 0)
+        kind = words.get(tuple(tokens[i:i + length]))
         tags += ["O"] if not length else [f"B-{kind}"] + [f"I-{kind}"] * (length - 1)
         i += max(length, 1)
     return tags
 
 
-@pytest.mark.parametrize("inline, carry", [(1000, 1000), (0, 1000), (0, 0)])
-def test_phrases_against_brute_force(spark, inline, carry):
+@pytest.mark.parametrize("carry", [1000, 0])
+def test_phrases_against_brute_force(spark, carry):
     rng = random.Random(7)
     words = ["a", "b", "c", "d", "e.", "(f)"]
-    phrases = {" ".join(rng.choices(words, k=rng.randint(1, 4))): rng.choice(["PER", "LOC"]) for _ in range(30)}
+    phrases = {" ".join(rng.choices(words, k=rng.randint(1, 4))): f"T{rng.randrange(20)}" for _ in range(30)}
     rows = [(i, rng.choices(words, k=rng.randint(0, 40))) for i in range(60)]
     rows += [(99, rows[3][1]), (99, rows[3][1])]  # copies, also of the id
+    rows += [(100, ["a b"]), (101, ["a", "b"]), (102, ["x", "a b", "c"])]  # a blank inside a token
+    phrases |= {"a b": "PAIR", "a b c": "THREE"}
     df = spark.createDataFrame(rows, "doc_id long, token array<string>")
-    tagged = match_phrases(df, gazetteer(spark, *phrases.items()), inline_phrases=inline, carry_phrases=carry)
+    tagged = match_phrases(df, gazetteer(spark, *phrases.items()), carry_phrases=carry)
     got = sorted((r.doc_id, r.token, r.ner) for r in tagged.collect())
     assert got == sorted((i, t, brute_force(t, phrases)) for i, t in rows)
 
 
+def test_thousands_of_types_are_no_part_of_the_plan(spark):
+    phrases = [(f"w{i} x", f"TYPE{i}") for i in range(3_000)]
+    df = spark.createDataFrame([(1, ["w7", "x", "y", "w2999", "x"])], "doc_id long, token array<string>")
+    for carry in (10_000, 0):
+        tagged = match_phrases(df, gazetteer(spark, *phrases), carry_phrases=carry)
+        assert tagged.first().ner == ["B-TYPE7", "I-TYPE7", "O", "B-TYPE2999", "I-TYPE2999"]
+        assert "TYPE7" not in tagged._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_null_tokens_get_null_tags(spark):
+    df = spark.createDataFrame([(1, None), (2, []), (3, ["a"])], "doc_id long, token array<string>")
+    for carry in (10, 0):
+        tagged = match_phrases(df, gazetteer(spark, ("a", "X")), carry_phrases=carry)
+        assert {r.doc_id: r.ner for r in tagged.collect()} == {1: None, 2: [], 3: ["B-X"]}
+
+
 def test_longest_phrase_wins(texts, spark):
     places = gazetteer(spark, ("New York", "LOC"), ("York City", "ORG"), ("New  York City", "LOC"))
     df = annotate_entities(texts("a New York City b New York"), "text", places, names=False)

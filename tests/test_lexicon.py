@@ -7,7 +7,7 @@ from newsloom.operators import (
     drop_stopwords, embed, finish, keyword_counts, lemma_arrays, lemmatize, pos_frequencies, pos_tag, pos_words,
     remove_stopwords, tag_arrays, token_counts, token_rows, tokenize, train_pos_lexicon, vector_arrays,
 )
-from newsloom.operators.lexicon import lookup, salted_join
+from newsloom.operators.lexicon import even_join, fits, lookup, normalize_lexicon
 
 
 @pytest.fixture
@@ -69,14 +69,70 @@ def test_vectors(corpus, spark, carry):
         assert r.word_embeddings == [rows[t] for t in r.token]
 
 
-def test_large_lexicon_is_salted(corpus, lemmas):
+def test_large_lexicon_is_merged_but_for_hot_keys(corpus, lemmas):
     rows = token_rows(corpus)
+    rows = rows.unionByName(rows.limit(3).withColumn("token", F.lit(None).cast("string")))
     entries = lemmas.select("token", "lemma")
-    plain = sorted(map(tuple, rows.join(entries, "token", "left").collect()), key=repr)
-    for joined in (salted_join(rows, entries, "token", "left", salts=7), lookup(rows, entries, broadcast_rows=0)):
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Broadcast" not in plan
-        assert sorted(map(tuple, joined.collect()), key=repr) == plain
+    columns = ["doc_id", "pos", "token", "lemma"]
+    for how in ("left", "inner"):
+        plain = sorted(map(tuple, rows.join(entries, "token", how).select(*columns).collect()), key=repr)
+        for shares in (1, 3, 50):
+            joined = even_join(rows, entries, "token", how, shares=shares)
+            assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(tuple, joined.select(*columns).collect()), key=repr) == plain
+        by_lookup = lookup(rows, entries, "token", how, broadcast_rows=0).select(*columns)
+        assert sorted(map(tuple, by_lookup.collect()), key=repr) == plain
+
+
+def test_size_is_rows_and_bytes(spark):
+    table = spark.range(100).selectExpr("cast(id as string) as token", "repeat('x', 1000) as lemma")
+    assert fits(table, 100) and not fits(table, 99) and not fits(table, 0)
+    assert not fits(table, 100, most_bytes=50_000)
+
+
+def test_one_row_per_token(spark):
+    lexicon = spark.createDataFrame(
+        [("cars", "car"), ("cars", "auto"), ("Cars", "x"), (None, "y"), ("z", None)], "token string, lemma string"
+    )
+    assert sorted(map(tuple, normalize_lexicon(lexicon, "lemma").collect())) == [("Cars", "x"), ("cars", "auto")]
+    assert sorted(map(tuple, normalize_lexicon(lexicon, "lemma", fold=True).collect())) == [("cars", "auto")]
+
+
+ODD = [(0, ["cars", "and", "cars"]), (1, None), (2, []), (3, ["a b"]), (4, ["a", "b"]), (5, ["Paris", "PARIS", None]), (6, ["cars", "and", "cars"])]
+
+
+@pytest.mark.parametrize("carry", [1000, 0])
+def test_all_ways_agree_on_odd_input(spark, carry):
+    """Repeated keys, mixed case, nulls and tokens with blanks: rows, carried and joined."""
+    df = spark.createDataFrame(ODD, "doc_id long, token array<string>")
+    lemmas = spark.createDataFrame([("cars", "car"), ("cars", "auto"), ("a b", "ab"), ("a", "A")], "token string, lemma string")
+    tags = spark.createDataFrame([("Paris", "NNP"), ("paris", "ZZ"), ("a b", "X"), ("b", "Y")], "token string, tag string")
+    got = {r.doc_id: r.lemma for r in lemma_arrays(df, lemmas, carry_rows=carry).collect()}
+    assert got == {
+        0: ["auto", "and", "auto"], 1: None, 2: [], 3: ["ab"], 4: ["A", "b"], 5: ["Paris", "PARIS", None], 6: ["auto", "and", "auto"],
+    }
+    got = {r.doc_id: r.pos for r in tag_arrays(df, tags, carry_rows=carry).collect()}
+    assert got[3] == ["X"] and got[4] == ["NN", "Y"] and got[5][:2] == ["NNP", "NNP"] and got[1] is None and got[2] == []
+    known = df.where("token is not null")
+    rows = lemmatize(token_rows(known), lemmas, broadcast_rows=carry).select("doc_id", "pos", "lemma").collect()
+    arrays = lemma_arrays(known, lemmas, carry_rows=carry).select("doc_id", F.posexplode("lemma")).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, arrays), key=repr)
+
+
+def test_repeated_keys_do_not_change_counts(spark, texts):
+    corpus = tokenize(texts("cars Paris cars"))
+    lemmas = spark.createDataFrame([("cars", "car"), ("cars", "auto")], "token string, lemma string")
+    assert {r.word: r["count"] for r in keyword_counts(corpus, lemmas).collect()} == {"auto": 2, "Paris": 1}
+    tags = spark.createDataFrame([("cars", "NNS"), ("cars", "VBZ"), ("Paris", "LOC")], "token string, tag string")
+    assert {r.pos_tag: r["count"] for r in pos_frequencies(corpus, tags).collect()} == {"NNS": 2, "LOC": 1}
+
+
+@pytest.mark.parametrize("carry", [200_000, 0])
+def test_stop_words_of_a_table(spark, texts, carry, monkeypatch):
+    monkeypatch.setattr("newsloom.operators.lexicon.look_up_arrays.__defaults__", (carry, False))
+    df = tokenize(texts("The cat AND I", "", "the"))
+    table = spark.createDataFrame([("the",), ("The",), ("and",), (None,)], "word string")
+    assert [r.cleanTokens for r in remove_stopwords(df, table).orderBy("doc_id").collect()] == [["cat", "I"], [], []]
 
 
 def test_trained_lexicon(spark):

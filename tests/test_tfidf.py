@@ -28,9 +28,17 @@ def test_term_frequencies(spark):
     ]
 
 
-def test_salts_change_nothing(texts):
-    df = tokenize(texts(*(f"hot w{i % 5} hot" for i in range(50))))
-    assert sorted(map(tuple, term_tfidf(df, salts=5).collect())) == sorted(map(tuple, term_tfidf(df).collect()))
+def test_shares_change_nothing(texts):
+    df = tokenize(texts(*(f"hot w{i % 5} x{i}" for i in range(50))))
+    plain = sorted(map(tuple, term_tfidf(df, shares=1).collect()))
+    for shares in (2, 5, 1000):
+        assert sorted(map(tuple, term_tfidf(df, shares=shares).collect())) == plain
+
+
+def test_only_frequent_terms_are_broadcast(texts):
+    df = tokenize(texts(*(f"hot x{i}" for i in range(50))))
+    plan = term_tfidf(df, shares=4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastExchange") <= 2 and "Generate explode(sequence" not in plan
 
 
 def test_lemmas_and_stop_words(spark):
