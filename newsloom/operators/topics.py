@@ -53,7 +53,7 @@ def topic_trends(
     row per task and window.
     """
     if watermark is not None:
-        df = df.withWatermark(ts_col, watermark)
+        df = df.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
     counted = df.groupBy(
         F.col(topic_col).alias("topic"), F.window(ts_col, window).alias("window")
     ).agg(F.count("*").alias("count"), F.max(ts_col).alias("last_seen"))

@@ -9,18 +9,17 @@ from ..functions import keep_letters, moment, white_split
 
 
 def word_frequencies(
-    df: DataFrame, text_col: str, topic_col: str, stopwords=FR_STOP, min_len: int = 4
+    df: DataFrame, text_col: str, topic_col: str, stopwords=FR_STOP, min_len: int = 4, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(word, topic, frequency). The topic must be a column already: computed beside the
+    """(word, topic, frequency), and for each value of the `keep` columns. The topic must be a column already: computed beside the
     explode it would be worked out anew for every word."""
     words = df.select(
-        F.explode(white_split(keep_letters(text_col))).alias("word"), F.col(topic_col).alias("topic")
+        F.explode(white_split(keep_letters(text_col))).alias("word"), F.col(topic_col).alias("topic"), *keep
     )
     return (
         words.where((F.length("word") >= min_len) & ~F.col("word").isin(list(stopwords)))
-        .groupBy("word", "topic")
+        .groupBy("word", "topic", *keep)
         .agg(F.count("*").alias("frequency"))
-        .where(F.col("frequency") > 0)
     )
 
 
@@ -32,8 +31,11 @@ def _by_frequency(values, other) -> Column:
     return picked.otherwise(other)
 
 
-def style_words(frequencies: DataFrame, buckets=BUCKETS, other=OTHER_STYLE, as_of=None) -> DataFrame:
+def style_words(
+    frequencies: DataFrame, buckets=BUCKETS, other=OTHER_STYLE, as_of=None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     return frequencies.select(
+        *keep,
         "word",
         "topic",
         "frequency",
@@ -53,9 +55,10 @@ def word_cloud(
     min_len: int = 4,
     buckets=BUCKETS,
     as_of=None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     return style_words(
-        word_frequencies(df, text_col, topic_col, stopwords, min_len), buckets, as_of=as_of
+        word_frequencies(df, text_col, topic_col, stopwords, min_len, keep), buckets, as_of=as_of, keep=keep
     )
 
 

@@ -21,7 +21,8 @@ def run_entities(
     """Start both queries over one replayable stream of `value` lines.
 
     `sinks` has the keys `streaming_articles`, `extracted_entities` and `trending_entities`;
-    `recent` reads the table of extracted entities back.
+    `recent` reads the table of extracted entities back; before the first batch it has to give an
+    empty table, as `sinks.HourlyTable.read` does.
     """
     every = {"every": None} if now else {}
     extracted = entity_query(

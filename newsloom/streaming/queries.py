@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..fixed_values import CLOUD_LIFETIME
 from ..operators import (
-    enrich_articles, article_lines, extract_entities, flatten_articles, topic_trends, trending_entities,
-    word_cloud,
+    enrich_articles, article_lines, extract_entities, flatten_articles, prepare_gazetteer, topic_trends,
+    trending_entities, word_cloud,
 )
 from ..sinks.batches import fan_out, start, start_lines
 
@@ -22,6 +23,10 @@ TOPICS_EVERY = "10 seconds"
 CLOUD_EVERY = "5 seconds"
 TRENDING_EVERY = "15 seconds"
 
+#: What tells the rows of the trend and cloud tables apart, for sinks that merge.
+TREND_KEYS = ("topic", "time_window")
+CLOUD_KEYS = ("word", "topic", "time_window")
+
 
 def article_query(articles: DataFrame, sinks, checkpoint: str, every: str | None = ARTICLES_EVERY) -> StreamingQuery:
     """Append enriched articles."""
@@ -36,11 +41,11 @@ def topic_query(
     topic_col: str = "topic",
     ts_col: str = "received_date",
     window: str = "1 minutes",
-    watermark: str | None = None,
+    watermark: str | None = "10 minutes",
 ) -> StreamingQuery:
-    """Topic counts per window. The complete result is handed over at each trigger, so the sink
-    must replace. With a watermark old windows leave the state, and each batch brings only the
-    windows that changed, for a sink that appends or merges."""
+    """Topic counts per window. Windows older than the watermark leave the state, and each trigger
+    hands over only the windows that changed, for a sink that merges by `TREND_KEYS`. Without a
+    watermark every window is kept and handed over at each trigger, for a sink that replaces."""
     trends = topic_trends(articles, topic_col, ts_col, window, watermark=watermark)
     return start(trends, sinks, checkpoint, "complete" if watermark is None else "update", every)
 
@@ -52,10 +57,27 @@ def word_cloud_query(
     every: str | None = CLOUD_EVERY,
     text_col: str = "title",
     topic_col: str = "topic",
+    ts_col: str | None = "received_date",
+    lifetime: str = CLOUD_LIFETIME,
+    watermark: str = "10 minutes",
+    tasks: int | None = None,
     **cloud_args,
 ) -> StreamingQuery:
-    """The complete word cloud at each trigger."""
-    return start(word_cloud(articles, text_col, topic_col, **cloud_args), sinks, checkpoint, "complete", every)
+    """Word counts in windows as long as an entry's lifetime, which leave the state after the
+    watermark; each trigger hands over the words that changed, for a sink that merges by `CLOUD_KEYS`
+    and drops what has expired. `ts_col=None` keeps all words for ever and hands over the complete
+    cloud at each trigger, for a sink that replaces.
+
+    A micro-batch is spread over `tasks` (by default the cores) before its texts are cut into words,
+    as a few files or messages are few tasks.
+    """
+    spread_out = articles.repartition(tasks or articles.sparkSession.sparkContext.defaultParallelism)
+    if ts_col is None:
+        return start(word_cloud(spread_out, text_col, topic_col, **cloud_args), sinks, checkpoint, "complete", every)
+    timed = spread_out.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
+    timed = timed.withColumn("time_window", F.window(ts_col, lifetime))
+    cloud = word_cloud(timed, text_col, topic_col, keep=("time_window",), **cloud_args)
+    return start(cloud.withColumn("time_window", F.col("time_window.start")), sinks, checkpoint, "update", every)
 
 
 def entity_query(
@@ -69,13 +91,14 @@ def entity_query(
     as_of=None,
     **ner_args,
 ) -> StreamingQuery:
-    """Articles first, then the entities of the same micro-batch."""
+    """Articles first, then the entities of the same micro-batch. The gazetteer is made ready once."""
+    ready = None if gazetteer is None else prepare_gazetteer(gazetteer)
 
     def articles(batch: DataFrame, batch_id: int) -> None:
         article_sink(enrich_articles(batch, text_col, ts=as_of), batch_id)
 
     def entities(batch: DataFrame, batch_id: int) -> None:
-        entity_sink(extract_entities(batch, text_col, gazetteer, as_of, **ner_args), batch_id)
+        entity_sink(extract_entities(batch, text_col, ready, as_of, **ner_args), batch_id)
 
     return start(lines, [articles, entities], checkpoint, "append", every)
 
@@ -102,5 +125,6 @@ def trending_query(
 
 
 def message_query(messages: DataFrame, path: str, checkpoint: str, every: str | None = ARTICLES_EVERY) -> StreamingQuery:
-    """JSON messages to article lines in a text folder."""
-    return start_lines(article_lines(flatten_articles(messages)), path, checkpoint, every)
+    """JSON messages to article lines in a text folder. The progress of each batch holds the number of
+    messages and of unreadable ones as the observed metrics of `read`."""
+    return start_lines(article_lines(flatten_articles(messages, observe="read")), path, checkpoint, every)

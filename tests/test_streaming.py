@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import classify_topic, enrich_articles, extract_entities, topic_trends, trending_entities, word_cloud
 from newsloom.plans import run_entities, run_messages, run_topics
-from newsloom.sinks import batch_table, fan_out, read_batches, replaced_table, start, wait
+from newsloom.sinks import (
+    HourlyTable, batch_table, fan_out, merged_table, read_batches, read_replaced, replaced_table, start, wait,
+)
 from newsloom.sources import line_stream, message_stream
-from newsloom.streaming import topic_query
+from newsloom.streaming import CLOUD_KEYS, TREND_KEYS, topic_query, word_cloud_query
 
 HEADLINES = [
     ["Intelligence artificielle au tennis", "Emmanuel Macron visite Paris"],
@@ -41,8 +43,8 @@ def test_topic_job_equals_batch(spark, headlines, tmp_path):
     out = tmp_path / "out"
     sinks = {
         "streaming_articles": batch_table(f"{out}/articles"),
-        "trending_topics": replaced_table(f"{out}/topics"),
-        "wordcloud_realtime": replaced_table(f"{out}/words"),
+        "trending_topics": merged_table(f"{out}/topics", TREND_KEYS),
+        "wordcloud_realtime": merged_table(f"{out}/words", CLOUD_KEYS),
     }
 
     def run():
@@ -52,21 +54,22 @@ def test_topic_job_equals_batch(spark, headlines, tmp_path):
     batch = enrich_articles(spark.read.text(headlines), ts=F.lit(AS_OF))
     assert rows(read_batches(spark, f"{out}/articles")) == rows(batch)
     assert len(list((out / "articles").iterdir())) == 3
-    assert rows(spark.read.parquet(f"{out}/topics")) == rows(topic_trends(batch, "topic", "received_date"))
+    assert rows(read_replaced(spark, f"{out}/topics")) == rows(topic_trends(batch, "topic", "received_date"))
     cloud = word_cloud(batch, "title", "topic")
-    assert rows(spark.read.parquet(f"{out}/words"), "expires_at") == rows(cloud, "expires_at")
+    assert rows(read_replaced(spark, f"{out}/words"), "expires_at", "time_window") == rows(cloud, "expires_at")
+    assert len(list((out / "words").iterdir())) == 2  # the last two results
 
     run()  # a restart finds nothing new
     assert rows(read_batches(spark, f"{out}/articles")) == rows(batch)
 
 
 def test_new_lines_after_a_restart(spark, headlines, tmp_path):
-    counts = replaced_table(f"{tmp_path}/topics")
+    counts = merged_table(f"{tmp_path}/topics", TREND_KEYS)
 
     def run():
         articles = enrich_articles(stream(spark, headlines), ts=F.lit(AS_OF))
         topic_query(articles, counts, f"{tmp_path}/checkpoint", None).awaitTermination()
-        return {r.topic: r["count"] for r in spark.read.parquet(f"{tmp_path}/topics").collect()}
+        return {r.topic: r["count"] for r in read_replaced(spark, f"{tmp_path}/topics").collect()}
 
     before = run()
     with open(f"{headlines}/new.txt", "w", encoding="utf-8") as f:
@@ -88,7 +91,7 @@ def test_entity_job_equals_batch(spark, headlines, tmp_path):
     expected = extract_entities(spark.read.text(headlines), "value", places)
     assert rows(recent(), "detected_at") == rows(expected, "detected_at")
     assert read_batches(spark, f"{tmp_path}/articles").count() == 7
-    trending = spark.read.parquet(f"{tmp_path}/trending")
+    trending = read_replaced(spark, f"{tmp_path}/trending")
     assert {r.entity_name: r["count"] for r in trending.collect()}["Paris"] == 3
     assert rows(trending, "time_window") == rows(trending_entities(recent()), "time_window")
 
@@ -104,6 +107,8 @@ def test_message_job(spark, tmp_path):
     query.awaitTermination()
     counts = [p["observedMetrics"]["written"]["lines"] for p in query.recentProgress if p["numInputRows"]]
     assert counts == [2, 2, 2]
+    read = [p["observedMetrics"]["read"].asDict() for p in query.recentProgress if p["numInputRows"]]
+    assert read == [{"messages": 2, "unreadable": 1}] * 3
     got = sorted(r.value for r in spark.read.text(f"{tmp_path}/lines").collect())
     assert got == ["Title: No title | Published At: Unknown date"] * 3 + [
         f"Title: t{i} | Published At: 2024" for i in range(3)
@@ -162,3 +167,82 @@ def test_watermark_drops_old_windows(spark, tmp_path):
     windows = [r.time_window for r in read_batches(spark, f"{tmp_path}/out").collect()]
     assert windows.count(AS_OF) == 1  # the late row at minute 0 is left out
     assert AS_OF + dt.timedelta(minutes=62) in windows
+
+
+def test_entity_job_survives_its_first_triggers(spark, headlines, tmp_path):
+    """The trending query starts before there is a table of entities."""
+    schema = extract_entities(spark.createDataFrame([], "value string"), "value").schema
+    entities = HourlyTable(f"{tmp_path}/entities", "detected_at", schema)
+    sinks = {
+        "streaming_articles": batch_table(f"{tmp_path}/articles"),
+        "extracted_entities": entities,
+        "trending_entities": replaced_table(f"{tmp_path}/trending"),
+    }
+    assert entities.read(spark).count() == 0
+    recent = lambda: entities.read(spark, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(hours=1))
+    queries = run_entities(stream(spark, headlines), sinks, recent, f"{tmp_path}/checkpoints", now=False)
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        assert all(query.isActive for query in queries)
+    finally:
+        for query in queries:
+            query.stop()
+    expected = extract_entities(spark.read.text(headlines), "value")
+    assert rows(entities.read(spark), "detected_at") == rows(expected, "detected_at")
+
+
+def test_hourly_table_prunes_replaces_and_compacts(spark, tmp_path):
+    at = lambda hour: dt.datetime(2024, 1, 30, 22) + dt.timedelta(hours=hour)
+    make = lambda *hours: spark.createDataFrame([(h, at(h)) for h in hours], "h int, t timestamp")
+    table = HourlyTable(f"{tmp_path}/t", "t", "h int, t timestamp")
+    table(make(0, 1, 1), 0)
+    table(make(1, 2, 3), 1)
+    table(make(1, 2, 3), 1)  # repeated
+    assert sorted(r.h for r in table.read(spark).collect()) == [0, 1, 1, 1, 2, 3]
+    late = table.read(spark, at(2))
+    assert sorted(r.h for r in late.collect()) == [2, 3]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((day" in plan
+    table.compact(spark, "2024-01-30", 23)
+    assert sorted(r.h for r in table.read(spark).collect()) == [0, 1, 1, 1, 2, 3]
+    assert len([p for p in (tmp_path / "t/day=2024-01-30/hour=23").iterdir() if p.is_dir()]) == 1
+
+
+def test_replaced_result_is_whole_or_not_there(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    assert read_replaced(spark, path, "id long").count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_replaced(spark, path)
+    write = replaced_table(path)
+    write(spark.range(3), 0)
+    with pytest.raises(Exception):
+        write(spark.range(5).select(F.raise_error("broken").alias("id")), 1)
+    assert read_replaced(spark, path).count() == 3  # the failed write hides nothing
+    begun = read_replaced(spark, path)
+    write(spark.range(7), 2)
+    assert read_replaced(spark, path).count() == 7 and begun.count() == 3
+
+
+def test_merged_table_drops_what_has_expired(spark, tmp_path):
+    sink = merged_table(f"{tmp_path}/out", ["k"], F.col("until") > 1)
+    make = lambda *given: spark.createDataFrame(list(given), "k string, n int, until int")
+    sink(make(("a", 1, 2), ("b", 1, 5), ("c", 1, 1)), 0)
+    sink(make(("b", 2, 5), ("d", 1, 9)), 1)
+    assert rows(read_replaced(spark, f"{tmp_path}/out")) == [("a", 1, 2), ("b", 2, 5), ("d", 1, 9)]
+
+
+def test_word_cloud_state_is_bounded(spark, tmp_path):
+    folder = tmp_path / "news"
+    folder.mkdir()
+    for i in range(6):
+        path = folder / f"{i}.json"
+        path.write_text(json.dumps({"title": f"mot{chr(97 + i) * 4} toujours", "topic": "t", "ts": (AS_OF + dt.timedelta(hours=3 * i)).isoformat()}) + "\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    news = spark.readStream.schema("title string, topic string, ts timestamp").option("maxFilesPerTrigger", 1).json(str(folder))
+    query = word_cloud_query(news, merged_table(f"{tmp_path}/out", CLOUD_KEYS), f"{tmp_path}/checkpoint", None, ts_col="ts", tasks=2)
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) <= 4  # two words of each of the windows that are still open
+    found = read_replaced(spark, f"{tmp_path}/out")
+    assert found.where("word = 'toujours'").count() == 6  # once in each window
