@@ -29,11 +29,12 @@ def enrich_articles(
     """Headlines to article rows. `ts` is the arrival time, by default the current time.
 
     All rows of a micro-batch share one timestamp, so a hash of the text is added to the
-    timestamp of the URL to tell them apart.
+    timestamp of the URL to tell them apart. A null headline has a URL too: that of an empty one.
     """
     received = moment(F.col(ts) if isinstance(ts, str) else ts)
     url = F.concat(
-        F.lit(URL_PREFIX), F.date_format(received, URL_TIME_FORMAT), F.lit("-"), F.md5(text_col)
+        F.lit(URL_PREFIX), F.date_format(received, URL_TIME_FORMAT), F.lit("-"),
+        F.md5(F.coalesce(F.col(text_col), F.lit(""))),
     )
     return classify_topic(df, text_col, rules, out="topic").select(
         *keep,

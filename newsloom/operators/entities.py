@@ -21,14 +21,9 @@ def annotate_entities(
 
 def entity_pairs(annotated: DataFrame, entities_col: str = "entities", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row (entity, entity_type) per chunk."""
-    pairs = F.arrays_zip(
-        F.col(f"{entities_col}.result").alias("entities"),
-        F.col(f"{entities_col}.metadata").alias("metadata"),
-    )
-    return annotated.select(*keep, F.explode(pairs).alias("pair")).select(
-        *keep,
-        F.col("pair.entities").alias("entity"),
-        F.col("pair.metadata.entity").alias("entity_type"),
+    chunks = annotated.select(*keep, F.explode(entities_col).alias("_chunk"))
+    return chunks.select(
+        *keep, F.col("_chunk.result").alias("entity"), F.col("_chunk.metadata").getItem("entity").alias("entity_type")
     )
 
 

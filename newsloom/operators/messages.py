@@ -5,18 +5,31 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..fixed_values import ARTICLE_DEFAULTS, LINE_FORMAT
+from ..functions import settle
 
 
 def flatten_articles(
-    messages: DataFrame, value_col: str = "value", defaults=ARTICLE_DEFAULTS, keep: tuple[str, ...] = ()
+    messages: DataFrame, value_col: str = "value", defaults=ARTICLE_DEFAULTS, keep: tuple[str, ...] = (),
+    observe: str | Observation | None = None,
 ) -> DataFrame:
-    """One row per article of every message. A message that is no JSON, or whose `articles`
-    is not an array, gives no rows; a missing or null field gets its default."""
+    """One row per article of every message. A message that is no JSON (or has more than a variant
+    holds, 16 MiB), or whose `articles` is not an array, gives no rows; `observe` names an observation
+    that counts these as `unreadable` of all `messages`. A missing or null field gets its default.
+
+    A message in which a key is repeated is only read in a session that allows it, as
+    `newsloom.session` sets `spark.sql.variant.allowDuplicateKeys`; else it is unreadable.
+    """
     articles = F.try_variant_get(F.try_parse_json(value_col), "$.articles", "array<variant>")
+    if observe is not None:
+        messages = settle(messages, "_articles", articles)
+        articles = F.col("_articles")
+        messages = messages.observe(
+            observe, F.count(F.lit(1)).alias("messages"), F.count_if(articles.isNull()).alias("unreadable")
+        )
     fields = [
         F.coalesce(F.try_variant_get("_article", f"$.{name}", "string"), F.lit(default)).alias(name)
         for name, default in defaults.items()
@@ -32,16 +45,20 @@ def article_lines(articles: DataFrame) -> DataFrame:
 
 
 def to_messages(
-    articles: DataFrame, group_cols: tuple[str, ...] = (), per_message: int = 100
+    articles: DataFrame, group_cols: tuple[str, ...] = (), per_message: int = 100, most_bytes: int = 900_000
 ) -> DataFrame:
-    """Pack articles into JSON messages of at most `per_message`, one group per message.
+    """Pack articles into JSON messages of at most `per_message` articles and `most_bytes` bytes, one
+    group per message. An article that alone is larger has a message of its own.
 
     Each task packs the rows it has, batch by batch. No row is shuffled and no message grows with
     the data, whatever share of the rows a group holds; and no later step depends on which rows
     came together, so a task that is run again does no harm.
     """
     fields = [c for c in articles.columns if c not in group_cols]
-    packable = articles.select(*group_cols, F.struct(*fields).alias("_article"))
+    article = F.struct(*fields)
+    size = (F.octet_length(F.to_json(article)) + 1).cast("long")
+    packable = articles.select(*group_cols, size.alias("_size"), article.alias("_article"))
+    room = most_bytes - len('{"articles":[]}')
     schema = StructType([StructField("articles", ArrayType(packable.schema["_article"].dataType))])
 
     # Inner functions travel to the workers by value: these need not have this package.
@@ -55,8 +72,13 @@ def to_messages(
             for c in group_cols:
                 codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
                 begins[1:] |= codes[1:] != codes[:-1]
-        first = np.maximum.accumulate(np.where(begins, place, 0))
-        return batch, np.flatnonzero((place - first) % per_message == 0)
+        starts, count, held = [], 0, 0
+        for i, (begin, size) in enumerate(zip(begins.tolist(), batch.column("_size").to_pylist())):
+            if begin or count == per_message or held + size > room:
+                starts.append(i)
+                count = held = 0
+            count, held = count + 1, held + size
+        return batch, np.array(starts)
 
     def pack(batches):
         for batch in batches:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def from_clause(table_or_query: str, alias: str = "q") -> str:
-    """A table name as it is; a query as a derived table."""
+    """A table name as it is; a query, also one that begins with `WITH`, as a derived table."""
     text = table_or_query.strip().rstrip(";")
-    if text[:6].lower() == "select":
+    if re.match(r"(select|with|values)\b", text, re.IGNORECASE):
         return f"({text}) {alias}"
     return text
 

@@ -128,6 +128,8 @@ def test_jdbc_arrays_become_text(spark):
 def test_jdbc_scan():
     assert from_clause("trending") == "trending"
     assert from_clause(" SELECT 1 as x; ") == "(SELECT 1 as x) q"
+    assert from_clause("WITH a AS (SELECT 1) SELECT * FROM a") == "(WITH a AS (SELECT 1) SELECT * FROM a) q"
+    assert from_clause("selected_articles") == "selected_articles"
     fake = MagicMock()
     fake.read = Recorder()
     read_jdbc(fake, "jdbc:x", "select a from t", {"user": "u"}, ("a", 0, 10, 4))

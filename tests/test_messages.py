@@ -66,6 +66,29 @@ def test_messages_are_bounded_and_whole(spark):
     assert sorted(r.title for r in back.collect()) == sorted(str(i) for i in range(1000))
 
 
+def test_messages_are_bounded_in_bytes(spark):
+    df = spark.range(300).selectExpr("repeat('é', int(id % 50) * 100) as title", "cast(id as string) as url").coalesce(1)
+    values = [r.value for r in to_messages(df, most_bytes=20_000).collect()]
+    assert max(len(v.encode()) for v in values) <= 20_000 < 2 * min(sorted(len(v.encode()) for v in values)[1:])
+    assert sorted(a["url"] for v in values for a in json.loads(v)["articles"]) == sorted(map(str, range(300)))
+
+
+def test_an_article_larger_than_a_message_is_alone(spark):
+    df = spark.createDataFrame([("a",), ("x" * 5_000,), ("b",)], "title string").coalesce(1)
+    sizes = sorted(len(json.loads(r.value)["articles"]) for r in to_messages(df, most_bytes=1_000).collect())
+    assert sizes == [1, 1, 1] or sizes == [1, 2]
+
+
+def test_unreadable_messages_are_counted(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    values = ['{"articles":[{}]}', "{bad", None, '{"articles":{}}', '{"articles":[]}']
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    assert flatten_articles(df, observe=seen).count() == 1
+    assert seen.get == {"messages": 5, "unreadable": 3}
+
+
 def test_groups_are_not_mixed(spark):
     rows = [("a", None), ("b", "x"), ("c", "y"), ("d", None), ("e", "x")]
     df = spark.createDataFrame(rows, "title string, source string").coalesce(1)
