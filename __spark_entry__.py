@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
@@ -20,10 +21,12 @@ from newsloom.operators import (
     trending_entities, word_cloud, word_frequencies,
 )
 from newsloom.session import scratch_dir, spread
-from newsloom.sinks import batch_table, read_batches, replaced_table
-from newsloom.sources import message_stream
+from newsloom.sinks import (
+    HourlyTable, batch_table, merged_table, read_batches, read_replaced, replaced_table, start,
+)
+from newsloom.sources import line_stream, load_lexicon, message_stream, read_wordlist
 from newsloom.streaming import (
-    article_query, entity_query, message_query, topic_query, trending_query, word_cloud_query,
+    CLOUD_KEYS, TREND_KEYS, article_query, entity_query, message_query, topic_query, trending_query, word_cloud_query,
 )
 
 try:  # the operators for training data are a part that can be left out
@@ -35,7 +38,7 @@ except ModuleNotFoundError as missing:
     llm_queries = None
 
 AS_OF = "2024-01-31 12:00:00"
-GAZETTEER_SIZE = 200
+GAZETTEER_LEAST = 3  # names found at least so often
 
 
 # ---------------------------------------------------------------- inputs
@@ -61,11 +64,15 @@ def _classified(spark, sf_dir, **args):
     return classify_topic(_documents(spark, sf_dir), "text", **args)
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    """A lexicon of the corpus as a table in the shared folder, as lexicons come."""
-    path = scratch_dir(df.sparkSession, name)
+def _written(df: DataFrame, name: str) -> str:
+    """A table of the corpus in the shared folder, as lexicons come."""
+    path = f"{scratch_dir(df.sparkSession, name)}.parquet"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+def _saved(df: DataFrame, name: str) -> DataFrame:
+    return load_lexicon(df.sparkSession, _written(df, name))
 
 
 def _names(spark, sf_dir):
@@ -74,16 +81,30 @@ def _names(spark, sf_dir):
 
 
 def _gazetteer(spark, sf_dir):
-    """The most frequent names of the corpus as phrases, with a type by their length."""
+    """All names that come often in the corpus as phrases, with a type by their length; written once."""
     kind = F.col("n") % 3
-    return (
-        entity_counts(_names(spark, sf_dir), GAZETTEER_SIZE)
+    names = (
+        entity_counts(_names(spark, sf_dir), None)
+        .where(F.col("count") >= GAZETTEER_LEAST)
         .withColumn("n", F.length("entity"))
         .select(
             F.col("entity").alias("phrase"),
             F.when(kind == 0, "PER").when(kind == 1, "LOC").otherwise("ORG").alias("entity_type"),
         )
     )
+    return load_lexicon(spark, _written(names, "names"), "phrase", "entity_type")
+
+
+def _large_gazetteer(spark, sf_dir):
+    """The gazetteer among all n-grams of one to three words that no text has: each ends in a mark that
+    tokens never hold. As many phrases as the corpus has tokens, for the ways of large gazetteers."""
+    tokens = _tokens(spark, sf_dir)
+    grams = F.transform(
+        F.sequence(F.lit(0), F.size("token") - 1),
+        lambda i: F.concat(F.array_join(F.slice("token", i + 1, i % 3 + 1), " "), F.lit(",")),
+    )
+    others = tokens.where(F.size("token") > 0).select(F.explode(grams).alias("phrase")).distinct()
+    return _gazetteer(spark, sf_dir).unionByName(others.withColumn("entity_type", F.lit("NONE")))
 
 
 def _plurals(spark, sf_dir):
@@ -100,7 +121,7 @@ def _vectors(spark, sf_dir):
     count = table.agg(F.count("*")).scalar()
     words = (
         token_counts(_tokens(spark, sf_dir))
-        .where(F.col("token").rlike(r"^\p{Ll}"))
+        .where(F.col("token").rlike(r"^\p{L}"))
         .select("token", F.pmod(number, count).alias("vec_id"))
     )
     return _saved(words.join(table, "vec_id").select("token", F.col("embedding").alias("vector")), "vectors")
@@ -129,7 +150,7 @@ def _entity_events(spark, sf_dir):
 def _stream(spark, sf_dir, name):
     """A table as a file stream."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return line_stream(spark, "parquet", schema, sf_dir, pathGlobFilter=f"{name}.parquet")
 
 
 # ---------------------------------------------------------------- queries
@@ -158,7 +179,8 @@ def q_topic_counts(spark, sf_dir):
 
 
 def _plain_trends(df):
-    return df.withColumn("sources", F.concat_ws(",", "sources"))
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("time_window", "first_seen", "last_seen")}
+    return df.withColumns({"sources": F.concat_ws(",", "sources"), **times})
 
 
 def q_topic_trend_1min(spark, sf_dir):
@@ -189,6 +211,14 @@ def q_stopword_removed(spark, sf_dir):
     return _joined(remove_stopwords(_tokens(spark, sf_dir)), "cleanTokens")
 
 
+def q_stopword_table(spark, sf_dir):
+    """Stop words from a word list file: the short words of the corpus."""
+    path = scratch_dir(spark, "words")
+    counted = token_counts(_tokens(spark, sf_dir))
+    counted.where(F.length("token") <= 3).select("token").write.text(path)
+    return _joined(remove_stopwords(_tokens(spark, sf_dir), read_wordlist(spark, path)), "cleanTokens")
+
+
 def q_keyword_counts(spark, sf_dir):
     return keyword_counts(_tokens(spark, sf_dir))
 
@@ -201,6 +231,13 @@ def q_lemma_counts(spark, sf_dir):
     return keyword_counts(_tokens(spark, sf_dir), _plurals(spark, sf_dir))
 
 
+def q_lemma_counts_dup(spark, sf_dir):
+    """A lexicon with two lemmas for each plural: the first in the alphabet counts."""
+    plurals = _plurals(spark, sf_dir)
+    twice = plurals.unionByName(plurals.withColumn("lemma", F.concat(F.lit("!"), "token")))
+    return keyword_counts(_tokens(spark, sf_dir), twice)
+
+
 def q_lemmas_per_document(spark, sf_dir):
     rows = term_frequencies(_tokens(spark, sf_dir)).withColumnRenamed("term", "token")
     lemmas = lemmatize(rows, _plurals(spark, sf_dir))
@@ -214,6 +251,13 @@ def q_pos_counts_top20(spark, sf_dir):
     return pos_frequencies(_tokens(spark, sf_dir), pos_words(spark))
 
 
+def q_pos_counts_dup(spark, sf_dir):
+    """A lexicon in mixed case with two tags for each word: the first in the alphabet counts."""
+    words = pos_words(spark)
+    twice = words.unionByName(words.select(F.initcap("token").alias("token"), F.lit("ZZ").alias("tag")))
+    return pos_frequencies(_tokens(spark, sf_dir), twice)
+
+
 def q_pos_tagged(spark, sf_dir):
     tagged = pos_tag(token_rows(_tokens(spark, sf_dir)), pos_words(spark))
     return tagged.groupBy("doc_id", "pos_tag").agg(F.count("*").alias("count"))
@@ -244,16 +288,16 @@ def q_gazetteer_match(spark, sf_dir):
 
 
 def q_gazetteer_match_carried(spark, sf_dir):
-    """The way taken for a gazetteer too large for the plan."""
-    tagged = ner_tag(_tokens(spark, sf_dir), _gazetteer(spark, sf_dir), names=False, inline_phrases=0)
+    """A large gazetteer that travels to the tasks."""
+    tagged = ner_tag(
+        _tokens(spark, sf_dir), _large_gazetteer(spark, sf_dir), names=False, carry_phrases=5_000_000
+    )
     return _chunk_list(iob_to_chunks(tagged))
 
 
 def q_gazetteer_match_joined(spark, sf_dir):
     """The way taken for a gazetteer too large to travel to the tasks."""
-    tagged = ner_tag(
-        _tokens(spark, sf_dir), _gazetteer(spark, sf_dir), names=False, inline_phrases=0, carry_phrases=0
-    )
+    tagged = ner_tag(_tokens(spark, sf_dir), _large_gazetteer(spark, sf_dir), names=False, carry_phrases=0)
     return _chunk_list(iob_to_chunks(tagged))
 
 
@@ -306,14 +350,16 @@ def q_hashing_tfidf(spark, sf_dir):
 
 def q_token_embeddings(spark, sf_dir):
     rows = term_frequencies(_tokens(spark, sf_dir)).withColumnRenamed("term", "token")
-    first = F.round(F.get("vector", F.lit(0)).cast("double") * 1e6).cast("long")
+    whole = F.transform("vector", lambda v: F.round(v.cast("double") * 1e6).cast("long"))
+    weighted = F.zip_with(whole, F.sequence(F.lit(1), F.size(whole)), lambda v, i: v * i)
+    every = F.aggregate(weighted, F.lit(0).cast("long"), lambda total, v: total + v)
     return (
         embed(rows, _vectors(spark, sf_dir))
         .groupBy("doc_id")
         .agg(
             F.sum("tf").alias("tokens"),
             F.sum(F.when(F.col("vector").isNotNull(), F.col("tf")).otherwise(0)).alias("known"),
-            F.coalesce(F.sum(first * F.col("tf")), F.lit(0)).alias("first_dimension"),
+            F.coalesce(F.sum(every * F.col("tf")), F.lit(0)).alias("all_dimensions"),
         )
     )
 
@@ -322,6 +368,19 @@ def q_json_articles(spark, sf_dir):
     return flatten_articles(to_messages(_articles(spark, sf_dir), ("source",)))
 
 
+def q_json_dirty(spark, sf_dir):
+    """Messages of which many are unreadable, without articles, or without fields."""
+    article = F.struct(F.col("text").alias("title"), F.when(F.col("lang") != "de", F.col("lang")).alias("author"))
+    kind = F.pmod("doc_id", F.lit(6))
+    value = (
+        F.when(kind == 0, "{bad").when(kind == 1, '{"articles":{}}').when(kind == 2, F.lit(None).cast("string"))
+        .when(kind == 3, '{"articles":[null,"text",{"title":5,"title":null}]}')
+        .otherwise(F.to_json(F.struct(F.array(article).alias("articles"))))
+    )
+    messages = _documents(spark, sf_dir, "doc_id", "text", "lang").select("doc_id", value.alias("value"))
+    return flatten_articles(messages, keep=("doc_id",))
+
+
 def q_article_lines(spark, sf_dir):
     return article_lines(flatten_articles(to_messages(_articles(spark, sf_dir), ("source",))))
 
@@ -351,37 +410,67 @@ def q_stream_articles(spark, sf_dir):
 def q_stream_topic_trend(spark, sf_dir):
     path = scratch_dir(spark, "topics")
     topic_query(
-        _stream(spark, sf_dir, "events"), replaced_table(f"{path}/out"), f"{path}/checkpoint", None,
+        _stream(spark, sf_dir, "events"), merged_table(f"{path}/out", TREND_KEYS), f"{path}/checkpoint", None,
         "event_type", "ts",
     ).awaitTermination()
-    return _plain_trends(spark.read.parquet(f"{path}/out"))
+    return _plain_trends(read_replaced(spark, f"{path}/out"))
+
+
+def q_stream_topic_complete(spark, sf_dir):
+    """The complete result at each trigger."""
+    path = scratch_dir(spark, "topics")
+    topic_query(
+        _stream(spark, sf_dir, "events"), replaced_table(f"{path}/out"), f"{path}/checkpoint", None,
+        "event_type", "ts", watermark=None,
+    ).awaitTermination()
+    return _plain_trends(read_replaced(spark, f"{path}/out"))
 
 
 def q_stream_wordcloud(spark, sf_dir):
     path = scratch_dir(spark, "wordcloud")
     articles = enrich_articles(_stream(spark, sf_dir, "documents"), "text", ts=_as_of())
     word_cloud_query(
-        articles, replaced_table(f"{path}/out"), f"{path}/checkpoint", None, as_of=_as_of()
+        articles, merged_table(f"{path}/out", CLOUD_KEYS), f"{path}/checkpoint", None, as_of=_as_of()
     ).awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    return read_replaced(spark, f"{path}/out").drop("time_window")
 
 
 def q_stream_extracted_entities(spark, sf_dir):
+    path = scratch_dir(spark, "entities")
+    schema = extract_entities(spark.createDataFrame([], "text string"), "text", as_of=_as_of()).schema
+    entities = HourlyTable(f"{path}/entities", "detected_at", schema)
+    entity_query(
+        _stream(spark, sf_dir, "conversations"), batch_table(f"{path}/articles"), entities,
+        f"{path}/checkpoint", text_col="text", every=None, as_of=_as_of(),
+    ).awaitTermination()
+    return entities.read(spark)
+
+
+def q_stream_entity_articles(spark, sf_dir):
+    """The articles of the entity stream, read back."""
     path = scratch_dir(spark, "entities")
     entity_query(
-        _stream(spark, sf_dir, "conversations"), batch_table(f"{path}/articles"), batch_table(f"{path}/entities"),
+        _stream(spark, sf_dir, "documents"), batch_table(f"{path}/articles"), batch_table(f"{path}/entities"),
         f"{path}/checkpoint", text_col="text", every=None, as_of=_as_of(),
     ).awaitTermination()
-    return read_batches(spark, f"{path}/entities")
+    return _plain_article(read_batches(spark, f"{path}/articles"))
 
 
 def q_stream_trending_entities(spark, sf_dir):
     path = scratch_dir(spark, "trending")
+    events = _entity_events(spark, sf_dir)
+    table = HourlyTable(f"{path}/entities", "detected_at", events.schema, hours=24)
+    stream = _stream(spark, sf_dir, "events").select(
+        F.concat(F.lit("user"), "user_id").alias("entity_name"), F.col("event_type").alias("entity_type"),
+        F.col("ts").alias("detected_at"),
+    )
+    start(stream, table, f"{path}/entities-checkpoint").awaitTermination()
+    last = events.agg(F.max("detected_at")).first()[0]
     trending_query(
-        _stream(spark, sf_dir, "events"), lambda: _entity_events(spark, sf_dir), replaced_table(f"{path}/out"),
-        f"{path}/checkpoint", None, lambda entities: entities.agg(F.max("detected_at")).scalar(),
+        _stream(spark, sf_dir, "events"), lambda: table.read(spark, last - dt.timedelta(minutes=10)),
+        replaced_table(f"{path}/out"), f"{path}/checkpoint", None, lambda entities: F.lit(last),
     ).awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    return read_replaced(spark, f"{path}/out")
 
 
 def q_stream_article_lines(spark, sf_dir):
@@ -445,7 +534,7 @@ def _spans_cte(source="tok") -> str:
 _GAZETTEER = f"""gazetteer AS (
         SELECT entity AS phrase, len(string_split(entity, ' ')) AS n,
                CASE length(entity) % 3 WHEN 0 THEN 'PER' WHEN 1 THEN 'LOC' ELSE 'ORG' END AS entity_type
-        FROM span GROUP BY entity ORDER BY count(*) DESC, entity LIMIT {GAZETTEER_SIZE}),
+        FROM span GROUP BY entity HAVING count(*) >= {GAZETTEER_LEAST}),
     hit AS (
         SELECT doc_id, pos, max(n) AS n, arg_max(phrase, n) AS entity, arg_max(entity_type, n) AS entity_type
         FROM (SELECT tok.doc_id, pos, z.n, phrase, entity_type, tokens.token[pos + 1 : pos + z.n] AS words
@@ -574,6 +663,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT word, count(*) AS count FROM (
                 SELECT coalesce(lemma, tok.token) AS word FROM tok LEFT JOIN plural USING (token)
                 WHERE lower(tok.token) NOT IN ({stop})) WHERE length(word) > 1 GROUP BY word""",
+        "lemma_counts_dup": f"""WITH {_tokens_cte()}, {_PLURALS},
+            twice AS (SELECT token, min(lemma) AS lemma FROM (
+                SELECT token, lemma FROM plural UNION ALL SELECT token, '!' || token FROM plural) GROUP BY token)
+            SELECT word, count(*) AS count FROM (
+                SELECT coalesce(lemma, tok.token) AS word FROM tok LEFT JOIN twice USING (token)
+                WHERE lower(tok.token) NOT IN ({stop})) WHERE length(word) > 1 GROUP BY word""",
+        "stopword_table": words("list_filter(token, lambda t: length(t) > 3)"),
         "lemmas_per_document": f"""WITH {_tokens_cte()}, {_PLURALS}
             SELECT doc_id, count(DISTINCT coalesce(lemma, tok.token)) AS lemmas,
                    count(*) FILTER (lemma IS NOT NULL) AS changed
@@ -581,6 +677,9 @@ def oracle_sql() -> dict[str, str]:
         "pos_counts_top20": f"""WITH {_tokens_cte()}, {_POS_CTE}
             SELECT {_POS} AS pos_tag, count(*) AS count FROM tok LEFT JOIN lexicon ON lower(token) = word
             GROUP BY ALL ORDER BY count DESC, pos_tag LIMIT 20""",
+        "pos_counts_dup": f"""WITH {_tokens_cte()}, {_POS_CTE}
+            SELECT {_POS} AS pos_tag, count(*) AS count FROM tok LEFT JOIN lexicon ON lower(token) = word
+            GROUP BY ALL ORDER BY count DESC, pos_tag LIMIT 20""",
         "pos_tagged": f"""WITH {_tokens_cte()}, {_POS_CTE}
             SELECT doc_id, {_POS} AS pos_tag, count(*) AS count
             FROM tok LEFT JOIN lexicon ON lower(token) = word GROUP BY ALL""",
@@ -628,11 +727,18 @@ def oracle_sql() -> dict[str, str]:
             vector AS (
                 SELECT v.token, e.embedding FROM (
                     SELECT DISTINCT token, ('0x' || substr(md5(token), 1, 6))::BIGINT % (SELECT count(*) FROM embeddings) AS vec_id
-                    FROM tok WHERE regexp_matches(token, '^\p{{Ll}}')) v JOIN embeddings e USING (vec_id))
+                    FROM tok WHERE regexp_matches(token, '^\p{{L}}')) v JOIN embeddings e USING (vec_id))
             SELECT doc_id, count(*) AS tokens, count(embedding) AS known,
-                   coalesce(sum(round(embedding[1]::DOUBLE * 1e6)::BIGINT), 0)::BIGINT AS first_dimension
+                   coalesce(sum(list_sum(list_transform(embedding, lambda v, i: round(v::DOUBLE * 1e6)::BIGINT * i))), 0)::BIGINT
+                       AS all_dimensions
             FROM tok LEFT JOIN vector USING (token) GROUP BY doc_id""",
         "json_articles": _ARTICLES_SQL,
+        "json_dirty": """SELECT doc_id, title, author, 'No description' AS description, 'No URL' AS url,
+                'Unknown date' AS "publishedAt"
+            FROM (SELECT doc_id, text AS title, CASE WHEN lang = 'de' THEN 'Unknown' ELSE lang END AS author
+                  FROM documents WHERE doc_id % 6 > 3
+                  UNION ALL SELECT doc_id, unnest(['No title', 'No title', 'No title']), 'Unknown'
+                  FROM documents WHERE doc_id % 6 = 3)""",
         "article_lines": _LINES_SQL,
         "annotation_stages": f"""WITH {_tokens_cte()}, {_POS_CTE}, {_PLURALS}, {_spans_cte()},
             per AS (SELECT doc_id, count(*) AS tokens, count(*) FILTER ({_POS} LIKE 'NN%') AS nouns,
@@ -645,6 +751,8 @@ def oracle_sql() -> dict[str, str]:
             FROM documents d LEFT JOIN per USING (doc_id) LEFT JOIN found USING (doc_id)""",
         "stream_articles": _article_sql(),
         "stream_topic_trend": _TREND,
+        "stream_topic_complete": _TREND,
+        "stream_entity_articles": f"SELECT * EXCLUDE (doc_id) FROM ({_article_sql()})",
         "stream_wordcloud": _styled_sql(),
         "stream_extracted_entities": _extracted_sql(),
         "stream_trending_entities": _trending_sql("10 minutes"),
