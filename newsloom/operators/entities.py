@@ -8,15 +8,20 @@ from ..fixed_values import ARTICLE_SOURCE, ENTITY_CONFIDENCE
 from ..functions import moment
 from .chunks import iob_to_chunks
 from .phrases import ner_tag
+from .tagger import EntityTagger, typed_names
 from .tokens import assemble, tokenize
 
 
 def annotate_entities(
-    df: DataFrame, text_col: str, gazetteer: DataFrame | None = None, id_col: str | None = "doc_id", **ner_args
+    df: DataFrame, text_col: str, gazetteer: DataFrame | None = None, id_col: str | None = "doc_id",
+    tagger: EntityTagger | None = None, **ner_args,
 ) -> DataFrame:
-    """Text to (id, text, token, ner, entities)."""
+    """Text to (id, text, token, ner, entities). Capitalised words outside the gazetteer have the type
+    a learned `tagger` finds, or one type for all without it."""
     tokens = tokenize(assemble(df, text_col, id_col))
-    return iob_to_chunks(ner_tag(tokens, gazetteer, **ner_args))
+    if tagger is None:
+        return iob_to_chunks(ner_tag(tokens, gazetteer, **ner_args))
+    return iob_to_chunks(typed_names(ner_tag(tokens, gazetteer, names=False, **ner_args), tagger))
 
 
 def entity_pairs(annotated: DataFrame, entities_col: str = "entities", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -183,7 +183,9 @@ def is_name(tokens_col: str, tags_col: str, ignore=EN_STOP) -> Column:
     ignored = [w.lower() for w in ignore]
     return F.transform(
         F.arrays_zip(F.col(tokens_col).alias("token"), F.col(tags_col).alias("tag")),
-        lambda z: (z["tag"] == OUTSIDE) & z["token"].rlike(NAME_SHAPE) & ~F.lower(z["token"]).isin(ignored),
+        lambda z: F.coalesce(
+            (z["tag"] == OUTSIDE) & z["token"].rlike(NAME_SHAPE) & ~F.lower(z["token"]).isin(ignored), F.lit(False)
+        ),
     )
 
 
