@@ -16,9 +16,9 @@ from newsloom.annotators import build_pipeline, news_stages
 from newsloom.operators import (
     annotate_entities, article_lines, assemble, classify_topic, embed, enrich_articles, entity_counts,
     entity_type_counts, extract_entities, flatten_articles, iob_to_chunks, keyword_counts, lemmatize,
-    ner_tag, pos_frequencies, pos_tag, pos_words, remove_stopwords, term_frequencies, term_tfidf, tfidf,
-    to_messages, token_counts, token_rows, tokenize, topic_counts, topic_trends, train_pos_lexicon,
-    trending_entities, word_cloud, word_frequencies,
+    ner_tag, pos_frequencies, pos_tag, pos_words, prepare_gazetteer, remove_stopwords, term_frequencies,
+    term_tfidf, tfidf, to_messages, token_counts, token_rows, tokenize, topic_counts, topic_trends,
+    train_entity_tagger, train_pos_lexicon, trending_entities, typed_names, word_cloud, word_frequencies,
 )
 from newsloom.session import scratch_dir, spread
 from newsloom.sinks import (
@@ -278,6 +278,22 @@ def q_entity_spans(spark, sf_dir):
     return _chunk_list(_names(spark, sf_dir))
 
 
+def q_entity_tagger(spark, sf_dir):
+    """A tagger learned from the gazetteer: words in phrases, other names, and those it left untyped."""
+    tokens = _tokens(spark, sf_dir)
+    gazetteer = prepare_gazetteer(_gazetteer(spark, sf_dir))
+    tagger = train_entity_tagger(tokens, gazetteer)
+    matched = ner_tag(tokens, gazetteer, names=False, out="matched")
+    tagged = typed_names(matched.withColumn("ner", F.col("matched")), tagger)
+    inside = F.filter("matched", lambda tag: tag != "O")
+    new = F.filter(F.arrays_zip("matched", "ner"), lambda z: (z["matched"] == "O") & (z["ner"] != "O"))
+    known = F.filter("ner", lambda tag: (tag == "O") | F.substr(tag, F.lit(3)).isin(*tagger.types))
+    return tagged.select(
+        "doc_id", F.size("token").alias("tokens"), F.size(inside).alias("in_phrases"), F.size(new).alias("typed"),
+        (F.size("ner") - F.size(known)).alias("of_no_type"),
+    )
+
+
 def q_entity_counts_top10(spark, sf_dir):
     return entity_counts(_names(spark, sf_dir))
 
@@ -344,7 +360,7 @@ def q_hashing_tfidf(spark, sf_dir):
     return features.select(
         "doc_id",
         F.size(F.filter(vector_to_array("rawFeatures"), lambda v: v > 0)).alias("buckets"),
-        F.round(F.aggregate(values, F.lit(0.0), lambda total, v: total + v), 6).alias("weight"),
+        F.round(F.aggregate(values, F.lit(0.0), lambda total, v: total + v), 3).alias("weight"),
     )
 
 
@@ -633,6 +649,38 @@ def _extracted_sql() -> str:
         'CLI_Stream' AS source, 0.8::DOUBLE AS confidence, 1 AS frequency FROM span WHERE length(entity) > 1"""
 
 
+def _hashed_sql() -> str:
+    """The 32-bit hash of a term's UTF-8 bytes that hashed features go by (seed 42), and TF-IDF on it."""
+    most = "4294967295::UBIGINT"
+    times = lambda x, n: f"(({x}) * {n}::UBIGINT & {most})"
+    turn = lambda x, n: f"(((({x}) << {n}) | (({x}) >> {32 - n})) & {most})"
+    mix = lambda x: times(turn(times(x, 3432918353), 15), 461845907)
+    byte = lambda i: f"hx[2 * ({i}) + 1 : 2 * ({i}) + 2]"
+    word = f"('0x' || {byte('4 * i + 3')} || {byte('4 * i + 2')} || {byte('4 * i + 1')} || {byte('4 * i')})::UBIGINT"
+    rest = "CASE n % 4 " + " ".join(
+        f"WHEN {t} THEN ('0x' || {' || '.join(byte(f'n - n % 4 + {j}') for j in reversed(range(t)))})::UBIGINT" for t in (1, 2, 3)
+    ) + " ELSE 0::UBIGINT END"
+    return f"""WITH {_tokens_cte()},
+        clean AS (SELECT doc_id, token AS term FROM tok WHERE lower(token) NOT IN ({_quoted(fixed.EN_STOP)})),
+        bytes AS (SELECT term, hex(encode(term)) AS hx, octet_length(encode(term)) AS n FROM (SELECT DISTINCT term FROM clean)),
+        parts AS (SELECT *, list_transform(range(0, n // 4), lambda i: {mix(word)}) AS words, {mix(rest)} AS last FROM bytes),
+        body AS (SELECT term, n, last, list_reduce(words,
+            lambda h, k: ({times(turn("xor(h, k)", 13), 5)} + 3864292196) & {most}, 42::UBIGINT) AS h FROM parts),
+        a AS (SELECT term, xor(xor(h, last), n::UBIGINT) AS h FROM body),
+        b AS (SELECT term, {times("xor(h, h >> 16)", 2246822507)} AS h FROM a),
+        c AS (SELECT term, {times("xor(h, h >> 13)", 3266489909)} AS h FROM b),
+        d AS (SELECT term, xor(h, h >> 16)::BIGINT AS h FROM c),
+        bucket AS (SELECT term, ((CASE WHEN h > 2147483647 THEN h - 4294967296 ELSE h END) % 1000 + 1000) % 1000 AS bucket FROM d),
+        tf AS (SELECT doc_id, bucket, count(*) AS tf FROM clean JOIN bucket USING (term) GROUP BY ALL),
+        df AS (SELECT bucket, count(*) AS df FROM tf GROUP BY bucket),
+        weighted AS (
+            SELECT doc_id, count(*) AS buckets,
+                   sum(tf * ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (df + 1))) AS weight
+            FROM tf JOIN df USING (bucket) GROUP BY doc_id)
+        SELECT documents.doc_id, coalesce(buckets, 0)::INTEGER AS buckets, round(coalesce(weight, 0), 3) AS weight
+        FROM documents LEFT JOIN weighted USING (doc_id)"""
+
+
 _ARTICLES_SQL = """SELECT text AS title, CASE WHEN lang = 'de' THEN 'Unknown' ELSE lang END AS author,
     CASE WHEN n_chars > 400 THEN source ELSE 'No description' END AS description,
     CASE WHEN lang = 'es' THEN 'No URL' ELSE 'news/' || doc_id END AS url,
@@ -691,6 +739,13 @@ def oracle_sql() -> dict[str, str]:
         "entity_spans": f"WITH {_tokens_cte()}, {_spans_cte()} {_chunk_sql('span')}",
         "entity_counts_top10": f"""WITH {_tokens_cte()}, {_spans_cte()}
             SELECT entity, count(*) AS count FROM span GROUP BY entity ORDER BY count DESC, entity LIMIT 10""",
+        "entity_tagger": f"""WITH RECURSIVE {_tokens_cte()}, {_spans_cte()}, {_GAZETTEER},
+            inside AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM walk),
+            named AS (SELECT doc_id, pos, token FROM tok WHERE {_NAME} AND (doc_id, pos) NOT IN (SELECT (doc_id, pos) FROM inside)),
+            a AS (SELECT doc_id, count(*) AS n FROM inside GROUP BY doc_id),
+            b AS (SELECT doc_id, count(*) AS n FROM named GROUP BY doc_id)
+            SELECT t.doc_id, len(t.token) AS tokens, coalesce(a.n, 0) AS in_phrases, coalesce(b.n, 0) AS typed, 0 AS of_no_type
+            FROM tokens t LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)""",
         "gazetteer_match": gazetteer_match,
         "gazetteer_match_carried": gazetteer_match,
         "gazetteer_match_joined": gazetteer_match,
@@ -723,6 +778,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, term, tf, df,
                    round(tf * ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (df + 1)), 6) AS tfidf
             FROM tf JOIN df USING (term)""",
+        "hashing_tfidf": _hashed_sql(),
         "token_embeddings": rf"""WITH {_tokens_cte()},
             vector AS (
                 SELECT v.token, e.embedding FROM (
