@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsloom import fixed_values as fixed
+from newsloom import fixed_values as fixed, word_shapes as shapes
 from newsloom.annotators import build_pipeline, news_stages
 from newsloom.operators import (
     annotate_entities, article_lines, assemble, classify_topic, embed, enrich_articles, entity_counts,
@@ -543,7 +543,7 @@ def _spans_cte(source="tok") -> str:
         SELECT doc_id, pos, token, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island
         FROM {source} WHERE {_NAME}),
     span AS (
-        SELECT doc_id, min(pos) AS pos, string_agg(token, ' ' ORDER BY pos) AS entity, '{fixed.NAME_TYPE}' AS entity_type
+        SELECT doc_id, min(pos) AS pos, string_agg(token, ' ' ORDER BY pos) AS entity, '{shapes.NAME_TYPE}' AS entity_type
         FROM name GROUP BY doc_id, island)"""
 
 
@@ -574,14 +574,14 @@ def _chunk_sql(chunks: str) -> str:
 _POS_VALUES = ", ".join(
     f"('{token}', '{tag}')"
     for token, tag in sorted(
-        {t: min(k for k, ws in fixed.POS_WORDS.items() if t in ws) for ws in fixed.POS_WORDS.values() for t in ws}.items()
+        {t: min(k for k, ws in shapes.POS_WORDS.items() if t in ws) for ws in shapes.POS_WORDS.values() for t in ws}.items()
     )
 )
 _POS_CTE = f"lexicon(word, tag) AS (VALUES {_POS_VALUES})"
 _POS = (
     "coalesce(tag, CASE "
-    + " ".join(f"WHEN regexp_matches(token, '{p}') THEN '{t}'" for p, t in fixed.POS_SHAPES)
-    + f" ELSE '{fixed.POS_OTHER}' END)"
+    + " ".join(f"WHEN regexp_matches(token, '{p}') THEN '{t}'" for p, t in shapes.POS_SHAPES)
+    + f" ELSE '{shapes.POS_OTHER}' END)"
 )
 _PLURALS = """vocabulary AS (SELECT DISTINCT token FROM tok),
     plural AS (SELECT p.token, s.token AS lemma FROM vocabulary p JOIN vocabulary s ON p.token = s.token || 's')"""
@@ -756,7 +756,7 @@ def oracle_sql() -> dict[str, str]:
                 SELECT doc_id, pos, token, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island
                 FROM rest WHERE {_NAME}),
             rest_span AS (
-                SELECT string_agg(token, ' ' ORDER BY pos) AS entity, '{fixed.NAME_TYPE}' AS entity_type
+                SELECT string_agg(token, ' ' ORDER BY pos) AS entity, '{shapes.NAME_TYPE}' AS entity_type
                 FROM rest_name GROUP BY doc_id, island)
             SELECT entity, entity_type, count(*) AS count, '2024-01-31' AS date_recorded
             FROM (SELECT entity, entity_type FROM walk UNION ALL SELECT entity, entity_type FROM rest_span)

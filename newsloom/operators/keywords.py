@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..fixed_values import EN_STOP, POS_SHAPES
+from ..fixed_values import EN_STOP
+from ..word_shapes import POS_SHAPES
 from .lexicon import normalize_lexicon, shape_tag
 from .tokens import drop_stopwords
 

@@ -10,9 +10,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..fixed_values import POS_OTHER, POS_SHAPES, POS_WORDS
 from ..functions import settle, shape_of
 from ..session import scratch_dir
+from ..word_shapes import POS_OTHER, POS_SHAPES, POS_WORDS
 
 #: A table of at most so many rows and bytes travels to the tasks; the results do not depend on it.
 BROADCAST_ROWS = 200_000

@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..fixed_values import EN_STOP, NAME_SHAPE, NAME_TYPE
+from ..fixed_values import EN_STOP
 from ..functions import settle
+from ..word_shapes import NAME_SHAPE, NAME_TYPE
 from .lexicon import BROADCAST_ROWS, carried, content_key, fits, lookup, saved
 
 OUTSIDE = "O"
