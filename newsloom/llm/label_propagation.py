@@ -37,11 +37,13 @@ def admitted(moves: list[list[int]], loads: list[int], quota: int) -> list[float
 def propagate(state: DataFrame, shards: int, quota: int, rounds: int) -> DataFrame:
     """The (group, shard, n) table after moving members towards their group's shards."""
     pull = F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard")
+    quota += -(-quota // 20)  # a little more for now: the last step evens out
     for turn in range(rounds):
         loads = [0] * shards  # a number per shard
         for row in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
             loads[row["shard"]] = row["n"]
-        room = F.element_at(F.array(*[F.lit(load < quota) for load in loads]), F.col("shard") + 1)
+        # every other round leaves out full shards, for what is left of groups larger than a shard
+        room = F.element_at(F.array(*[F.lit(turn % 2 == 0 or load < quota) for load in loads]), F.col("shard") + 1)
         best = state.where(room).groupBy("group").agg(F.max(pull).alias("best"))
         wished = state.join(best.hint("merge"), "group").where(
             (F.col("n") < F.col("best.n")) | ((F.col("n") == F.col("best.n")) & (F.xxhash64("group", "shard") < F.col("best.tie")))
@@ -51,8 +53,10 @@ def propagate(state: DataFrame, shards: int, quota: int, rounds: int) -> DataFra
         for row in wished.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():
             matrix[row["shard"]][row["to"]] = row["n"]
         shares = admitted(matrix, loads, quota)
-        if not any(matrix[a][d] * shares[d] >= 1 for a in range(shards) for d in range(shards)):
-            break
+        if not any(matrix[a][d] * shares[d] > 0 for a in range(shards) for d in range(shards)):
+            if turn % 2:
+                break
+            continue
         share = F.element_at(F.array(*map(F.lit, shares)), F.col("to") + 1)
         # a large part moves by its share, a small one as a whole with that chance
         count = F.least(F.col("n"), F.floor(F.col("n") * share + unit("group", "shard", F.lit(turn))))
@@ -69,7 +73,7 @@ def _chosen(values, at: Column) -> Column:
 
 
 def shard(
-    docs: DataFrame, shards: int = 16, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shards: int = 16, rounds: int = 12, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, size (UTF-8 bytes and one), text_crc32, law, shard, slot
     (its place in the shard, without gaps from 0) and grown_shard (null under this law).
@@ -100,11 +104,14 @@ def shard(
     joined = looked_up(rows, groups, "group")
     alone = F.col("parts").isNull()
     blocks = blocks_for(total)
+    # a group stays together in the order, unless it alone is more than a block
+    together = ~alone & (F.col("members") <= total // blocks)
+    spot = F.when(together, unit("group")).otherwise(unit(ROW))
     placed = saved(
         joined.select(
-            "doc_id", "size", "text_crc32", ROW,
+            "doc_id", "size", "text_crc32", "group", ROW,
             F.when(alone, F.col("shard")).otherwise(F.get(F.col("parts.shard"), place)).alias("shard"),
-            alone.cast("int").alias("kind"), F.floor(unit(ROW) * blocks).cast("int").alias("block"),
+            alone.cast("int").alias("kind"), F.floor(spot * blocks).cast("int").alias("block"),
         ),
         "placed",
     )
@@ -112,7 +119,7 @@ def shard(
     counts = placed.groupBy("shard", "kind", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("kind", "block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    within = F.row_number().over(Window.partitionBy("shard", "kind", "block").orderBy("doc_id", ROW)) - 1
+    within = F.row_number().over(Window.partitionBy("shard", "kind", "block").orderBy("group", "doc_id", ROW)) - 1
     slots = placed.withColumn("_within", within).join(starts.hint("merge"), ["shard", "kind", "block"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("_within")).alias("slot")
     )
