@@ -1,0 +1,84 @@
+"""Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
+
+import public_tokenizers
+import pytest
+
+from newsloom.llm import curriculum, dart_minhash, exact_dedup, label_propagation, line_frequency
+from newsloom.llm import packing, secret_owners, site_quality, token_counts, token_files
+from newsloom.session import scratch_dir
+
+BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+
+
+def _labels(df):
+    return df.sparkSession.createDataFrame([(1, 1), (9, 0), (None, 1), (7, None)], "doc_id long, quality int")
+
+
+def _files(df):
+    path = scratch_dir(df.sparkSession, "token-files")
+    token_files.write_token_files(df, path, WORDS)
+    return token_files.read_token_files(df.sparkSession, path)
+
+
+ROW_WISE = {
+    "exact": exact_dedup.exact_dedup,
+    "shards": label_propagation.shard,
+    "lines": line_frequency.line_rules,
+    "files": _files,
+    "secrets": secret_owners.find_secrets,
+    "counts": lambda df: token_counts.token_counts(df, WORDS),
+    "near": dart_minhash.near_dedup,
+    "mix": curriculum.assign,
+    "quality": lambda df: site_quality.site_quality(df, _labels(df)),
+}
+
+
+@pytest.mark.parametrize("name", ROW_WISE)
+def test_one_row_for_each_row(odd, empty, name):
+    found = ROW_WISE[name](odd)
+    assert sorted(map(str, (r.doc_id for r in found.collect()))) == sorted(map(str, (r.doc_id for r in odd.collect())))
+    assert ROW_WISE[name](empty).collect() == []
+
+
+@pytest.mark.parametrize("name", ["exact", "near", "mix", "quality"])
+def test_filters_keep_all_columns(odd, empty, name):
+    keep = {
+        "exact": exact_dedup.drop_copies, "near": dart_minhash.drop_near_copies, "mix": curriculum.mixed,
+        "quality": lambda df: site_quality.good_documents(df, _labels(df)),
+    }[name]
+    assert keep(odd).schema.names == odd.schema.names
+    assert keep(odd).count() > 0
+    assert keep(empty).collect() == []
+
+
+def test_packing_covers_all_ids(odd, empty):
+    pieces = packing.pack(odd, BYTES).collect()
+    assert sum(p.length for p in pieces if p.start == 0) <= sum(p.length for p in pieces)
+    assert len([p for p in pieces if p.start == 0]) == odd.count()
+    assert packing.pack(empty, BYTES).collect() == []
+
+
+def test_exact_verdicts(odd):
+    found = {(r.doc_id, r.text_sha256): r for r in exact_dedup.exact_dedup(odd).collect()}
+    assert [r.doc_id for r in exact_dedup.drop_copies(odd).collect()].count(8) == 1
+    same = [r for r in found.values() if r.group_size == 2 and r.doc_id == 8]
+    assert len(same) == 1 and same[0].kept
+    nothing = [r for r in found.values() if r.keep_id == 4]  # null and empty texts
+    assert sorted(map(str, (r.doc_id for r in nothing))) == ["4", "5", "None"]
+    assert {r.doc_id for r in nothing if r.kept} == {4}
+
+
+def test_near_verdicts(odd):
+    found = dart_minhash.near_dedup(odd).collect()
+    assert {r.class_id for r in found if r.doc_id in (1, 2, 3)} == {1}
+    kept = [r.doc_id for r in dart_minhash.drop_near_copies(odd).collect()]
+    assert kept.count(8) == 1 and 1 in kept and 2 not in kept and 3 not in kept
+    assert {r.class_id for r in found if r.doc_id in (4, 5, 6)} == {4}
+
+
+def test_secrets(odd):
+    found = {r.doc_id: r for r in secret_owners.find_secrets(odd).collect()}
+    kinds = lambda spans: [s.kind for s in spans]
+    assert kinds(found[10]["all"]) == ["assign", "copied", "access", "live"]
+    assert kinds(found[11]["all"]) == ["assign", "copied"]
+    assert found[12].base == [] and found[4].base == []
