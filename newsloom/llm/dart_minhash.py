@@ -8,10 +8,12 @@ minimum. Two documents agree in a coordinate with the probability of their weigh
 similarity. A coordinate that no dart met makes the document throw again, twice as far; earlier
 minima stay, as the streams are the same.
 
-Documents that agree in a band are candidates. A bucket is a star around its smallest member; then,
-round by round, members that are still in other components are dealt into small random groups,
-again stars, until a round finds no link. Candidates are links if the texts' word shingles agree to
-the threshold, so the work for a bucket is linear in its members, and its links only follow texts.
+Documents that agree in a band are candidates. A bucket is a star around its smallest member first,
+which joins most copies. Then, round by round, buckets that still hold several components are dealt
+into random parts of bounded size. Within a part, coordinates say which members of different
+components may be linked, and the likeliest are compared; later rounds compare more of them, until
+rounds find no link. The work for a bucket is linear in its members in each round. Candidates are
+links if the texts' word shingles agree to the threshold.
 """
 
 from __future__ import annotations
@@ -123,23 +125,26 @@ def node_of(text_col: str = "text") -> Column:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, words: int, weighted: bool, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, node, buckets): the key of each document's words and its band keys."""
+    """(doc_id, node, buckets, mark): the key of each document's words, its band keys, and its
+    coordinates with 16 bits each."""
     ship(docs.sparkSession)
     given = docs.select(F.col(id_col).alias("doc_id"), node_of(text_col).alias("node"), text_or_empty(text_col).alias("text"))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, sizes = [], [0]
+            values, sizes, marks = [], [0], []
             for text in batch.column(2):
                 mark = signature(cells_of(shingles(text.as_py(), words), weighted), bands * rows)
                 values.append(band_keys(mark, bands) if len(mark) else mark)
                 sizes.append(len(values[-1]))
+                marks.append(mark.astype("<u2").tobytes())
             flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "node", "buckets"])
+            columns = [batch.column(0), batch.column(1), lists, pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "buckets", "mark"])
 
     kind = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(signed, f"doc_id {kind}, node binary, buckets array<long>")
+    return given.mapInArrow(signed, f"doc_id {kind}, node binary, buckets array<long>, mark binary")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
@@ -160,12 +165,76 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> Da
     return both.mapInArrow(compared, "a binary, b binary")
 
 
+def _promising(dealt: DataFrame, least: float, coordinates: int, deep: int) -> DataFrame:
+    """(a, b) nodes of different components in the same part whose coordinates agree about as often as
+    links do: up to three standard deviations less. Of two components in a part, the `deep` likeliest
+    pairs, as one link joins them."""
+    enough = least - 3 * (least * (1 - least) / coordinates) ** 0.5
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b"]
+
+        def pairs(table: pa.Table):
+            keys = [table.column(c).to_numpy() for c in ("bucket", "part")]
+            marks = np.frombuffer(b"".join(table.column("mark").to_pylist()), "<u2").reshape(len(table), -1)
+            node, comp = table.column("node").to_pylist(), table.column("comp").to_pylist()
+            change = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])) + 1
+            found = []
+            for begin, end in zip([0, *change.tolist()], [*change.tolist(), len(table)]):
+                best: dict[tuple, list] = {}
+                for i in range(begin, end - 1):
+                    agree = (marks[i + 1:end] == marks[i]).mean(1)
+                    for j in (np.flatnonzero(agree >= enough) + i + 1).tolist():
+                        if comp[i] != comp[j]:
+                            among = (comp[i], comp[j]) if comp[i] < comp[j] else (comp[j], comp[i])
+                            best.setdefault(among, []).append((-agree[j - i - 1], min(node[i], node[j]), max(node[i], node[j])))
+                for likely in best.values():
+                    found += [pair[1:] for pair in sorted(likely)[:deep]]
+            columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            last = len(table) - 1
+            bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
+            same = (bucket == bucket[last]) & (part == part[last])
+            cut = int(np.flatnonzero(same)[0])  # the last part may go on in the next batch
+            if cut:
+                yield pairs(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None and len(held):
+            yield pairs(held)
+
+    rows = dealt.select("bucket", "part", "node", "comp", "mark")
+    sorted_rows = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return sorted_rows.mapInArrow(compared, "a binary, b binary").distinct()
+
+
 def _ordered(edges: DataFrame) -> DataFrame:
     return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
+def _texts(docs: DataFrame, signed: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, text) of the given nodes, each from the document with its smallest id, so that copies are
+    not moved; the ids are looked for first, and only what has one is hashed again."""
+    first = saved(
+        signed.join(nodes.hint("merge"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "first"
+    )
+    ids = saved(first.select(F.col("doc_id").alias("_id")).distinct(), "ids")
+    given = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    some = listed(given, ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    keys = first.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node"))
+    texts = saved(listed(some.withColumn("node", node_of("text")), keys, same, "left_semi").select("node", "text"), "texts")
+    if texts.count() == first.count():
+        return texts
+    return saved(texts.dropDuplicates(["node"]), "texts")  # rows that repeat id and text
+
+
 def near_links(
-    docs: DataFrame, signed: DataFrame, words: int, least: float, group: int, id_col: str, text_col: str
+    docs: DataFrame, signed: DataFrame, words: int, least: float, group: int, coordinates: int, id_col: str, text_col: str
 ) -> DataFrame | None:
     """(node, comp): the component of each node that has a link; None without links."""
     bands = signed.select("node", F.explode("buckets").alias("bucket"))
@@ -173,35 +242,42 @@ def near_links(
     shared = bands.groupBy("bucket").agg(F.min(key).alias("_low"), F.max(key).alias("_high")).where("_low <> _high")
     members = saved(listed(bands, saved(shared.select("bucket"), "shared"), "bucket", "left_semi").distinct(), "members")
     nodes = saved(members.select("node").distinct(), "nodes")
-    keyed = docs.select(node_of(text_col).alias("node"), text_or_empty(text_col).alias("text"))
-    texts = saved(listed(keyed, nodes, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    texts = _texts(docs, signed, nodes, id_col, text_col)
+    marks = saved(
+        signed.join(nodes.hint("merge"), "node", "left_semi").groupBy("node").agg(F.max("mark").alias("mark")), "marks"
+    )
 
     centers = members.groupBy("bucket").agg(F.min("node").alias("a"))
     pairs = saved(_ordered(members.select("bucket", F.col("node").alias("b")).join(centers.hint("merge"), "bucket")), "pairs")
     links = saved(_similar(pairs, texts, words, least), "near")
-    tested, turn = pairs, 0
-    while not links.isEmpty():
-        found = components(links)
+    found = None if links.isEmpty() else components(links)
+    tested, turn, fruitless = pairs, 0, 0
+    while True:
         turn += 1
-        placed = members.join(found.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if found is None:
+            placed = members.withColumn("comp", F.col("node"))
+        else:
+            placed = members.join(found.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         mixed = placed.groupBy("bucket").agg(
             F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_n")
         ).where("_low <> _high")
         spread = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("_n") / group).cast("long"))
         dealt = saved(
-            placed.join(mixed.select("bucket", "_n").hint("merge"), "bucket").select("bucket", spread.alias("part"), "node", "comp"),
+            placed.join(mixed.select("bucket", "_n").hint("merge"), "bucket")
+            .select("bucket", spread.alias("part"), "node", "comp").join(marks.hint("merge"), "node"),
             "dealt",
         )
-        first = F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(-turn)))
-        stars = dealt.groupBy("bucket", "part").agg(first.alias("_first"))
-        across = dealt.join(stars.hint("merge"), ["bucket", "part"]).where(F.col("comp") != F.col("_first.comp"))
-        fresh_pairs = _ordered(across.select(F.col("_first.node").alias("a"), F.col("node").alias("b")))
-        pairs = saved(fresh_pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"), "pairs")
+        likely = _promising(dealt, least, coordinates, 4 * turn)
+        pairs = saved(likely.join(tested.hint("merge"), ["a", "b"], "left_anti"), "pairs")
         more = saved(_similar(pairs, texts, words, least), "near")
-        if more.isEmpty():
+        tested = tested.union(pairs)
+        if not more.isEmpty():
+            links, fruitless = links.union(more), 0
+            found = components(links)
+            continue
+        fruitless += 1
+        if fruitless == 2:
             return found
-        links, tested = links.union(more), tested.union(pairs)
-    return None
 
 
 def near_dedup(
@@ -211,7 +287,7 @@ def near_dedup(
     bands: int = 25,
     rows: int = 5,
     weighted: bool = False,
-    group: int = 8,
+    group: int = 16,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -229,7 +305,7 @@ def near_dedup(
 
 def _classes(docs, least, words, bands, rows, weighted, group, id_col, text_col) -> DataFrame:
     signed = saved(signatures(docs, bands, rows, words, weighted, id_col, text_col), "signatures")
-    found = near_links(docs, signed, words, least, group, id_col, text_col)
+    found = near_links(docs, signed, words, least, group, bands * rows, id_col, text_col)
     keys = signed.select("doc_id", "node")
     if found is None:
         placed = keys.withColumn("comp", F.col("node"))
@@ -251,6 +327,6 @@ def _classes(docs, least, words, bands, rows, weighted, group, id_col, text_col)
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one of each class (see `near_dedup`)."""
-    how = {"least": 0.8, "words": 5, "bands": 25, "rows": 5, "weighted": False, "group": 8} | how
+    how = {"least": 0.8, "words": 5, "bands": 25, "rows": 5, "weighted": False, "group": 16} | how
     verdicts = _classes(docs, id_col=id_col, text_col=text_col, **how).withColumnRenamed("node", "key")
     return keep_rows(docs, node_of(text_col), verdicts, id_col)
