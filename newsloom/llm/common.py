@@ -27,10 +27,10 @@ def normalized(text="text") -> Column:
 
 
 def word_count(text="text") -> Column:
-    """Number of words: one more than the gaps of the trimmed text."""
-    trimmed = F.trim(normalized(text))
-    gaps = F.length(trimmed) - F.length(F.translate(trimmed, " ", ""))
-    return F.when(trimmed == "", F.lit(0)).otherwise(gaps + 1).cast("long")
+    """Number of words: each, with the white space before it, becomes one sign; what is left after the
+    last is taken away."""
+    signs = F.regexp_replace(text_or_empty(text), rf"[\x20\x09-\x0D]*{WORD}", "x")
+    return F.length(F.translate(signs, " \t\n\x0b\x0c\r", "")).cast("long")
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -94,8 +94,9 @@ BROADCAST_ROWS = 1_000_000
 
 
 def listed(docs: DataFrame, keys: DataFrame, on, how: str) -> DataFrame:
-    """Semi or anti join of documents with a saved list of short keys, broadcast behind a count."""
-    small = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    """Semi or anti join of documents with a saved list of short keys, broadcast behind a count (which
+    a written table has in its footers)."""
+    small = keys.count() <= BROADCAST_ROWS
     return docs.join(F.broadcast(keys) if small else keys.hint("merge"), on, how)
 
 
@@ -135,7 +136,7 @@ def looked_up(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
     too long to broadcast is merged; adaptive execution then splits a key with very many rows."""
     names = {key: f"__{key}" for key in keys}
     other = table.withColumnsRenamed(names)
-    small = table.limit(BROADCAST_TABLE + 1).count() <= BROADCAST_TABLE
+    small = table.count() <= BROADCAST_TABLE
     same = None
     for key, name in names.items():
         one = F.col(key).eqNullSafe(F.col(name))
