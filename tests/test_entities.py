@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import (
-    annotate_entities, entity_counts, entity_type_counts, extract_entities, iob_to_chunks, match_phrases, ner_tag,
+    annotate_entities, entity_counts, entity_type_counts, extract_entities, iob_to_chunks, match_phrases,
     trending_entities,
 )
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from newsloom.operators import classify_topic, enrich_articles, extract_entities, topic_trends, trending_entities, word_cloud
+from newsloom.operators import enrich_articles, extract_entities, topic_trends, trending_entities, word_cloud
 from newsloom.plans import run_entities, run_messages, run_topics
 from newsloom.sinks import (
     HourlyTable, batch_table, fan_out, merged_table, read_batches, read_replaced, replaced_table, start, wait,
