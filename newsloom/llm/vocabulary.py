@@ -24,7 +24,7 @@ _OTHERS = rf"[^\s0-9{_LETTERS}]+"
 _SPACED = re.compile(rf"{_SUFFIXES}| ?[{_LETTERS}]+| ?[0-9]+| ?{_OTHERS}|\s+(?!\S)|\s+")
 _WORDS = re.compile(rf"{_SUFFIXES}|[{_LETTERS}]+|[0-9]|{_OTHERS}")
 
-MEMO = 1_000_000
+MEMO = 600_000
 
 
 def _byte_alphabet() -> dict[int, str]:
