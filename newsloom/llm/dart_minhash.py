@@ -12,7 +12,7 @@ Documents that agree in a band are candidates. A bucket is a star around its sma
 which joins most copies. Then, round by round, buckets that still hold several components are dealt
 into random parts of bounded size. Within a part, coordinates say which members of different
 components may be linked, and the likeliest are compared; later rounds compare more of them, until
-a round finds no link. The work for a bucket is linear in its members in each round. Candidates are
+rounds find no link. The work for a bucket is linear in its members in each round. Candidates are
 links if the texts' word shingles agree to the threshold.
 """
 
@@ -30,8 +30,6 @@ from .common import keep_rows, listed, normalized, saved, ship, text_or_empty
 from .components import components
 
 _U = np.uint64
-#: How often a bucket of several parts is dealt in a round.
-DEALS = 3
 _MIX = (_U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
 
 
@@ -253,7 +251,7 @@ def near_links(
     pairs = saved(_ordered(members.select("bucket", F.col("node").alias("b")).join(centers.hint("merge"), "bucket")), "pairs")
     links = saved(_similar(pairs, texts, words, least), "near")
     found = None if links.isEmpty() else components(links)
-    tested, turn = pairs, 0
+    tested, turn, fruitless = pairs, 0, 0
     while True:
         turn += 1
         if found is None:
@@ -263,20 +261,23 @@ def near_links(
         mixed = placed.groupBy("bucket").agg(
             F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_n")
         ).where("_low <> _high")
-        parts = F.ceil(F.col("_n") / group).cast("long")
-        # a bucket of one part is dealt once, a larger one several times, each time anew
-        deals = F.sequence(F.lit(0), F.when(parts == 1, 0).otherwise(DEALS - 1))
-        opened = placed.join(mixed.select("bucket", "_n").hint("merge"), "bucket")
-        dealt = opened.select("bucket", "node", "comp", parts.alias("_parts"), F.explode(deals).alias("_deal"))
-        part = F.pmod(F.xxhash64("node", "_deal", F.lit(turn)), F.col("_parts")) * DEALS + F.col("_deal")
-        dealt = dealt.select("bucket", part.alias("part"), "node", "comp").join(marks.hint("merge"), "node")
+        spread = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("_n") / group).cast("long"))
+        dealt = saved(
+            placed.join(mixed.select("bucket", "_n").hint("merge"), "bucket")
+            .select("bucket", spread.alias("part"), "node", "comp").join(marks.hint("merge"), "node"),
+            "dealt",
+        )
         likely = _promising(dealt, least, coordinates, 4 * turn)
         pairs = saved(likely.join(tested.hint("merge"), ["a", "b"], "left_anti"), "pairs")
         more = saved(_similar(pairs, texts, words, least), "near")
-        if more.isEmpty():
+        tested = tested.union(pairs)
+        if not more.isEmpty():
+            links, fruitless = links.union(more), 0
+            found = components(links)
+            continue
+        fruitless += 1
+        if fruitless == 2:
             return found
-        links, tested = links.union(more), tested.union(pairs)
-        found = components(links)
 
 
 def near_dedup(
