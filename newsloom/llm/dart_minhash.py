@@ -8,12 +8,12 @@ minimum. Two documents agree in a coordinate with the probability of their weigh
 similarity. A coordinate that no dart met makes the document throw again, twice as far; earlier
 minima stay, as the streams are the same.
 
-Documents that agree in a band are candidates. A bucket is a star around its smallest member first,
-which joins most copies. Then, round by round, buckets that still hold several components are dealt
-into random parts of bounded size. Within a part, coordinates say which members of different
-components may be linked, and the likeliest are compared; later rounds compare more of them, until
-rounds find no link. The work for a bucket is linear in its members in each round. Candidates are
-links if the texts' word shingles agree to the threshold.
+Documents that agree in a band are candidates: links if the texts' word shingles agree to the
+threshold. A bucket is a star around its smallest member first, which joins most copies. In buckets
+that still hold several components, all other pairs of different components are then compared, in
+blocks of bounded size so that no task holds a large bucket. Within two blocks a prefix filter, which
+no link escapes, says which pairs to compare, and pairs that links of these blocks have joined
+meanwhile are left out. So the classes are those of all links between documents that share a band.
 """
 
 from __future__ import annotations
@@ -24,11 +24,15 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import keep_rows, listed, normalized, saved, ship, text_or_empty
 from .components import components
 
+#: Shingles of a text that takes one place in a block; longer texts fill more.
+BLOCK_SHINGLES = 1_000
+
 _U = np.uint64
 _MIX = (_U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB))
 
@@ -125,26 +129,26 @@ def node_of(text_col: str = "text") -> Column:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, words: int, weighted: bool, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, node, buckets, mark): the key of each document's words, its band keys, and its
-    coordinates with 16 bits each."""
+    """(doc_id, node, buckets, size): the key of each document's words, its band keys, and its number of
+    cells."""
     ship(docs.sparkSession)
     given = docs.select(F.col(id_col).alias("doc_id"), node_of(text_col).alias("node"), text_or_empty(text_col).alias("text"))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, sizes, marks = [], [0], []
+            values, sizes, cells = [], [0], []
             for text in batch.column(2):
-                mark = signature(cells_of(shingles(text.as_py(), words), weighted), bands * rows)
+                cells.append(cells_of(shingles(text.as_py(), words), weighted))
+                mark = signature(cells[-1], bands * rows)
                 values.append(band_keys(mark, bands) if len(mark) else mark)
                 sizes.append(len(values[-1]))
-                marks.append(mark.astype("<u2").tobytes())
             flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat))
-            columns = [batch.column(0), batch.column(1), lists, pa.array(marks, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "buckets", "mark"])
+            columns = [batch.column(0), batch.column(1), lists, pa.array(map(len, cells), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "buckets", "size"])
 
     kind = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(signed, f"doc_id {kind}, node binary, buckets array<long>, mark binary")
+    return given.mapInArrow(signed, f"doc_id {kind}, node binary, buckets array<long>, size long")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
@@ -165,51 +169,87 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> Da
     return both.mapInArrow(compared, "a binary, b binary")
 
 
-def _promising(dealt: DataFrame, least: float, coordinates: int, deep: int) -> DataFrame:
-    """(a, b) nodes of different components in the same part whose coordinates agree about as often as
-    links do: up to three standard deviations less. Of two components in a part, the `deep` likeliest
-    pairs, as one link joins them."""
-    enough = least - 3 * (least * (1 - least) / coordinates) ** 0.5
+def linked(sets: list[np.ndarray], comps: list, cross: int, least: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join all components among the sets which links join: between the first `cross`
+    sets and the others or, without `cross`, between any two. Sets hold sorted distinct shingles.
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b"]
+    Every set is ordered by how rare its shingles are here. Two sets of similarity `least` share one of
+    the rarest in both, as no more than the others can be missing.
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    _, ids, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.empty(len(often), dtype=np.int64)
+    place[np.argsort(often, kind="stable")] = np.arange(len(often))
+    ranks = place[ids]
+    own = [np.sort(ranks[b:b + k]) for b, k in zip(starts.tolist(), sizes.tolist())]
+    prefix = [x[:len(x) - int(np.ceil(least * len(x) - 1e-9)) + 1] for x in own]
+
+    root: dict = {}
+
+    def top(x):
+        while root.get(x, x) != x:
+            root[x] = x = root.get(root[x], root[x])
+        return x
+
+    index: dict[int, list[int]] = {}
+    found, flags = [], np.zeros(len(often), dtype=bool)
+    for i in range(n):
+        if i >= cross:  # without `cross`, each looks among those before it
+            near = {j for rank in prefix[i].tolist() for j in index.get(rank, ())}
+            mine = top(comps[i])
+            near = [j for j in sorted(near) if top(comps[j]) != mine]
+            if near:
+                flags[own[i]] = True
+                begin = np.cumsum([0] + [len(own[j]) for j in near[:-1]])
+                both = np.add.reduceat(flags[np.concatenate([own[j] for j in near])], begin, dtype=np.int64)
+                flags[own[i]] = False
+                for j in np.array(near)[both / (sizes[i] + sizes[near] - both) >= least].tolist():
+                    one, two = top(comps[i]), top(comps[j])
+                    if one != two:
+                        root[one] = two
+                        found.append((j, i))
+        if i < cross or not cross:
+            for rank in prefix[i].tolist():
+                index.setdefault(rank, []).append(i)
+    return found
+
+
+def _block_links(dealt: DataFrame, words: int, least: float) -> DataFrame:
+    """(a, b) links between members of different components in blocks `one` and `two` of a bucket."""
+    keys = ["bucket", "one", "two"]
 
-        def pairs(table: pa.Table):
-            keys = [table.column(c).to_numpy() for c in ("bucket", "part")]
-            marks = np.frombuffer(b"".join(table.column("mark").to_pylist()), "<u2").reshape(len(table), -1)
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(rows)
             node, comp = table.column("node").to_pylist(), table.column("comp").to_pylist()
-            change = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])) + 1
-            found = []
-            for begin, end in zip([0, *change.tolist()], [*change.tolist(), len(table)]):
-                best: dict[tuple, list] = {}
-                for i in range(begin, end - 1):
-                    agree = (marks[i + 1:end] == marks[i]).mean(1)
-                    for j in (np.flatnonzero(agree >= enough) + i + 1).tolist():
-                        if comp[i] != comp[j]:
-                            among = (comp[i], comp[j]) if comp[i] < comp[j] else (comp[j], comp[i])
-                            best.setdefault(among, []).append((-agree[j - i - 1], min(node[i], node[j]), max(node[i], node[j])))
-                for likely in best.values():
-                    found += [pair[1:] for pair in sorted(likely)[:deep]]
-            columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays(columns, names)
-
-        held = None
+            sets = [np.unique(shingles(text.as_py(), words)) for text in table.column("text")]
+            cross = 0 if table.column("one")[0] == table.column("two")[0] else pc.sum(pc.invert(table.column("second"))).as_py()
+            pairs = [(node[i], node[j]) for i, j in linked(sets, comp, cross, least)]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+        held, key = [], None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if held is None else pa.concat_tables([held, table])
-            last = len(table) - 1
-            bucket, part = table.column("bucket").to_numpy(), table.column("part").to_numpy()
-            same = (bucket == bucket[last]) & (part == part[last])
-            cut = int(np.flatnonzero(same)[0])  # the last part may go on in the next batch
-            if cut:
-                yield pairs(table.slice(0, cut))
-            held = table.slice(cut)
-        if held is not None and len(held):
-            yield pairs(held)
-
-    rows = dealt.select("bucket", "part", "node", "comp", "mark")
-    sorted_rows = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return sorted_rows.mapInArrow(compared, "a binary, b binary").distinct()
+            columns = [batch.column(k).to_numpy() for k in range(3)]
+            change = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
+            for column in columns:
+                change |= column[1:] != column[:-1]
+            edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(edges, edges[1:]):
+                if begin == end:
+                    continue
+                at = tuple(column[begin] for column in columns)
+                if held and at != key:  # the last blocks may go on in the next batch
+                    yield links(held)
+                    held = []
+                key = at
+                held.append(batch.slice(begin, end - begin))
+        if held:
+            yield links(held)
+
+    rows = dealt.select(*keys, "second", "node", "comp", "text")
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "second").mapInArrow(compared, "a binary, b binary")
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
@@ -233,51 +273,63 @@ def _texts(docs: DataFrame, signed: DataFrame, nodes: DataFrame, id_col: str, te
     return saved(texts.dropDuplicates(["node"]), "texts")  # rows that repeat id and text
 
 
+def _placed(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    if found is None:
+        return members.withColumn("comp", F.col("node"))
+    return members.join(found.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _dealt(rest: DataFrame, group: int) -> DataFrame:
+    """(bucket, one, two, second, node, comp): members of buckets with several components, dealt into
+    blocks of about `group` members or the shingles of so many long texts; a row for each two blocks
+    that are to be compared. The largest component has blocks of its own, which are only compared with
+    others."""
+    each = rest.groupBy("bucket", "comp").agg(F.count("*").alias("_n"), F.sum("size").alias("_size"))
+    whole = each.groupBy("bucket").agg(
+        F.max(F.struct("_n", "comp", "_size")).alias("_main"), F.sum("_n").alias("_n"), F.sum("_size").alias("_size"),
+        F.count("*").alias("_comps"),
+    ).where("_comps > 1")
+
+    def blocks(rows, size):
+        return F.greatest(F.ceil(rows / group), F.ceil(size / (group * BLOCK_SHINGLES))).cast("long")
+
+    counts = saved(whole.select(
+        "bucket", F.col("_main.comp").alias("_main"),
+        blocks(F.col("_n") - F.col("_main._n"), F.col("_size") - F.col("_main._size")).alias("_others"),
+        blocks(F.col("_main._n"), F.col("_main._size")).alias("_mains"),
+    ), "counts")
+    main = F.col("comp") == F.col("_main")
+    hashed = F.xxhash64("node", F.lit(1))
+    block = F.when(main, F.col("_others") + F.pmod(hashed, F.col("_mains"))).otherwise(F.pmod(hashed, F.col("_others")))
+    last = F.when(main, F.col("_others")).otherwise(F.col("_others") + F.col("_mains")) - 1
+    rows = rest.join(counts.hint("merge"), "bucket").select(
+        "bucket", "node", "comp", block.alias("_block"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_with")
+    )
+    one, two = F.least("_block", "_with"), F.greatest("_block", "_with")
+    return rows.select("bucket", one.alias("one"), two.alias("two"), (F.col("_block") > F.col("_with")).alias("second"), "node", "comp")
+
+
 def near_links(
-    docs: DataFrame, signed: DataFrame, words: int, least: float, group: int, coordinates: int, id_col: str, text_col: str
+    docs: DataFrame, signed: DataFrame, words: int, least: float, group: int, id_col: str, text_col: str
 ) -> DataFrame | None:
     """(node, comp): the component of each node that has a link; None without links."""
-    bands = signed.select("node", F.explode("buckets").alias("bucket"))
+    bands = signed.select("node", "size", F.explode("buckets").alias("bucket"))
     key = F.xxhash64("node")
     shared = bands.groupBy("bucket").agg(F.min(key).alias("_low"), F.max(key).alias("_high")).where("_low <> _high")
     members = saved(listed(bands, saved(shared.select("bucket"), "shared"), "bucket", "left_semi").distinct(), "members")
-    nodes = saved(members.select("node").distinct(), "nodes")
-    texts = _texts(docs, signed, nodes, id_col, text_col)
-    marks = saved(
-        signed.join(nodes.hint("merge"), "node", "left_semi").groupBy("node").agg(F.max("mark").alias("mark")), "marks"
-    )
+    texts = _texts(docs, signed, saved(members.select("node").distinct(), "nodes"), id_col, text_col)
 
-    centers = members.groupBy("bucket").agg(F.min("node").alias("a"))
-    pairs = saved(_ordered(members.select("bucket", F.col("node").alias("b")).join(centers.hint("merge"), "bucket")), "pairs")
+    centers = saved(members.groupBy("bucket").agg(F.min("node").alias("a")), "centers")
+    others = members.join(centers.hint("merge"), "bucket").where("node <> a")
+    pairs = saved(_ordered(others.select("a", F.col("node").alias("b"))), "pairs")
     links = saved(_similar(pairs, texts, words, least), "near")
     found = None if links.isEmpty() else components(links)
-    tested, turn, fruitless = pairs, 0, 0
-    while True:
-        turn += 1
-        if found is None:
-            placed = members.withColumn("comp", F.col("node"))
-        else:
-            placed = members.join(found.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = placed.groupBy("bucket").agg(
-            F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_n")
-        ).where("_low <> _high")
-        spread = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("_n") / group).cast("long"))
-        dealt = saved(
-            placed.join(mixed.select("bucket", "_n").hint("merge"), "bucket")
-            .select("bucket", spread.alias("part"), "node", "comp").join(marks.hint("merge"), "node"),
-            "dealt",
-        )
-        likely = _promising(dealt, least, coordinates, 4 * turn)
-        pairs = saved(likely.join(tested.hint("merge"), ["a", "b"], "left_anti"), "pairs")
-        more = saved(_similar(pairs, texts, words, least), "near")
-        tested = tested.union(pairs)
-        if not more.isEmpty():
-            links, fruitless = links.union(more), 0
-            found = components(links)
-            continue
-        fruitless += 1
-        if fruitless == 2:
-            return found
+
+    # the star has compared its center with all members
+    rest = saved(_placed(others.select("bucket", "node", "size"), found), "rest")
+    dealt = saved(_dealt(rest, group), "dealt")
+    more = saved(_block_links(dealt.join(texts.hint("merge"), "node"), words, least), "near")
+    return found if more.isEmpty() else components(links.union(more))
 
 
 def near_dedup(
@@ -287,7 +339,7 @@ def near_dedup(
     bands: int = 25,
     rows: int = 5,
     weighted: bool = False,
-    group: int = 16,
+    group: int = 512,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -305,13 +357,9 @@ def near_dedup(
 
 def _classes(docs, least, words, bands, rows, weighted, group, id_col, text_col) -> DataFrame:
     signed = saved(signatures(docs, bands, rows, words, weighted, id_col, text_col), "signatures")
-    found = near_links(docs, signed, words, least, group, bands * rows, id_col, text_col)
+    found = near_links(docs, signed, words, least, group, id_col, text_col)
     keys = signed.select("doc_id", "node")
-    if found is None:
-        placed = keys.withColumn("comp", F.col("node"))
-    else:
-        placed = keys.join(found.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = saved(placed.select("doc_id", "node", "comp"), "placed")
+    placed = saved(_placed(keys, found).select("doc_id", "node", "comp"), "placed")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
     classes = placed.groupBy("comp").agg(
         F.min(order).alias("_first"), F.count("*").alias("class_size")
@@ -327,6 +375,6 @@ def _classes(docs, least, words, bands, rows, weighted, group, id_col, text_col)
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: one of each class (see `near_dedup`)."""
-    how = {"least": 0.8, "words": 5, "bands": 25, "rows": 5, "weighted": False, "group": 16} | how
+    how = {"least": 0.8, "words": 5, "bands": 25, "rows": 5, "weighted": False, "group": 512} | how
     verdicts = _classes(docs, id_col=id_col, text_col=text_col, **how).withColumnRenamed("node", "key")
     return keep_rows(docs, node_of(text_col), verdicts, id_col)

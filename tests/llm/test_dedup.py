@@ -146,3 +146,28 @@ def test_common_passages_are_no_near_copies(docs):
     passage = " ".join(f"p{i}" for i in range(60))
     given = docs(*[(i, passage + " " + " ".join(f"d{i}w{j}" for j in range(60))) for i in range(80)])
     assert {r.class_size for r in near_dedup(given).collect()} == {1}
+
+
+def _changed(rng, base, at):
+    words = list(base)
+    for i in at:
+        words[i] = f"x{rng.random()}"
+    return " ".join(words)
+
+
+def test_copies_that_link_only_to_their_original(docs):
+    """Each copy has six words changed, far apart: 0.816 to the original, much less to one another. Every
+    copy has to meet the original in large buckets."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = [_changed(rng, base, [50 * k + rng.randrange(8, 42) for k in range(6)]) for _ in range(3_000)]
+    given = docs((5_000, " ".join(base)), *enumerate(texts)).repartition(8)
+    assert {r.class_size for r in near_dedup(given).collect()} == {3_001}
+
+
+def test_small_blocks_make_the_same_classes(docs):
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(300)]
+    texts = {i: _changed(rng, base, rng.sample(range(300), rng.choice([4, 5, 6, 7]))) for i in range(90)}
+    found = {r.doc_id: r.class_id for r in near_dedup(docs(*texts.items()), group=7).collect()}
+    assert found == _brute(texts)
