@@ -2,8 +2,10 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+
 from newsloom.llm.components import components
-from newsloom.llm.dart_minhash import cells_of, drop_near_copies, near_dedup, shingles, signature
+from newsloom.llm.dart_minhash import cells_of, drop_near_copies, linked, near_dedup, shingles, signature, similarity
 from newsloom.llm.exact_dedup import CuckooIndex, build_index, digest_of, drop_copies, exact_dedup, update_index
 
 
@@ -165,6 +167,31 @@ def test_copies_that_link_only_to_their_original(docs):
     assert {r.class_size for r in near_dedup(given).collect()} == {3_001}
 
 
+def test_links_between_blocks():
+    """All components that links join, against brute force, within a block and between two."""
+    rng = random.Random(6)
+    texts = {}
+    for cluster in range(8):
+        base = [f"c{cluster}w{i}" for i in range(200)]
+        for _ in range(12):
+            texts[len(texts)] = _changed(rng, base, rng.sample(range(200), rng.choice([1, 3, 5, 6])))
+    sets = [np.unique(shingles(text)) for text in texts.values()]
+    expected = _brute(texts)
+    found = {key: key for key in texts}
+    for i, j in linked(sets, list(texts), 0, 0.8):
+        low, high = sorted((found[i], found[j]))
+        assert low != high
+        found = {key: low if comp == high else comp for key, comp in found.items()}
+    assert found == expected
+    pairs = {(i, j) for i in range(40) for j in range(40, 96) if similarity(sets[i], sets[j]) >= 0.8}
+    across = linked(sets, list(texts), 40, 0.8)
+    assert across and set(across) <= pairs
+    joined = dict(enumerate(texts))
+    for i, j in across:
+        joined = {key: joined[i] if comp == joined[j] else comp for key, comp in joined.items()}
+    assert all(joined[i] == joined[j] for i, j in pairs)
+
+
 def test_small_blocks_make_the_same_classes(docs):
     rng = random.Random(12)
     base = [f"w{i}" for i in range(300)]
