@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import looked_up, saved, ship, text_or_empty
+from .common import ROW, looked_up, numbered, partitions, saved, ship, text_or_empty
 from .dart_minhash import shingles
 
 SYMBOLS = "#*$%&|<>"
@@ -69,6 +69,31 @@ _SCHEMA = (
 )
 
 
+#: Lines over their host's limit that are broadcast as a whole; of more, only the most frequent are.
+BROADCAST_LINES = 100_000
+
+
+def _over_limit(rows: DataFrame, max_docs: int, max_share: float) -> DataFrame:
+    """(_row, gone_words, gone): words in, and hashes of, the lines of a row that are over the limit."""
+    hosts = saved(rows.groupBy("host").agg(F.count("*").alias("docs")), "hosts")
+    counted = rows.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    over = looked_up(counted.where(F.col("n") > max_docs), hosts, "host").where(F.col("n") > max_share * F.col("docs"))
+    over = saved(over.select(F.col("host").alias("_host"), F.col("line").alias("_line"), "n"), "over")
+    pairs = F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words"))
+    lines = rows.select(ROW, "host", F.inline(pairs))
+    same = F.col("host").eqNullSafe(F.col("_host")) & (F.col("line") == F.col("_line"))
+    if over.count() <= BROADCAST_LINES:
+        found = lines.join(F.broadcast(over), same)
+    else:  # lines of more rows than a task's even share are fewer than the tasks
+        even = (rows.agg(F.sum(F.size("lines"))).first()[0] or 0) / partitions(rows.sparkSession)
+        hot = F.broadcast(over.where(F.col("n") > even))
+        others = lines.join(hot, same, "left_anti").join(over.where(F.col("n") <= even).hint("merge"), same)
+        found = lines.join(hot, same).unionByName(others)
+    return saved(
+        found.groupBy(ROW).agg(F.sum("words").alias("gone_words"), F.collect_list("line").alias("gone")), "over-by-row"
+    )
+
+
 def line_rules(
     docs: DataFrame,
     max_docs: int = 20,
@@ -87,40 +112,33 @@ def line_rules(
     left. Each row counts as a document, repeated ones too. A null text is empty and fails; rows
     without a host share one. Other columns are not read; an empty table gives no rows.
     """
+    return _judged(docs, max_docs, max_share, min_left, host_col, id_col, text_col).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "left_words"
+    )
+
+
+def _judged(docs, max_docs, max_share, min_left, host_col, id_col, text_col, *more) -> DataFrame:
+    """The columns of `line_rules`, host, `gone` (hashes of lines over the limit; null without one), and
+    the columns `more` of `docs`."""
     ship(docs.sparkSession)
     given = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text_or_empty(text_col).alias("text")
+        F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), *more, text_or_empty(text_col).alias("text")
     )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
         for batch in batches:
-            rows = [measured(text.as_py()) for text in batch.column(2)]
+            rows = [measured(text.as_py()) for text in batch.columns[-1]]
             columns = zip(*rows) if rows else [[]] * 7
             arrays = [pa.array(list(column), kind) for column, kind in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names)
-
-    kind = {f.name: f.dataType.simpleString() for f in given.schema}
-    schema = f"doc_id {kind['doc_id']}, host {kind['host']}, {_SCHEMA}"
-    names = ["doc_id", "host"] + [part.split()[0] for part in _SCHEMA.split(", ")]
-    rows = saved(given.mapInArrow(measure, schema), "lines")
-
-    hosts = saved(rows.groupBy("host").agg(F.count("*").alias("docs")), "hosts")
-    counted = rows.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
-    over = looked_up(counted.where(F.col("n") > max_docs), hosts, "host").where(F.col("n") > max_share * F.col("docs"))
-    # a host has at most (lines of an average document) / max_share such lines
-    limits = saved(over.groupBy("host").agg(F.collect_set("line").alias("over")), "over")
-    pairs = F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words"))
-    gone = F.aggregate(
-        F.filter(pairs, lambda p: F.array_contains("over", p["line"])), F.lit(0).cast("long"), lambda n, p: n + p["words"]
-    )
-    judged = looked_up(rows, limits, "host").withColumn(
-        "left_words", F.col("n_words") - F.when(F.col("over").isNull(), F.lit(0).cast("long")).otherwise(gone)
-    )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names)
+
+    before = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema][:-1]
+    names = given.columns[:-1] + [part.split()[0] for part in _SCHEMA.split(", ")]
+    rows = saved(numbered(given.mapInArrow(measure, ", ".join([*before, _SCHEMA]))), "lines")
+    gone = _over_limit(rows, max_docs, max_share).withColumnRenamed(ROW, "_of")
+    judged = rows.drop("lines", "line_words").join(gone.hint("merge"), F.col(ROW) == F.col("_of"), "left")
+    judged = judged.withColumn("left_words", F.col("n_words") - F.coalesce("gone_words", F.lit(0).cast("long")))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"),
-        (~failed & (F.col("left_words") >= min_left * F.col("n_words"))).alias("kept"),
-        "left_words",
-    )
+    kept = ~failed & (F.col("left_words") >= min_left * F.col("n_words"))
+    return judged.withColumns({"base_failed": failed, "kept": kept}).drop(ROW, "_of", "gone_words")

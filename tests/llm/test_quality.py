@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+from newsloom.llm import line_frequency
 from newsloom.llm.line_frequency import line_rules, measured, repeated_words
 from newsloom.llm.site_quality import good_documents, site_quality
 
@@ -80,3 +82,20 @@ def test_without_labels_all_stay(docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     given = docs((1, "| | |"), (2, "fine words"))
     assert good_documents(given, none).count() == 2
+
+
+def test_many_lines_over_the_limit_are_joined(docs, monkeypatch):
+    """Lines over the limit, one in most documents: broadcast or joined, and for a null host."""
+    rng = random.Random(3)
+    lines = [f"line {i} of some more words" for i in range(60)]
+    rows = [
+        (i % 300, "\n".join(["a line in all documents", *rng.sample(lines, 9), f"own {i}"]), rng.choice(["a", None]))
+        for i in range(400)
+    ]
+    given = docs(*rows).repartition(5)
+    found = sorted(map(tuple, line_rules(given, max_share=0.0).collect()))
+    monkeypatch.setattr(line_frequency, "BROADCAST_LINES", 0)
+    assert found == sorted(map(tuple, line_rules(given, max_share=0.0).collect()))
+    counts = Counter((host, line) for _, text, host in rows for line in text.split("\n"))
+    left = sorted((i, sum(len(x.split()) for x in text.split("\n") if counts[host, x] <= 20)) for i, text, host in rows)
+    assert left == sorted((r[0], r[-1]) for r in found)
