@@ -2,8 +2,8 @@
 
 One pass over the texts makes short rows: counts, and a hash with its number of words for each
 distinct normalised line. Lines are counted by host and hash, combined before the shuffle. What is
-over its host's limit is taken out of each document's word count; a document of which too little is
-left is rejected.
+over its host's limit is taken out of each document; a document of which too little is left is
+rejected. `line_rules` gives counts and verdicts, `clean_documents` the texts that are left.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ROW, looked_up, numbered, partitions, saved, ship, text_or_empty
+from .common import ROW, fresh, looked_up, numbered, partitions, saved, ship, text_or_empty
 from .dart_minhash import shingles
 
 SYMBOLS = "#*$%&|<>"
@@ -43,10 +43,19 @@ def repeated_words(text: str) -> int:
     return int((np.cumsum(change) > 0).sum())
 
 
-def measured(text: str) -> tuple:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, hashes, words) of a text."""
+def line_key(line: str) -> int:
     import xxhash
 
+    return xxhash.xxh3_64_intdigest(normal_line(line)) - (1 << 63)
+
+
+def without(text: str, gone: set[int]) -> str:
+    """The text without the lines of these keys; lines without a word stay."""
+    return "\n".join(line for line in text.split("\n") if not line.encode().split() or line_key(line) not in gone)
+
+
+def measured(text: str) -> tuple:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, hashes, words) of a text."""
     lines: dict[int, int] = {}
     seen, repeated, words = set(), 0, 0
     for line in text.split("\n"):
@@ -56,7 +65,7 @@ def measured(text: str) -> tuple:
         words += n
         repeated += line in seen
         seen.add(line)
-        key = xxhash.xxh3_64_intdigest(normal_line(line)) - (1 << 63)
+        key = line_key(line)
         lines[key] = lines.get(key, 0) + n
     chars = len(text) - sum(map(text.count, _SPACES))
     symbols = sum(map(text.count, SYMBOLS))
@@ -142,3 +151,43 @@ def _judged(docs, max_docs, max_share, min_left, host_col, id_col, text_col, *mo
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     kept = ~failed & (F.col("left_words") >= min_left * F.col("n_words"))
     return judged.withColumns({"base_failed": failed, "kept": kept}).drop(ROW, "_of", "gone_words")
+
+
+def clean_documents(
+    docs: DataFrame,
+    max_docs: int = 20,
+    max_share: float = 0.1,
+    min_left: float = 0.3,
+    host_col: str = "source",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The documents that `line_rules` keeps, with all their columns, their texts without the lines over
+    the limit: `left_words` words are left. Repeated rows stay."""
+    key, name, host, own, gone, kept = fresh(docs, "_key", "_id", "_host", "_own_key", "_gone", "_kept")
+    digest = F.sha2(text_or_empty(text_col), 256)
+    judged = _judged(docs, max_docs, max_share, min_left, host_col, id_col, text_col, digest.alias("_digest"))
+    # rows of the same id, host and text have the same verdict and lines
+    verdicts = saved(
+        judged.where(~F.col("kept") | F.col("gone").isNotNull())
+        .groupBy(F.col("doc_id").alias(name), F.col("host").alias(host), F.col("_digest").alias(key))
+        .agg(F.first("kept").alias(kept), F.first("gone").alias(gone)),
+        "changed",
+    )
+    same = F.col(id_col).eqNullSafe(F.col(name)) & F.col(host_col).eqNullSafe(F.col(host)) & (F.col(own) == F.col(key))
+    stay = (
+        docs.withColumn(own, digest).join(verdicts.hint("merge"), same, "left")
+        .where(F.coalesce(kept, F.lit(True))).select(*[F.col(f"`{c}`") for c in docs.columns], gone)
+    )
+    at = docs.columns.index(text_col)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = batch.columns
+            texts, lines = columns[at].to_pylist(), columns.pop().to_pylist()
+            texts = [without(text, set(keys)) if keys else text for text, keys in zip(texts, lines)]
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = docs.columns
+    return stay.mapInArrow(cut, docs.schema)

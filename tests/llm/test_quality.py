@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 from newsloom.llm import line_frequency
-from newsloom.llm.line_frequency import line_rules, measured, repeated_words
+from newsloom.llm.line_frequency import clean_documents, line_rules, measured, repeated_words
 from newsloom.llm.site_quality import good_documents, site_quality
 
 
@@ -99,3 +99,19 @@ def test_many_lines_over_the_limit_are_joined(docs, monkeypatch):
     counts = Counter((host, line) for _, text, host in rows for line in text.split("\n"))
     left = sorted((i, sum(len(x.split()) for x in text.split("\n") if counts[host, x] <= 20)) for i, text, host in rows)
     assert left == sorted((r[0], r[-1]) for r in found)
+
+
+def test_cleaned_texts_have_the_words_that_are_left(spark, docs, odd, empty):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    verdicts = {r.doc_id: r for r in line_rules(given, max_docs=2, max_share=0.0).collect()}
+    cleaned = clean_documents(given, max_docs=2, max_share=0.0)
+    texts = {r.doc_id: r.text for r in cleaned.collect()}
+    assert cleaned.columns == given.columns and set(texts) == {i for i, r in verdicts.items() if r.kept}
+    assert all(len(text.encode().split()) == verdicts[i].left_words for i, text in texts.items())
+    assert any(verdicts[i].left_words < verdicts[i].n_words for i in texts)
+    own = " ".join(f"w{j}" for j in range(12))
+    rows = [(i, f"Shared  line\n\n{own} {i}\nshared LINE", "a") for i in range(30)] + [(99, "shared line\n" * 9, "a")]
+    left = clean_documents(docs(*rows, rows[0])).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted((i, f"\n{own} {i}") for i in [0, *range(30)])
+    assert clean_documents(odd).schema == odd.schema and clean_documents(odd).count() == line_rules(odd).where("kept").count()
+    assert clean_documents(empty).collect() == []
