@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
+from .alignment import align
 from .curriculum import assign
 from .dart_minhash import near_dedup
 from .exact_dedup import exact_dedup
 from .label_propagation import shard
 from .line_frequency import line_rules
 from .packing import pack
+from .reverse_search import search
 from .secret_owners import KINDS, find_secrets, shown
 from .site_quality import site_quality
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
+from .toxicity import toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -83,6 +86,20 @@ def op7_token_counts(spark, sf_dir):
     return token_counts(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"))
 
 
+def op11_alignment(spark, sf_dir):
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    found = align(documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"), shown=digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_reverse_search(spark, sf_dir):
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_toxicity(spark, sf_dir):
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -93,6 +110,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_rules": _LINES,
         "op6_secret_owners": _secrets(),
         "op9_curriculum": _CURRICULUM,
+        "op12_reverse_search": _SEARCH,
     }
 
 
@@ -165,6 +183,29 @@ _CURRICULUM = r"""WITH d AS (
     FROM q"""
 
 
+_SEARCH = r"""WITH d AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents WHERE text IS NOT NULL),
+    i AS (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    item AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+    s AS (SELECT count(*)::HUGEINT AS docs, sum(len(t))::HUGEINT AS terms FROM d WHERE len(t) > 0),
+    tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+    q AS (
+        SELECT doc_id, term, (1000000000 * tf::HUGEINT) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)) AS q
+        FROM tf, s WHERE term IN (SELECT term FROM item)),
+    w AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+        FROM (SELECT term, count(*) AS df FROM q GROUP BY term), s),
+    scored AS (
+        SELECT item_id, doc_id, sum(times * w * q)::BIGINT AS score
+        FROM item JOIN w USING (term) JOIN q USING (term) GROUP BY ALL)
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    WHERE rank <= 10"""
+
+
 def _secrets() -> str:
     kinds = []
     for kind, (pattern, group, least) in KINDS.items():
