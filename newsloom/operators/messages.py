@@ -16,25 +16,25 @@ def flatten_articles(
     messages: DataFrame, value_col: str = "value", defaults=ARTICLE_DEFAULTS, keep: tuple[str, ...] = (),
     observe: str | Observation | None = None,
 ) -> DataFrame:
-    """One row per article of every message. A message that is no JSON (or has more than a variant
-    holds, 16 MiB), or whose `articles` is not an array, gives no rows; `observe` names an observation
-    that counts these as `unreadable` of all `messages`. A missing or null field gets its default.
+    """One row per article of every message. A message that is no JSON object, or whose `articles` is not
+    an array, gives no rows; `observe` names an observation that counts these as `unreadable` of all
+    `messages`. A missing or null field gets its default; an element that is no object has them all.
 
-    A message in which a key is repeated is only read in a session that allows it, as
-    `newsloom.session` sets `spark.sql.variant.allowDuplicateKeys`; else it is unreadable.
+    Of a repeated key the last value counts. No session setting and no size limit of a type has a part
+    in it: messages are parsed as arrays of texts, and each text as an article. (So an element that is a
+    text with an object inside is read as that object.)
     """
-    articles = F.try_variant_get(F.try_parse_json(value_col), "$.articles", "array<variant>")
+    articles = F.from_json(value_col, "articles array<string>")["articles"]
     if observe is not None:
         messages = settle(messages, "_articles", articles)
         articles = F.col("_articles")
         messages = messages.observe(
             observe, F.count(F.lit(1)).alias("messages"), F.count_if(articles.isNull()).alias("unreadable")
         )
-    fields = [
-        F.coalesce(F.try_variant_get("_article", f"$.{name}", "string"), F.lit(default)).alias(name)
-        for name, default in defaults.items()
-    ]
-    return messages.select(*keep, F.explode(articles).alias("_article")).select(*keep, *fields)
+    found = messages.select(*keep, F.explode(articles).alias("_article"))
+    parsed = F.from_json("_article", ", ".join(f"`{name}` string" for name in defaults))
+    fields = [F.coalesce(F.col(f"_fields.{name}"), F.lit(default)).alias(name) for name, default in defaults.items()]
+    return settle(found, "_fields", parsed).select(*keep, *fields)
 
 
 def article_lines(articles: DataFrame) -> DataFrame:

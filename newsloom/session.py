@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a repeated key in a JSON object keeps its last value instead of losing the message
-    "spark.sql.variant.allowDuplicateKeys": "true",
     # word-count state grows with the vocabulary: keep it off the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

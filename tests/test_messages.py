@@ -19,14 +19,15 @@ def test_defaults(spark):
 
 @pytest.mark.parametrize("article, title", [
     ({"title": None}, "No title"), ({}, "No title"), ({"title": ""}, ""), ({"title": 5}, "5"),
-    ({"title": True}, "true"), ("text", "No title"), (None, "No title"), ([], "No title"),
+    ({"title": True}, "true"), ({"title": {"a": [1]}}, '{"a":[1]}'), (7, "No title"), ("text", "No title"), (None, "No title"), ([], "No title"),
 ])
 def test_titles(spark, article, title):
     assert flat(spark, json.dumps({"articles": [article]})).first().title == title
 
 
 @pytest.mark.parametrize("value", [
-    "{bad", "", None, "[1]", '{"articles":{}}', '{"articles":[]}', "{}", '{"articles":null}', "5",
+    "{bad", "", None, "[1]", '{"articles":"[1]"}', '{"articles":"a"}', '{"articles":[{"title":"a"}', '{"articles":7}',
+    '{"articles":{}}', '{"articles":[]}', "{}", '{"articles":null}', "5",
 ])
 def test_no_articles(spark, value):
     assert flat(spark, value).count() == 0
@@ -39,6 +40,14 @@ def test_bad_message_does_not_hide_others(spark):
 
 def test_repeated_field_keeps_the_last(spark):
     assert flat(spark, '{"articles":[{"title":"a","title":"b"}]}').first().title == "b"
+    assert flat(spark, '{"articles":[],"articles":[{"title":"a"}]}').first().title == "a"
+
+
+def test_large_message(spark):
+    """Larger than a variant holds."""
+    rows = spark.range(1).selectExpr("""concat('{"articles":[{"title":"', repeat('x', 18000000), '"},{"url":"u"}]}') as value""")
+    found = flatten_articles(rows).selectExpr("length(title) as n", "url").collect()
+    assert sorted(map(tuple, found)) == [(8, "u"), (18_000_000, "No URL")]
 
 
 def test_kept_columns(spark):

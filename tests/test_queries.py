@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from newsloom.session import SETTINGS
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ROWS_ONLY: set[str] = set()
@@ -45,9 +46,18 @@ def test_all_queries_have_sql():
     assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
+@pytest.fixture(scope="module")
+def plain_session(spark):
+    """A user's own session: none of the settings of the package's."""
+    made = spark.newSession()
+    for key in SETTINGS:
+        made.conf.unset(key)
+    return made
+
+
 @pytest.mark.parametrize("name", OWN)
-def test_query(spark, tables, name):
-    df = registered.queries()[name](spark, SF_DIR)
+def test_query(plain_session, tables, name):
+    df = registered.queries()[name](plain_session, SF_DIR)
     rows = df.collect()
     if name in ROWS_ONLY:
         assert rows
