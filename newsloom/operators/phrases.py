@@ -1,10 +1,11 @@
 """Named-entity tags for tokens: phrases of a gazetteer, then runs of capitalised words.
 
-A document's matches are written as a code with one character per token: `0` for no match, or a
-character that stands for the length of the longest phrase starting there. A regex with one branch
-per length then walks the code from the left, taking each match whole. That is leftmost-longest
-matching, in one pass over the row. The types of the matches lie beside the code in an array, so
-their number is not part of the plan.
+Matching is leftmost-longest. A gazetteer of checked size travels to the tasks as a trie that the
+tokens walk (`trie`). A larger one is joined with the n-grams of the documents: a document's matches
+then become a code with one character per token, `0` for no match, or a character that stands for
+the length of the longest phrase starting there, and a regex with one branch per length walks the
+code from the left, taking each match whole. The types of the matches lie beside the code in an
+array, so their number is not part of the plan.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..fixed_values import EN_STOP
 from ..functions import settle
 from ..word_shapes import NAME_SHAPE, NAME_TYPE
-from .lexicon import BROADCAST_ROWS, carried, content_key, fits, lookup, saved
+from .lexicon import BROADCAST_ROWS, content_key, fits, lookup, saved
+from .trie import OUTSIDE, PhraseTrie, build_trie, walker
 
-OUTSIDE = "O"
 _NO_MATCH = "0"
 _FIRST_SYMBOL = 0x4E00  # any run of letters without a meaning in a regex
 
@@ -42,17 +43,20 @@ class Gazetteer:
 
     table: DataFrame  # normalized and saved
     lengths: list[int]  # numbers of words of its phrases, the largest first
-    entries: pa.Table | None  # the phrases, if they travel to the tasks
+    trie: PhraseTrie | None  # the phrases, if they travel to the tasks
 
 
 def prepare_gazetteer(gazetteer: DataFrame | Gazetteer, carry_phrases: int = BROADCAST_ROWS) -> Gazetteer:
     """Normalize, size and save a (phrase, entity_type) gazetteer. Up to `carry_phrases` phrases of
-    checked size travel to the tasks as a table; a larger one is joined, with the same result."""
+    checked size travel to the tasks as a trie; a larger one is joined, with the same result."""
     if isinstance(gazetteer, Gazetteer):
         return gazetteer
     table = saved(normalize_gazetteer(gazetteer), "gazetteer")
     lengths = sorted((row["n"] for row in table.select("n").distinct().collect()), reverse=True)
-    return Gazetteer(table, lengths, table.toArrow() if fits(table, carry_phrases) else None)
+    if not fits(table, carry_phrases):
+        return Gazetteer(table, lengths, None)
+    entries = table.select("phrase", "entity_type").toArrow()
+    return Gazetteer(table, lengths, build_trie(entries.column("phrase"), entries.column("entity_type")))
 
 
 def _key(n, gram) -> Column:
@@ -64,34 +68,6 @@ def _symbol(n: int) -> str:
     return chr(_FIRST_SYMBOL + n)
 
 
-def _carried_code(df: DataFrame, tokens: str, gazetteer: Gazetteer) -> DataFrame:
-    """The match code and types from phrases that travel to the tasks as a table. N-grams are only
-    made where a phrase's first word is."""
-
-    def look(keys, values):
-        return carried(pa.table({"key": pa.array(keys, pa.string()), "value": pa.array(values, pa.string())}), "string")
-
-    phrases, types, sizes = (gazetteer.entries.column(c).to_pylist() for c in ("phrase", "entity_type", "n"))
-    first_words = list(dict.fromkeys(phrase.split(" ")[0] for phrase in phrases))
-    starts = look(first_words, [""] * len(first_words))
-    whole = look([f"{n} {phrase}" for n, phrase in zip(sizes, phrases)], types)
-
-    def grams(n):
-        gram = lambda i: F.get(tokens, i) if n == 1 else F.array_join(F.slice(tokens, i + 1, n), " ")
-        full = lambda i: i + n <= F.size(tokens)
-        return F.transform("_start", lambda start, i: F.when(start.isNotNull() & full(i), _key(n, gram(i))))
-
-    begun = settle(df.withColumn("_start", starts(tokens)), "_start", F.col("_start"))
-    found = begun.withColumns({f"_found{n}": whole(grams(n)) for n in gazetteer.lengths})
-    here = [F.col(f"_found{n}") for n in gazetteer.lengths]
-    symbol = lambda i: F.coalesce(
-        *(F.when(F.get(c, i).isNotNull(), _symbol(n)) for n, c in zip(gazetteer.lengths, here)), F.lit(_NO_MATCH)
-    )
-    coded = settle(found, "_code", F.array_join(F.transform("_start", lambda _, i: symbol(i)), ""))
-    typed = settle(coded, "_types", F.transform("_start", lambda _, i: F.coalesce(*(F.get(c, i) for c in here))))
-    return typed.drop("_start", *(f"_found{n}" for n in gazetteer.lengths))
-
-
 def _joined_code(df: DataFrame, tokens: str, gazetteer: Gazetteer) -> DataFrame:
     """The match code and types by joining n-grams with a gazetteer too large to travel.
 
@@ -167,15 +143,17 @@ def match_phrases(
 ) -> DataFrame:
     """Add IOB tags for the leftmost-longest phrases of a (phrase, entity_type) gazetteer.
 
-    The phrases travel to the tasks as a table of checked size, and no row moves; a larger gazetteer
+    The phrases travel to the tasks as a trie of checked size, and no row moves; a larger gazetteer
     is joined with the n-grams of the documents, with the same result. A gazetteer used again, as in
     a stream, goes through `prepare_gazetteer` once.
     """
     ready = prepare_gazetteer(gazetteer, carry_phrases)
     if not ready.lengths:
         return settle(df, out, F.transform(tokens_col, lambda _: F.lit(OUTSIDE)))
-    coded = (_joined_code if ready.entries is None else _carried_code)(df, tokens_col, ready)
-    placed = settle(coded, "_places", _places(ready.lengths))
+    if ready.trie is not None:
+        walked = F.arrow_udf(walker(ready.trie), "array<string>")
+        return settle(df.withColumn(out, walked(tokens_col)), out, F.col(out))
+    placed = settle(_joined_code(df, tokens_col, ready), "_places", _places(ready.lengths))
     return settle(placed, out, _tags()).drop("_code", "_types", "_places")
 
 

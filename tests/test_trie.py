@@ -1,0 +1,54 @@
+"""The trie against a plain leftmost-longest search."""
+
+import pyarrow as pa
+from hypothesis import given, settings, strategies as st
+
+from newsloom.operators.trie import build_trie, walker
+
+WORDS = st.sampled_from(["a", "b", "c", "New", "York", "é", "a b"])
+PHRASES = st.dictionaries(
+    st.lists(st.sampled_from(["a", "b", "c", "New", "York", "é"]), min_size=1, max_size=5).map(" ".join),
+    st.sampled_from(["X", "Y"]), min_size=1, max_size=12,
+)
+
+
+def plain(tokens, phrases):
+    if tokens is None:
+        return None
+    tags, i = [], 0
+    while i < len(tokens):
+        for n in range(len(tokens) - i, 0, -1):
+            words = tokens[i:i + n]
+            kind = None if any(w is None or " " in w for w in words) else phrases.get(" ".join(words))
+            if kind:
+                tags += [f"B-{kind}"] + [f"I-{kind}"] * (n - 1)
+                i += n
+                break
+        else:
+            tags.append("O")
+            i += 1
+    return tags
+
+
+def trie_of(phrases):
+    return build_trie(pa.chunked_array([list(phrases)]), pa.chunked_array([list(phrases.values())]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.one_of(st.none(), WORDS), max_size=12)), max_size=6), PHRASES, st.integers(0, 3))
+def test_against_a_loop(docs, phrases, skip):
+    tokens = pa.array(docs, pa.list_(pa.string())).slice(min(skip, len(docs)))
+    found = walker(trie_of(phrases))(tokens)
+    assert found.to_pylist() == [plain(doc, phrases) for doc in docs[skip:]]
+
+
+def test_a_node_for_each_beginning():
+    trie = trie_of({"a b c": "X", "a b": "Y", "b": "X", "c c": "X"})
+    assert len(trie.keys) == 6 and sorted(trie.kinds.tolist()) == [-1, -1, -1, 0, 0, 0, 1]
+    assert (trie.keys[1:] > trie.keys[:-1]).all()
+
+
+def test_a_long_phrase_and_a_repetitive_text():
+    phrases = {" ".join("a" * n): "X" for n in (1, 40)}
+    (tags,) = walker(trie_of(phrases))(pa.array([["a"] * 100])).to_pylist()
+    assert tags.count("B-X") == 22 and tags[40] == "B-X" and tags[39] == "I-X" and tags[80:] == ["B-X"] * 20

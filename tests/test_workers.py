@@ -7,7 +7,7 @@ import sys
 SCRIPT = """
 import sys
 sys.path.insert(0, sys.argv[1])
-from newsloom.operators import flatten_articles, lemma_arrays, to_messages
+from newsloom.operators import flatten_articles, lemma_arrays, match_phrases, to_messages
 from newsloom.session import session
 
 spark = session(**{
@@ -19,6 +19,8 @@ assert flatten_articles(to_messages(titles)).count() == 2
 words = spark.sql("select array('cars', 'x') as token")
 lexicon = spark.sql("select 'cars' as token, 'car' as lemma")
 assert lemma_arrays(words, lexicon).first().lemma == ["car", "x"]
+gazetteer = spark.sql("select 'cars x' as phrase, 'T' as entity_type")
+assert match_phrases(words, gazetteer).first().ner == ["B-T", "I-T"]
 print("fine")
 """
 
