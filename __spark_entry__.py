@@ -16,9 +16,9 @@ from newsloom.annotators import build_pipeline, news_stages
 from newsloom.operators import (
     annotate_entities, article_lines, assemble, classify_topic, embed, enrich_articles, entity_counts,
     entity_type_counts, extract_entities, flatten_articles, iob_to_chunks, keyword_counts, lemmatize,
-    ner_tag, pos_frequencies, pos_tag, pos_words, prepare_gazetteer, remove_stopwords, term_frequencies,
+    ner_tag, pos_frequencies, pos_tag, pos_words, prepare_gazetteer, remove_stopwords, tag_arrays, tag_in_context, term_frequencies,
     term_tfidf, tfidf, to_messages, token_counts, token_rows, tokenize, topic_counts, topic_trends,
-    train_entity_tagger, train_pos_lexicon, trending_entities, typed_names, word_cloud, word_frequencies,
+    train_context_tagger, train_entity_tagger, train_pos_lexicon, trending_entities, typed_names, word_cloud, word_frequencies,
 )
 from newsloom.session import scratch_dir, spread
 from newsloom.sinks import (
@@ -268,6 +268,32 @@ def q_pos_lexicon(spark, sf_dir):
     return train_pos_lexicon(tagged.select(F.lower("token").alias("token"), F.col("pos_tag").alias("tag")))
 
 
+def _by_neighbour(tokens):
+    """Tags that the word alone does not tell: a word is a verb after one that ends in a vowel."""
+    def tag(token, i):
+        before = F.lower(F.coalesce(F.get("token", i - 1), F.lit("")))
+        return F.when(token.rlike("^[0-9]"), "CD").when(before.rlike("[aeiou]$"), "VB").otherwise("NN")
+
+    return tokens.withColumn("tag", F.transform("token", tag))
+
+
+def q_pos_context(spark, sf_dir):
+    """A tagger of context learned from three quarters of the documents; on the others, whether it
+    is better than the lexicon learned from the same, and finds nearly all tags."""
+    tagged = _by_neighbour(_tokens(spark, sf_dir).where(F.size("token") > 0))
+    seen, new = tagged.where("doc_id % 4 != 0"), tagged.where("doc_id % 4 = 0")
+    found = tag_in_context(new, train_context_tagger(seen, max_rows=300, epochs=3), out="pos")
+    rows = seen.select(F.inline(F.arrays_zip("token", "tag")))
+    lexicon = train_pos_lexicon(rows.select(F.lower("token").alias("token"), "tag"))
+    found = tag_arrays(found, lexicon, "token", "listed")
+    alike = lambda name: F.sum(F.size(F.filter(F.arrays_zip(F.col("tag"), F.col(name).alias("guess")), lambda z: z["tag"] == z["guess"])))
+    return found.agg(
+        F.count("*").alias("documents"), F.sum(F.size("pos")).alias("tokens"),
+        (alike("pos") > alike("listed")).alias("above_lexicon"),
+        (alike("pos") >= 0.95 * F.sum(F.size("token"))).alias("nearly_all"),
+    )
+
+
 def _chunk_list(df):
     """One row per document: its chunks in order."""
     shown = F.transform("entities", lambda c: F.concat(c["result"], F.lit("/"), c["metadata"]["entity"]))
@@ -736,6 +762,9 @@ def oracle_sql() -> dict[str, str]:
                 SELECT w, t, row_number() OVER (PARTITION BY w ORDER BY c DESC, t) AS place FROM (
                     SELECT lower(token) AS w, {_POS} AS t, count(*) AS c
                     FROM tok LEFT JOIN lexicon ON lower(token) = word GROUP BY ALL)) WHERE place = 1""",
+        "pos_context": f"""WITH {_tokens_cte()}
+            SELECT count(*) AS documents, sum(len(token))::BIGINT AS tokens, true AS above_lexicon, true AS nearly_all
+            FROM tokens WHERE doc_id % 4 = 0 AND len(token) > 0""",
         "entity_spans": f"WITH {_tokens_cte()}, {_spans_cte()} {_chunk_sql('span')}",
         "entity_counts_top10": f"""WITH {_tokens_cte()}, {_spans_cte()}
             SELECT entity, count(*) AS count FROM span GROUP BY entity ORDER BY count DESC, entity LIMIT 10""",

@@ -15,6 +15,7 @@ from ..fixed_values import EN_STOP
 from ..functions import settle
 from ..operators.chunks import CHUNKS, iob_to_chunks
 from ..operators.lexicon import lemma_arrays, tag_arrays, vector_arrays
+from ..operators.perceptron import ContextTagger, tag_in_context
 from ..operators.phrases import ner_tag
 from ..operators.tfidf import NUM_FEATURES
 from ..operators.tokens import finish, remove_stopwords, tokens_of
@@ -75,15 +76,19 @@ class StopWords(_Stage):
 
 
 class _LexiconStage(_Stage):
-    def __init__(self, lexicon: DataFrame, inputCol=None, outputCol=None):
+    def __init__(self, lexicon: DataFrame | ContextTagger, inputCol=None, outputCol=None):
         super().__init__(inputCol, outputCol)
         self.lexicon = lexicon
 
 
 class PosTagger(_LexiconStage):
+    """Tags by a lexicon and word shapes, or in context by a learned tagger in the lexicon's place."""
+
     adds = "pos"
 
     def _transform(self, df):
+        if isinstance(self.lexicon, ContextTagger):
+            return self._annotated(tag_in_context(self._tokens(df), self.lexicon, _TOKENS, _VALUES))
         return self._annotated(tag_arrays(self._tokens(df), self.lexicon, _TOKENS, _VALUES))
 
 
@@ -146,7 +151,7 @@ def build_pipeline(stages) -> Pipeline:
 
 
 def news_stages(
-    pos_lexicon: DataFrame,
+    pos_lexicon: DataFrame | ContextTagger,
     lemma_lexicon: DataFrame,
     vectors: DataFrame | None = None,
     gazetteer: DataFrame | None = None,

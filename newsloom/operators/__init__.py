@@ -8,6 +8,7 @@ from .lexicon import (
     embed, lemma_arrays, lemmatize, lookup, normalize_lexicon, pos_tag, pos_words, tag_arrays, train_pos_lexicon, vector_arrays,
 )
 from .messages import article_lines, flatten_articles, to_messages
+from .perceptron import ContextTagger, tag_in_context, train_context_tagger
 from .phrases import match_phrases, ner_tag, normalize_gazetteer, prepare_gazetteer
 from .tagger import EntityTagger, train_entity_tagger, typed_names
 from .tfidf import hashing_tf, idf, term_frequencies, term_tfidf, tfidf
