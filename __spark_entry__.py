@@ -320,6 +320,28 @@ def q_entity_tagger(spark, sf_dir):
     )
 
 
+def q_entity_sequences(spark, sf_dir):
+    """Types by a name's ending, learned from a part of the names and decoded for the others: their words, illegal
+    sequences, and whether more chunks have the right type than if all had the most frequent one."""
+    ending = lambda c: F.when(F.col(c).rlike("[aeiounrs]$"), "PER").otherwise("LOC")
+    tokens = _tokens(spark, sf_dir)
+    names = _gazetteer(spark, sf_dir).where("conv(substring(md5(phrase), 1, 1), 16, 10) >= 8")
+    gazetteer = prepare_gazetteer(names.withColumn("entity_type", ending("phrase")))
+    matched = ner_tag(tokens, gazetteer, names=False, out="matched")
+    tagged = typed_names(matched.withColumn("ner", F.col("matched")), train_entity_tagger(tokens, gazetteer))
+    new = F.transform("ner", lambda tag, i: F.when(F.get("matched", i) == "O", tag).otherwise("O"))
+    tagged = tagged.select("doc_id", "token", new.alias("ner"))
+    goes_on = lambda tag, i: tag.startswith("I-") & (F.substr(F.coalesce(F.get("ner", i - 1), F.lit("O")), F.lit(3)) != F.substr(tag, F.lit(3)))
+    words = tagged.select(
+        F.size(F.filter("ner", lambda tag: tag != "O")).alias("words"), F.size(F.filter("ner", goes_on)).alias("illegal")
+    ).agg(F.sum("words").alias("words"), F.sum("illegal").alias("illegal"))
+    chunks = iob_to_chunks(tagged).select(F.explode("entities").alias("c")).select(
+        F.col("c.metadata")["entity"].alias("found"), ending("c.result").alias("right"))
+    right = lambda kind: F.avg((F.col("right") == kind).cast("int"))
+    most = F.greatest(right(F.lit("PER")), right(F.lit("LOC")))
+    return words.crossJoin(chunks.agg((right(F.col("found")) > most).alias("above_majority")))  # one row each
+
+
 def q_entity_counts_top10(spark, sf_dir):
     return entity_counts(_names(spark, sf_dir))
 
@@ -775,6 +797,11 @@ def oracle_sql() -> dict[str, str]:
             b AS (SELECT doc_id, count(*) AS n FROM named GROUP BY doc_id)
             SELECT t.doc_id, len(t.token) AS tokens, coalesce(a.n, 0) AS in_phrases, coalesce(b.n, 0) AS typed, 0 AS of_no_type
             FROM tokens t LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)""",
+        "entity_sequences": f"""WITH RECURSIVE {_tokens_cte()}, {_spans_cte()},
+            {_GAZETTEER.replace("HAVING ", "HAVING ('0x' || md5(entity)[1])::INTEGER >= 8 AND ")},
+            inside AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM walk)
+            SELECT count(*) AS words, 0::BIGINT AS illegal, true AS above_majority FROM tok
+            WHERE {_NAME} AND (doc_id, pos) NOT IN (SELECT (doc_id, pos) FROM inside)""",
         "gazetteer_match": gazetteer_match,
         "gazetteer_match_carried": gazetteer_match,
         "gazetteer_match_joined": gazetteer_match,

@@ -16,7 +16,7 @@ from ..functions import settle
 from ..operators.chunks import CHUNKS, iob_to_chunks
 from ..operators.lexicon import lemma_arrays, tag_arrays, vector_arrays
 from ..operators.perceptron import ContextTagger, tag_in_context
-from ..operators.phrases import ner_tag
+from ..operators.tagger import tag_entities
 from ..operators.tfidf import NUM_FEATURES
 from ..operators.tokens import finish, remove_stopwords, tokens_of
 
@@ -109,16 +109,17 @@ class Embedder(_LexiconStage):
 
 
 class EntityTagger(_Stage):
-    """One IOB tag per token."""
+    """One IOB tag per token: the gazetteer's, then for other capitalised words the type a learned
+    `tagger` finds, or one type for all without it."""
 
     adds = "ner"
 
-    def __init__(self, gazetteer: DataFrame | None = None, inputCol=None, outputCol=None, **ner_args):
+    def __init__(self, gazetteer: DataFrame | None = None, inputCol=None, outputCol=None, tagger=None, **ner_args):
         super().__init__(inputCol, outputCol)
-        self.gazetteer, self.ner_args = gazetteer, ner_args
+        self.gazetteer, self.tagger, self.ner_args = gazetteer, tagger, ner_args
 
     def _transform(self, df):
-        tagged = ner_tag(self._tokens(df), self.gazetteer, _TOKENS, _VALUES, **self.ner_args)
+        tagged = tag_entities(self._tokens(df), self.gazetteer, self.tagger, _TOKENS, _VALUES, **self.ner_args)
         return self._annotated(tagged)
 
 
@@ -157,6 +158,7 @@ def news_stages(
     gazetteer: DataFrame | None = None,
     stopwords=EN_STOP,
     num_features: int = NUM_FEATURES,
+    tagger=None,
 ) -> list:
     """The stages of the batch analysis. Tags and entities read all tokens, lemmas and features the
     tokens that are no stop words.
@@ -175,6 +177,6 @@ def news_stages(
         IDF(inputCol="rawFeatures", outputCol="features"),
         PosTagger(pos_lexicon),
         *embedder,
-        EntityTagger(gazetteer),
+        EntityTagger(gazetteer, tagger=tagger),
         Chunker(),
     ]

@@ -10,7 +10,7 @@ from .lexicon import (
 from .messages import article_lines, flatten_articles, to_messages
 from .perceptron import ContextTagger, tag_in_context, train_context_tagger
 from .phrases import match_phrases, ner_tag, normalize_gazetteer, prepare_gazetteer
-from .tagger import EntityTagger, train_entity_tagger, typed_names
+from .tagger import EntityTagger, tag_entities, train_entity_tagger, typed_names
 from .tfidf import hashing_tf, idf, term_frequencies, term_tfidf, tfidf
 from .tokens import assemble, drop_stopwords, finish, remove_stopwords, token_rows, tokenize
 from .topics import classify_topic, topic_counts, topic_trends

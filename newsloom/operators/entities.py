@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..fixed_values import ARTICLE_SOURCE, ENTITY_CONFIDENCE
 from ..functions import moment
 from .chunks import iob_to_chunks
-from .phrases import ner_tag
-from .tagger import EntityTagger, typed_names
+from .tagger import EntityTagger, tag_entities
 from .tokens import assemble, tokenize
 
 
@@ -18,10 +17,7 @@ def annotate_entities(
 ) -> DataFrame:
     """Text to (id, text, token, ner, entities). Capitalised words outside the gazetteer have the type
     a learned `tagger` finds, or one type for all without it."""
-    tokens = tokenize(assemble(df, text_col, id_col))
-    if tagger is None:
-        return iob_to_chunks(ner_tag(tokens, gazetteer, **ner_args))
-    return iob_to_chunks(typed_names(ner_tag(tokens, gazetteer, names=False, **ner_args), tagger))
+    return iob_to_chunks(tag_entities(tokenize(assemble(df, text_col, id_col)), gazetteer, tagger, **ner_args))
 
 
 def entity_pairs(annotated: DataFrame, entities_col: str = "entities", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..fixed_values import EN_STOP
 from ..operators import (
-    assemble, entity_counts, entity_type_counts, iob_to_chunks, keyword_counts, ner_tag, pos_frequencies,
-    remove_stopwords, term_tfidf, tokenize,
+    EntityTagger, assemble, entity_counts, entity_type_counts, iob_to_chunks, keyword_counts, pos_frequencies,
+    remove_stopwords, tag_entities, term_tfidf, tokenize,
 )
 
 Write = Callable[[DataFrame, str, str], None]
@@ -23,13 +23,15 @@ def batch_results(
     stopwords=EN_STOP,
     date=None,
     annotated_path: str | None = None,
+    tagger: EntityTagger | None = None,
 ) -> dict[str, DataFrame]:
-    """All result tables of a (doc_id, text) corpus.
+    """All result tables of a (doc_id, text) corpus. Names outside the gazetteer get their types from a
+    learned `tagger` (`train_entity_tagger`), if there is one.
 
     With `annotated_path` the tokens and entities are written there once and every result reads
     only the columns it needs, instead of annotating the corpus anew for each.
     """
-    annotated = iob_to_chunks(ner_tag(tokenize(assemble(corpus)), gazetteer)).select("doc_id", "token", "entities")
+    annotated = iob_to_chunks(tag_entities(tokenize(assemble(corpus)), gazetteer, tagger)).select("doc_id", "token", "entities")
     if annotated_path is not None:
         annotated.write.mode("overwrite").parquet(annotated_path)
         annotated = corpus.sparkSession.read.parquet(annotated_path)

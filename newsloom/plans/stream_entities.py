@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import EntityTagger
 from ..streaming import entity_query, trending_query
 
 
@@ -17,16 +18,18 @@ def run_entities(
     checkpoints: str,
     gazetteer: DataFrame | None = None,
     now: bool = False,
+    tagger: EntityTagger | None = None,
 ) -> list[StreamingQuery]:
     """Start both queries over one replayable stream of `value` lines.
 
+    Names outside the gazetteer get their types from a learned `tagger`, if there is one.
     `sinks` has the keys `streaming_articles`, `extracted_entities` and `trending_entities`;
     `recent` reads the table of extracted entities back; before the first batch it has to give an
     empty table, as `sinks.HourlyTable.read` does.
     """
     every = {"every": None} if now else {}
     extracted = entity_query(
-        lines, sinks["streaming_articles"], sinks["extracted_entities"], f"{checkpoints}/entities", gazetteer, **every
+        lines, sinks["streaming_articles"], sinks["extracted_entities"], f"{checkpoints}/entities", gazetteer, tagger=tagger, **every
     )
     if now:
         extracted.awaitTermination()

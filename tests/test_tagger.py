@@ -53,3 +53,73 @@ def test_nothing_to_learn_from(spark, texts):
     tokens = tokenize(texts("to Bonn"))
     tagger = train_entity_tagger(tokens, none)
     assert typed_names(match_phrases(tokens, none), tagger).first().ner == ["O", "O"]
+
+
+def test_decoding_is_the_best_legal_sequence(spark):
+    """Every legal sequence of a short run, scored one by one."""
+    import itertools
+    import math
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from newsloom.operators.tagger import EntityTagger, features
+
+    rng = np.random.default_rng(5)
+    types, size = ["LOC", "ORG", "PER"], 64
+    moves = np.log(rng.dirichlet(np.ones(4), 3))
+    tagger = EntityTagger(types, rng.normal(0, 1, (size, 3)), rng.normal(0, 1, 3), moves)
+    rows = [["Ab", "Cde", "Fgh", "Ijk"], ["x", "Lm", "Nq"], ["Pq", "x", "Rs", "Tu", "Vw"], [], ["y"], ["Zz"]]
+    df = spark.createDataFrame([(i, r, ["O"] * len(r)) for i, r in enumerate(rows)], "id int, token array<string>, ner array<string>").coalesce(1)
+    found = {r.id: r.ner for r in typed_names(df, tagger).collect()}
+    places = {r.id: r.p for r in df.select("id", features("token", size).alias("p")).collect()}
+
+    def best(likely):
+        def score(kinds, on):
+            total = likely[0][kinds[0]] - math.log(3)
+            for i in range(1, len(kinds)):
+                total += moves[kinds[i - 1]][0 if on[i] else 1 + kinds[i]] + likely[i][kinds[i]]
+            return total
+
+        every = [
+            (kinds, (False, *on)) for kinds in itertools.product(range(3), repeat=len(likely))
+            for on in itertools.product([False, True], repeat=len(likely) - 1)
+            if all(not o or kinds[i] == kinds[i + 1] for i, o in enumerate(on))
+        ]
+        kinds, on = max(every, key=lambda one: score(*one))
+        return [f"{'I' if o else 'B'}-{types[k]}" for k, o in zip(kinds, on)]
+
+    for i, tokens in enumerate(rows):
+        scores = tagger.weights[np.array(places[i], int).reshape(-1, 9)].sum(1) + tagger.bias if tokens else np.zeros((0, 3))
+        likely = scores - np.log(np.exp(scores).sum(1, keepdims=True))
+        want, j = [], 0
+        while j < len(tokens):
+            end = j
+            while end < len(tokens) and tokens[end][0].isupper():
+                end += 1
+            want += best(likely[j:end]) if end > j else ["O"]
+            j = max(end, j + 1)
+        assert found[i] == want
+
+
+def test_phrases_of_several_words_go_on(spark, texts):
+    docs = texts(*[f"saw {a} {b} there" for a in ("Anna", "Berta", "Carla") for b in ("Meier", "Huber", "Bauer")] * 3)
+    phrases = [(f"{a} {b}", "PER") for a in ("Anna", "Berta") for b in ("Meier", "Huber")] + [("Carla", "LOC")]
+    tagger = train_entity_tagger(tokenize(docs), spark.createDataFrame(phrases, "phrase string, entity_type string"))
+    df = ner_tag(tokenize(texts("saw Dora Lehner there")), None, names=False)
+    assert typed_names(df, tagger).first().ner == ["O", "B-PER", "I-PER", "O"]
+
+
+def test_jobs_and_stage_take_a_tagger(spark, texts):
+    from newsloom.annotators import build_pipeline, news_stages
+    from newsloom.operators import pos_words
+    from newsloom.plans.batch_trends import batch_results
+
+    docs = corpus(texts)
+    tagger = train_entity_tagger(tokenize(docs), gazetteer(spark))
+    found = batch_results(docs, pos_words(spark), gazetteer=gazetteer(spark), tagger=tagger)["entity_counts"]
+    assert {r.entity_type for r in found.collect()} == {"PER", "LOC"}
+    lemmas = spark.createDataFrame([], "token string, lemma string")
+    model = build_pipeline(news_stages(pos_words(spark), lemmas, gazetteer=gazetteer(spark), tagger=tagger)).fit(docs)
+    kinds = model.transform(texts("then Zita went to Hochstadt again")).selectExpr("explode(entities.metadata) as m").selectExpr("m.entity").collect()
+    assert [r.entity for r in kinds] == ["PER", "LOC"]
