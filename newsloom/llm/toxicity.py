@@ -38,10 +38,11 @@ SECOND_PERSON = frozenset(
 STEM_SIZES = (3, 4, 5, 6, 7, 8)
 STEMS = 2_000  # of highest evidence
 NEAR = 4  # words on either side
+MEMO = 300_000  # words remembered by a task
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"[^\x20\x09-\x0D]+")
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?![^\W_])")
+_MARKS = re.compile(r"[!?]{2,}")
+_AROUND = ".,;:!?\"'()"
 _DRAWN = re.compile(r"([^\W\d_])\1{2,}")
 _SIGNS = str.maketrans("013457@$!", "oieastasi")
 _INSIDE = re.compile(r"(?<=[^\W_])[*.\-_~#+]+(?=[^\W_])")
@@ -63,57 +64,97 @@ def stems_of(word: str) -> list[str]:
     return [word[:n] for n in STEM_SIZES if n <= len(word)] + [f"{word} "]
 
 
-def weight_of(word: str, lexicon: Lexicon) -> float:
-    return max((lexicon.stems.get(stem, 0.0) for stem in stems_of(word)), default=0.0)
-
-
 def undisguised(token: str) -> str:
     """A token with signs read as the letters they stand for, and marks inside it left out."""
     return _DRAWN.sub(r"\1", _INSIDE.sub("", token.lower()).translate(_SIGNS))
 
 
-def features_of(text: str, lexicon: Lexicon, memo: dict[str, float]) -> tuple[float, ...]:
+class Words(dict):
+    """Word to what the features need of it, or None for most words: (insult, weight of its strongest
+    stem, second person, capitals, shouted, drawn out, a single letter)."""
+
+    def __init__(self, lexicon: Lexicon):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str):
+        if len(self) >= MEMO:
+            self.clear()
+        lowered, stems = word.lower(), self.lexicon.stems
+        told = (
+            lowered in self.lexicon.insults, max(stems.get(stem, 0.0) for stem in stems_of(lowered)), lowered in SECOND_PERSON,
+            sum(map(str.isupper, word)), len(word) > 2 and word.isupper(), bool(_DRAWN.search(word)), len(word) == 1,
+        )
+        self[word] = found = told if any(told) else None
+        return found
+
+
+class Disguises(dict):
+    """Token to whether it hides an insult: letters mixed with signs that spell one."""
+
+    def __init__(self, insults: frozenset[str]):
+        super().__init__()
+        self.insults = insults
+
+    def __missing__(self, token: str) -> bool:
+        if len(self) >= MEMO:
+            self.clear()
+        inner = token.strip(_AROUND)
+        mixed = not inner.isalpha() and any(map(str.isalpha, inner))
+        self[token] = found = mixed and undisguised(inner) in self.insults
+        return found
+
+
+def features_of(text: str, words_of: Words, hidden_in: Disguises) -> tuple[float, ...]:
     """The features of a whole text, in the order of FEATURES; all 0 for an empty one."""
     words = _WORD.findall(text)
-    lowered = [word.lower() for word in words]
     n = len(words) or 1
-    hits, near_to, weight, strongest, listed, learned = [], [], 0.0, 0.0, 0, 0
-    for place, word in enumerate(lowered):
-        known = memo.get(word)
-        if known is None:
-            if len(memo) > 300_000:
-                memo.clear()
-            known = memo[word] = weight_of(word, lexicon)
-        insult = word in lexicon.insults
+    hits, second, letters = [], [], []
+    weight = strongest = 0.0
+    listed = learned = capitals = shouted = drawn = 0
+    for place, told in enumerate(map(words_of.__getitem__, words)):
+        if told is None:
+            continue
+        insult, known, person, upper, loud, long, single = told
         if insult or known:
             hits.append(place)
             listed += insult
             learned += known > 0
             weight += known
             strongest = max(strongest, known)
-        if word in SECOND_PERSON:
-            near_to.append(place)
+        if person:
+            second.append(place)
+        if single:
+            letters.append(place)
+        capitals += upper
+        shouted += loud
+        drawn += long
     near = i = 0
     for place in hits:  # both lists ascend
-        while i < len(near_to) and near_to[i] < place - NEAR:
+        while i < len(second) and second[i] < place - NEAR:
             i += 1
-        near += i < len(near_to) and near_to[i] <= place + NEAR
-    letters = sum(map(len, words)) or 1
-    hidden = sum(
-        undisguised(token) in lexicon.insults
-        for token in _MIXED.findall(text)
-        if not token.isalpha() and any(c.isalpha() for c in token) and not _WORD.fullmatch(token.strip(".,;:!?\"'()"))
-    )
-    hidden += sum(re.sub(r"[ .*_-]", "", spaced).lower() in lexicon.insults for spaced in _SPACED.findall(text))
-    size = len(text) or 1
+        near += i < len(second) and second[i] <= place + NEAR
+    hidden = sum(map(hidden_in.__getitem__, text.split())) + _spaced(words, letters, hidden_in.insults)
+    exclaims, questions, size = text.count("!"), text.count("?"), len(text) or 1
+    marks = len(_MARKS.findall(text)) if exclaims + questions > 1 else 0
     return (
-        math.log1p(listed), listed / n, math.log1p(learned), weight / n, strongest, near / n, len(near_to) / n,
-        sum(1 for c in text if c.isupper()) / letters, sum(len(w) > 2 and w.isupper() for w in words) / n,
-        text.count("!") / size, text.count("?") / size, len(re.findall(r"[!?]{2,}", text)) / n,
-        hidden / n, len(_DRAWN.findall(text)) / n, math.log1p(len(words)),
+        math.log1p(listed), listed / n, math.log1p(learned), weight / n, strongest, near / n, len(second) / n,
+        capitals / size, shouted / n, exclaims / size, questions / size, marks / n, hidden / n, drawn / n,
+        math.log1p(len(words)),
     )
 
 
+def _spaced(words: list[str], letters: list[int], insults: frozenset[str]) -> int:
+    """How many insults are spelled out in four or more single letters side by side."""
+    found, run = 0, []
+    for place in [*letters, -1]:
+        if run and place != run[-1] + 1:
+            found += len(run) > 3 and "".join(words[p] for p in run).lower() in insults
+            run = []
+        run.append(place)
+    return found
+
+
 def features(docs: DataFrame, lexicons: list[Lexicon], text_col: str = "text", half_col: str | None = None) -> DataFrame:
     """The columns of `docs` but the text, and `features`, an array. With `half_col` the lexicon of that number is used
     for a row, else the first."""
@@ -124,46 +165,62 @@ def features(docs: DataFrame, lexicons: list[Lexicon], text_col: str = "text", h
     types = [to_arrow_type(field.dataType) for field in schema]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memos = [{} for _ in lexicons]
+        tools = [(Words(lexicon), Disguises(lexicon.insults)) for lexicon in lexicons]
         for batch in batches:
             halves = batch.column(half).to_pylist() if half is not None else [0] * batch.num_rows
-            found = [
-                features_of(text.as_py(), lexicons[h], memos[h]) for text, h in zip(batch.column(len(kept)), halves)
-            ]
+            found = [features_of(text.as_py(), *tools[h]) for text, h in zip(batch.column(len(kept)), halves)]
             columns = [batch.column(i).cast(types[i]) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, types[-1])], schema.names)
 
     return rows.mapInArrow(measured, schema)
 
 
-def learned_stems(sample: DataFrame, most: int = STEMS, least_weight: float = 1.5, smooth: float = 1e-4) -> dict[str, float]:
-    """Stems of words that toxic texts use more: the logarithm of the ratio of their mean shares of
-    a text's words, where at least two toxic texts have the stem. `sample` is (text, label) rows; every
-    row is one vote, however long. At most `most` stems come back, the rest stays on the cluster."""
-    totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not totals.get(1) or not totals.get(0):
-        return {}
+def stem_shares(sample: DataFrame) -> DataFrame:
+    """One row per stem of at least two toxic texts, with columns for each half: `toxic0` and `clean0` are
+    the shares of its words that the stem has in each text, added up by label, `texts0` the number of
+    toxic texts that have it. `sample` is (text, label, half) rows."""
+    rows = sample.select(text_or_empty("text").alias("text"), F.col("label").cast("int").alias("label"), "half")
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = [word.lower() for word in _WORD.findall(text or "")]
-                found = Counter(stem for word in words for stem in stems_of(word))
-                if found:
-                    counts = pa.array(list(found.values()), pa.float64())
-                    share = pa.array([n / len(words) for n in found.values()], pa.float64())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(found)), pa.array([label] * len(counts), pa.int32()), share], ["stem", "label", "share"]
-                    )
-
-    rows = sample.select(text_or_empty("text").alias("text"), F.col("label").cast("int").alias("label"))
-    stems = rows.mapInArrow(shares, "stem string, label int, share double").groupBy("stem").agg(
-        F.sum(F.when(F.col("label") == 1, F.col("share")).otherwise(0.0)).alias("toxic"),
-        F.sum(F.when(F.col("label") == 0, F.col("share")).otherwise(0.0)).alias("clean"),
-        F.count_if(F.col("label") == 1).alias("texts"),
-    )
-    ratio = F.log((F.col("toxic") / totals[1] + smooth) / (F.col("clean") / totals[0] + smooth))
-    told = stems.where("texts >= 2").withColumn("weight", F.round(ratio, 4)).where(F.col("weight") >= least_weight)
+            sums = {}
+            for text, label, half in zip(*(column.to_pylist() for column in batch.columns)):
+                words = _WORD.findall(text.lower())
+                counts = Counter()
+                for word, times in Counter(words).items():
+                    for stem in stems_of(word):
+                        counts[stem] += times
+                for stem, times in counts.items():
+                    one = sums.setdefault((half, stem), [0.0, 0.0, 0])
+                    one[1 - label] += times / len(words)
+                    one[2] += label
+            if sums:
+                halves, stems = zip(*sums)
+                toxic, clean, texts = zip(*sums.values())
+                columns = [pa.array(halves, pa.int32()), pa.array(stems), pa.array(toxic), pa.array(clean), pa.array(texts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["half", "stem", "toxic", "clean", "texts"])
+
+    each = rows.mapInArrow(shares, "half int, stem string, toxic double, clean double, texts long")
+    sums = [
+        F.sum(F.when(F.col("half") == half, F.col(name)).otherwise(0)).alias(f"{name}{half}")
+        for half in (0, 1) for name in ("toxic", "clean", "texts")
+    ]
+    return each.groupBy("stem").agg(*sums).where("texts0 + texts1 >= 2")
+
+
+def learned_stems(
+    shares: DataFrame, halves: tuple[int, ...], toxic: int, clean: int, most: int = STEMS, least_weight: float = 1.5,
+    smooth: float = 1e-4,
+) -> dict[str, float]:
+    """Stems of words that toxic texts use more: the logarithm of the ratio of their mean shares of
+    a text's words, where at least two toxic texts have the stem. Every text is one vote, however long.
+    At most `most` stems come back, the rest stays on the cluster."""
+    if not toxic or not clean:
+        return {}
+    total = lambda name: sum(F.col(f"{name}{half}") for half in halves)
+    summed = shares.select("stem", *(total(name).alias(name) for name in ("toxic", "clean", "texts")))
+    ratio = F.log((F.col("toxic") / toxic + smooth) / (F.col("clean") / clean + smooth))
+    told = summed.where("texts >= 2").withColumn("weight", F.round(ratio, 4)).where(F.col("weight") >= least_weight)
     best = told.orderBy(F.desc("weight"), "stem").limit(most).select("stem", "weight").collect()
     return {r["stem"]: r["weight"] for r in best}
 
@@ -201,11 +258,16 @@ def train_toxicity(
     known = known.groupBy("_id").agg(one.alias("one")).select("_id", "one.*")
     sample = saved(known.withColumn("half", F.pmod(F.xxhash64("_id", F.lit("half")), F.lit(2)).cast("int")), "toxic-sample")
 
-    counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(counts) < 2:
-        return ToxicityModel(Lexicon(frozenset(insults), {}), None, None, float(bool(counts.get(1))))
-    others = [Lexicon(frozenset(insults), learned_stems(sample.where(F.col("half") != half))) for half in (0, 1)]
-    lexicon = Lexicon(frozenset(insults), learned_stems(sample))
+    counts = {(r["half"], r["label"]): r["n"] for r in sample.groupBy("half", "label").agg(F.count("*").alias("n")).collect()}
+    of = lambda label, *halves: sum(counts.get((half, label), 0) for half in halves)
+    if not of(0, 0, 1) or not of(1, 0, 1):
+        return ToxicityModel(Lexicon(frozenset(insults), {}), None, None, float(bool(of(1, 0, 1))))
+    shares = saved(stem_shares(sample), "toxic-stems")
+
+    def learned(*halves):
+        return Lexicon(frozenset(insults), learned_stems(shares, halves, of(1, *halves), of(0, *halves)))
+
+    others, lexicon = [learned(1), learned(0)], learned(0, 1)
     made = features(sample, others, "text", "half")
     table = saved(made.withColumn("features", array_to_vector("features")).withColumn("label", F.col("label").cast("double")), "toxic-features")
     table = table.orderBy("_id").coalesce(1)  # at most fit_rows short rows: the order fixes the model
@@ -214,7 +276,7 @@ def train_toxicity(
     parts = []
     for half in (0, 1):
         mine = table.where(F.col("half") != half)
-        if mine.select("label").distinct().count() == 2:
+        if of(0, 1 - half) and of(1, 1 - half):
             parts.append(boosted.fit(mine).transform(table.where(F.col("half") == half)).select("probability", "label"))
     model = boosted.fit(table)
     held = parts[0].unionByName(parts[1]) if len(parts) == 2 else model.transform(table).select("probability", "label")
