@@ -17,6 +17,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 #: piece model reads as a space.
 _SEAM = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 _WHOLE = re.compile(r"[^\s▁](.*[^\s▁])?\Z", re.DOTALL)
-MEMO = 400_000  # chunks remembered by a worker
+MEMO = 300_000  # chunks remembered by a worker
 MEMO_CHARS = 64  # longer chunks are not remembered
-BLOCK_CHARS = 8 << 20  # text of the documents of a block, unless one alone is longer
+BLOCK_CHARS = 4 << 20  # text of the documents of a block, unless one alone is longer
 
 NOTHING = (0, 0, 0, 0, "", b"")
 
@@ -85,7 +86,8 @@ class Aligner(dict):
         ]
         # a piece with a space after another character would join two chunks
         self.by_chunks = not any(re.search("[^▁]▁", piece) for piece in pieces)
-        self.shown = {mark: np.array([f"{i}{mark}" for i in range(max(size, len(pieces)))], object) for mark in ",|;"}
+        # how an id is written before the next one, and at the end of its side of a group
+        self.shown = [np.array([[f"{i}{mark}" for i in range(n)] for mark in marks], object) for n, marks in ((size, ",|"), (len(pieces), ",;"))]
 
     def first_tokens(self, text: str, data: bytes) -> Tokens:
         """Tokens of space+text by the library's character ends, refined inside multibyte characters."""
@@ -116,10 +118,10 @@ class Aligner(dict):
         pairs = a.ids[np.searchsorted(a.ends, cuts)] << 32 | b.ids[np.searchsorted(b.ends, cuts)]
         shared = np.intersect1d(a.ends, b.ends, assume_unique=True)  # a group ends where both do
         group_a, group_b = np.searchsorted(shared, a.ends), np.searchsorted(shared, b.ends)
-        last_a, last_b = shared[group_a] == a.ends, shared[group_b] == b.ends
+        last_a, last_b = ((shared[group] == one.ends).astype(np.int64) for group, one in ((group_a, a), (group_b, b)))
         marks = np.empty(len(a.ids) + len(b.ids), object)
-        marks[np.arange(len(a.ids)) + np.searchsorted(group_b, group_a)] = np.where(last_a, self.shown["|"][a.ids], self.shown[","][a.ids])
-        marks[np.arange(len(b.ids)) + np.searchsorted(group_a, group_b, "right")] = np.where(last_b, self.shown[";"][b.ids], self.shown[","][b.ids])
+        marks[np.arange(len(a.ids)) + np.searchsorted(group_b, group_a)] = self.shown[0][last_a, a.ids]
+        marks[np.arange(len(b.ids)) + np.searchsorted(group_a, group_b, "right")] = self.shown[1][last_b, b.ids]
         stops = np.cumsum([len(chunk.encode()) + 1 for chunk in chunks])
         ends = (np.searchsorted(x, stops, "right").tolist() for x in (a.ends, b.ends, shared, cuts))
         raw, marks = pairs.tobytes(), marks.tolist()
@@ -138,8 +140,10 @@ class Aligner(dict):
             part = together[start:start + 4096]
             found.update(zip(part, self.aligned(part)))
         found.update((chunk, self.aligned([chunk])[0]) for chunk in chunks if chunk not in found)
-        if len(self) + len(found) > self.memo:
+        if len(self) + len(found) > self.memo:  # the older half holds what is frequent, the rest made room before
+            older = list(islice(self.items(), self.memo // 2))
             self.clear()
+            self.update(older)
         self.update((chunk, value) for chunk, value in found.items() if len(chunk) <= MEMO_CHARS)
         return found
 
