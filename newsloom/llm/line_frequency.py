@@ -82,11 +82,13 @@ _SCHEMA = (
 BROADCAST_LINES = 100_000
 
 
-def _over_limit(rows: DataFrame, max_docs: int, max_share: float) -> DataFrame:
+def _over_limit(rows: DataFrame, max_docs: int, max_share: float | None) -> DataFrame:
     """(_row, gone_words, gone): words in, and hashes of, the lines of a row that are over the limit."""
-    hosts = saved(rows.groupBy("host").agg(F.count("*").alias("docs")), "hosts")
     counted = rows.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
-    over = looked_up(counted.where(F.col("n") > max_docs), hosts, "host").where(F.col("n") > max_share * F.col("docs"))
+    over = counted.where(F.col("n") > max_docs)
+    if max_share is not None:
+        hosts = saved(rows.groupBy("host").agg(F.count("*").alias("docs")), "hosts")
+        over = looked_up(over, hosts, "host").where(F.col("n") > max_share * F.col("docs"))
     over = saved(over.select(F.col("host").alias("_host"), F.col("line").alias("_line"), "n"), "over")
     pairs = F.arrays_zip(F.col("lines").alias("line"), F.col("line_words").alias("words"))
     lines = rows.select(ROW, "host", F.inline(pairs))
@@ -106,7 +108,7 @@ def _over_limit(rows: DataFrame, max_docs: int, max_share: float) -> DataFrame:
 def line_rules(
     docs: DataFrame,
     max_docs: int = 20,
-    max_share: float = 0.1,
+    max_share: float | None = None,
     min_left: float = 0.3,
     host_col: str = "source",
     id_col: str = "doc_id",
@@ -115,8 +117,8 @@ def line_rules(
     """One row per row of `docs`: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, and left_words (words outside lines over the limit).
 
-    A line is over its host's limit if more than `max_docs` documents of the host have it, and more
-    than `max_share` of the host's documents. A document keeps its place if its base rules hold (10
+    A line is over its host's limit if more than `max_docs` documents of the host have it, whatever the
+    host's size; with `max_share`, only if they are also more than that share of them. A document keeps its place if its base rules hold (10
     words, at most 20 in 100 words in repeated windows) and at least `min_left` of its words are
     left. Each row counts as a document, repeated ones too. A null text is empty and fails; rows
     without a host share one. Other columns are not read; an empty table gives no rows.
@@ -156,7 +158,7 @@ def _judged(docs, max_docs, max_share, min_left, host_col, id_col, text_col, *mo
 def clean_documents(
     docs: DataFrame,
     max_docs: int = 20,
-    max_share: float = 0.1,
+    max_share: float | None = None,
     min_left: float = 0.3,
     host_col: str = "source",
     id_col: str = "doc_id",

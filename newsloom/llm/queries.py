@@ -137,10 +137,7 @@ _LINES = r"""WITH d AS (
         SELECT *, len(string_split(norm, ' ')) AS words FROM line WHERE norm <> ''),
     dup AS (SELECT r, sum(n - 1) AS n_dup_lines FROM (
         SELECT r, line, count(*) AS n FROM word_line GROUP BY ALL) GROUP BY r),
-    docs AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
-    over_limit AS (
-        SELECT l.source, norm FROM (SELECT source, norm, count(DISTINCT r) AS n FROM word_line GROUP BY ALL) l
-        JOIN docs ON l.source IS NOT DISTINCT FROM docs.source WHERE n > 20 AND n > 0.1 * docs),
+    over_limit AS (SELECT source, norm FROM word_line GROUP BY ALL HAVING count(DISTINCT r) > 20),
     gone AS (
         SELECT r, sum(words) AS gone FROM word_line l
         JOIN over_limit o ON l.norm = o.norm AND l.source IS NOT DISTINCT FROM o.source GROUP BY r),

@@ -93,9 +93,9 @@ def test_many_lines_over_the_limit_are_joined(docs, monkeypatch):
         for i in range(400)
     ]
     given = docs(*rows).repartition(5)
-    found = sorted(map(tuple, line_rules(given, max_share=0.0).collect()))
+    found = sorted(map(tuple, line_rules(given).collect()))
     monkeypatch.setattr(line_frequency, "BROADCAST_LINES", 0)
-    assert found == sorted(map(tuple, line_rules(given, max_share=0.0).collect()))
+    assert found == sorted(map(tuple, line_rules(given).collect()))
     counts = Counter((host, line) for _, text, host in rows for line in text.split("\n"))
     left = sorted((i, sum(len(x.split()) for x in text.split("\n") if counts[host, x] <= 20)) for i, text, host in rows)
     assert left == sorted((r[0], r[-1]) for r in found)
@@ -103,8 +103,8 @@ def test_many_lines_over_the_limit_are_joined(docs, monkeypatch):
 
 def test_cleaned_texts_have_the_words_that_are_left(spark, docs, odd, empty):
     given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    verdicts = {r.doc_id: r for r in line_rules(given, max_docs=2, max_share=0.0).collect()}
-    cleaned = clean_documents(given, max_docs=2, max_share=0.0)
+    verdicts = {r.doc_id: r for r in line_rules(given, max_docs=2).collect()}
+    cleaned = clean_documents(given, max_docs=2)
     texts = {r.doc_id: r.text for r in cleaned.collect()}
     assert cleaned.columns == given.columns and set(texts) == {i for i, r in verdicts.items() if r.kept}
     assert all(len(text.encode().split()) == verdicts[i].left_words for i, text in texts.items())
