@@ -22,7 +22,7 @@ from newsloom.operators import (
 )
 from newsloom.session import scratch_dir, spread
 from newsloom.sinks import (
-    HourlyTable, batch_table, merged_table, read_batches, read_replaced, replaced_table, start,
+    HourlyTable, WindowTable, batch_table, read_batches, read_replaced, replaced_table, start,
 )
 from newsloom.sources import line_stream, load_lexicon, message_stream, read_wordlist
 from newsloom.streaming import (
@@ -473,11 +473,9 @@ def q_stream_articles(spark, sf_dir):
 
 def q_stream_topic_trend(spark, sf_dir):
     path = scratch_dir(spark, "topics")
-    topic_query(
-        _stream(spark, sf_dir, "events"), merged_table(f"{path}/out", TREND_KEYS), f"{path}/checkpoint", None,
-        "event_type", "ts",
-    ).awaitTermination()
-    return _plain_trends(read_replaced(spark, f"{path}/out"))
+    table = WindowTable(f"{path}/out", TREND_KEYS)
+    topic_query(_stream(spark, sf_dir, "events"), table, f"{path}/checkpoint", None, "event_type", "ts").awaitTermination()
+    return _plain_trends(table.read(spark))
 
 
 def q_stream_topic_complete(spark, sf_dir):
@@ -493,10 +491,9 @@ def q_stream_topic_complete(spark, sf_dir):
 def q_stream_wordcloud(spark, sf_dir):
     path = scratch_dir(spark, "wordcloud")
     articles = enrich_articles(_stream(spark, sf_dir, "documents"), "text", ts=_as_of())
-    word_cloud_query(
-        articles, merged_table(f"{path}/out", CLOUD_KEYS), f"{path}/checkpoint", None, as_of=_as_of()
-    ).awaitTermination()
-    return read_replaced(spark, f"{path}/out").drop("time_window")
+    table = WindowTable(f"{path}/out", CLOUD_KEYS, keep=dt.timedelta(hours=4))
+    word_cloud_query(articles, table, f"{path}/checkpoint", None, as_of=_as_of()).awaitTermination()
+    return table.read(spark).drop("time_window")
 
 
 def q_stream_extracted_entities(spark, sf_dir):

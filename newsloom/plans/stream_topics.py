@@ -17,7 +17,8 @@ def run_topics(
     """Start the three queries over one replayable stream of `value` lines.
 
     `sinks` has the keys `streaming_articles`, `trending_topics` and `wordcloud_realtime`; the last two
-    merge, by `TREND_KEYS` and `CLOUD_KEYS`. Each query has a checkpoint of its own under
+    merge, by `TREND_KEYS` and `CLOUD_KEYS`, as `sinks.WindowTable` does, whose `keep` lets old windows
+    expire. Each query has a checkpoint of its own under
     `checkpoints`. `now` works through what is available.
     """
     articles = enrich_articles(lines, **enrich_args)

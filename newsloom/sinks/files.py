@@ -7,10 +7,12 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 Sink = Callable[[DataFrame, int], None]
 BATCH = "batch_id"
 _DAY, _HOUR, _VERSION = "day", "hour", "v"
+_FOLDER, _MOMENT = "windows_of", "'t'yyyyMMddHHmm"  # no name that reads as a date or a number
 
 
 def write_lines(df: DataFrame, path: str, line_col: str = "line") -> int:
@@ -120,7 +122,8 @@ def read_replaced(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def merged_table(path: str, keys: Sequence[str], keep: Column | None = None, versions: int = 2) -> Sink:
     """Merge changed rows into the newest result by their keys, for queries in update mode. `keep` is
-    a condition on rows, such as a time to live, that bounds the table: it is written anew each time."""
+    a condition on rows, such as a time to live, that bounds the table: it is written anew each time.
+    For results that grow, `WindowTable` writes only what changed."""
     replace = replaced_table(path, versions)
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -132,6 +135,68 @@ def merged_table(path: str, keys: Sequence[str], keep: Column | None = None, ver
     return write
 
 
+class WindowTable:
+    """A table of windowed results for queries in update mode, in a folder for each day (or another `unit`
+    of time) of the windows. As a sink it merges changed rows into the folders they belong to and writes
+    no other, so that a trigger's work grows with the change and not with the history. With `keep`, folders
+    whose windows all began longer than that before the newest window are dropped."""
+
+    def __init__(
+        self, path: str, keys: Sequence[str], schema=None, window_col: str = "time_window",
+        keep: dt.timedelta | None = None, unit: str = "day",
+    ):
+        """`schema`, a StructType, is only needed to read the table before its first batch."""
+        self.path, self.keys, self.schema, self.window_col, self.keep, self.unit = path, list(keys), schema, window_col, keep, unit
+
+    def _folder(self, moment) -> Column:
+        return F.date_format(F.date_trunc(self.unit, moment), _MOMENT)
+
+    def _stored(self, spark: SparkSession, schema=None) -> DataFrame:
+        schema = self.schema or schema
+        there = bool(_folders(spark, self.path))
+        if schema is None:
+            if not there:
+                raise FileNotFoundError(f"no rows in {self.path} yet")
+            return spark.read.parquet(self.path)
+        schema = StructType([*schema, StructField(_FOLDER, StringType())])
+        return spark.read.schema(schema).parquet(self.path) if there else spark.createDataFrame([], schema)
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        """A repeated batch merges the same rows again, which changes nothing."""
+        spark = df.sparkSession
+        changed = df.withColumn(_FOLDER, self._folder(F.col(self.window_col))).persist()
+        try:
+            found = changed.groupBy(_FOLDER).agg(F.max(self.window_col).alias("newest")).collect()  # a row for each folder
+            touched = [row[_FOLDER] for row in found]
+            before = self._stored(spark, df.schema).where(F.col(_FOLDER).isin(touched))
+            same = None
+            new = changed.select(_FOLDER, *[F.col(key).alias(f"_{key}") for key in self.keys]).withColumnRenamed(_FOLDER, "_new")
+            for old, other in [(_FOLDER, "_new"), *((key, f"_{key}") for key in self.keys)]:
+                one = before[old].eqNullSafe(new[other])
+                same = one if same is None else same & one
+            merged = before.join(new, same, "left_anti").unionByName(changed).hint("rebalance", _FOLDER)
+            writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(_FOLDER).parquet(self.path)
+        finally:
+            changed.unpersist()
+        if self.keep is not None and found:
+            self._drop(spark, max(row["newest"] for row in found if row["newest"]) - self.keep)
+
+    def _drop(self, spark: SparkSession, since: dt.datetime) -> None:
+        oldest = spark.range(1).select(self._folder(F.lit(since))).first()[0]
+        system, _ = _file_system(spark, self.path)
+        for name in _folders(spark, self.path):
+            if name.partition("=")[2] < oldest:  # names are in order of time
+                system.delete(_path(spark, f"{self.path}/{name}"), True)
+
+    def read(self, spark: SparkSession, since: dt.datetime | None = None) -> DataFrame:
+        """The rows of windows that began at `since` or later; no rows before the first batch."""
+        rows = self._stored(spark)
+        if since is not None:
+            rows = rows.where((F.col(_FOLDER) >= self._folder(F.lit(since))) & (F.col(self.window_col) >= F.lit(since)))
+        return rows.drop(_FOLDER)
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
