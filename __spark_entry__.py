@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsloom import fixed_values as fixed, word_shapes as shapes
 from newsloom.annotators import build_pipeline, news_stages
+from newsloom.functions import settle
 from newsloom.operators import (
-    annotate_entities, article_lines, assemble, classify_topic, embed, enrich_articles, entity_counts,
+    annotate_entities, article_lines, assemble, chunk_spans, classify_topic, embed, enrich_articles, entity_counts,
     entity_type_counts, extract_entities, flatten_articles, iob_to_chunks, keyword_counts, lemmatize,
     ner_tag, pos_frequencies, pos_tag, pos_words, prepare_gazetteer, remove_stopwords, tag_arrays, tag_in_context, term_frequencies,
-    term_tfidf, tfidf, to_messages, token_counts, token_rows, tokenize, topic_counts, topic_trends,
+    term_tfidf, tfidf, to_messages, token_counts, token_rows, token_spans, tokenize, topic_counts, topic_trends,
     train_context_tagger, train_entity_tagger, train_pos_lexicon, trending_entities, typed_names, word_cloud, word_frequencies,
 )
 from newsloom.session import scratch_dir, spread
@@ -207,6 +208,20 @@ def q_tokens(spark, sf_dir):
     return _joined(_tokens(spark, sf_dir), "token")
 
 
+def q_token_spans(spark, sf_dir):
+    """Tokens with their places: how many characters they hold, those that the text does not have there,
+    and the same of the names among them."""
+    spans = settle(token_spans(_documents(spark, sf_dir)), "token", F.col("spans.token"))
+    found = chunk_spans(ner_tag(spans, None))
+    there = lambda s: F.substring("text", s["begin"] + 1, s["end"] - s["begin"])
+    every = lambda c, value: F.aggregate(c, F.lit(0).cast("long"), lambda n, s: n + value(s))
+    wrong = lambda c, name: every(c, lambda s: F.when(there(s) == s[name], 0).otherwise(1))
+    return found.select(
+        "doc_id", every("spans", lambda s: s["end"] - s["begin"]).alias("characters"),
+        wrong("spans", "token").alias("misplaced"), wrong("chunks", "result").alias("misplaced_names"),
+    )
+
+
 def q_stopword_removed(spark, sf_dir):
     return _joined(remove_stopwords(_tokens(spark, sf_dir)), "cleanTokens")
 
@@ -749,6 +764,8 @@ def oracle_sql() -> dict[str, str]:
         "wordcloud_style": _styled_sql(),
         "punct_clean": "SELECT doc_id, regexp_replace(text, '[,.!?]', '', 'g') AS text FROM documents",
         "tokens": words("token"),
+        "token_spans": r"""SELECT doc_id, length(regexp_replace(text, '\s+', '', 'g')) AS characters, 0::BIGINT AS misplaced,
+            0::BIGINT AS misplaced_names FROM documents""",
         "stopword_removed": words(f"list_filter(token, lambda t: lower(t) NOT IN ({stop}))"),
         "keyword_counts": _keywords_sql(),
         "keyword_top10": _keywords_sql("LIMIT 10"),
