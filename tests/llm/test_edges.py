@@ -1,7 +1,11 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+from array import array
+from collections import Counter
+
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from newsloom.llm import curriculum, dart_minhash, exact_dedup, label_propagation, line_frequency
 from newsloom.llm import packing, secret_owners, site_quality, token_counts, token_files
@@ -52,9 +56,21 @@ def test_filters_keep_all_columns(odd, empty, name):
 
 
 def test_packing_covers_all_ids(odd, empty):
-    pieces = packing.pack(odd, BYTES).collect()
-    assert sum(p.length for p in pieces if p.start == 0) <= sum(p.length for p in pieces)
-    assert len([p for p in pieces if p.start == 0]) == odd.count()
+    """Each row's pieces are the library's ids of its text and the end id, every one at its place."""
+    whole = Tokenizer.from_file(BYTES)
+    found = {}
+    for p in packing.pack(odd, BYTES).collect():
+        found.setdefault((p.doc_id, p.doc_tokens), []).append((p.start, p.length, bytes(p.ids)))
+    want = {}
+    for r in odd.collect():
+        ids = [*whole.encode(r.text or "", add_special_tokens=False).ids, 1]
+        want.setdefault((r.doc_id, len(ids)), []).append(array("I", ids).tobytes())
+    assert found.keys() == want.keys()
+    placed = lambda start, ids: [(start + i, token) for i, token in enumerate(array("I", ids))]
+    for key, pieces in found.items():  # rows may repeat id and size
+        had = Counter(one for start, _, ids in pieces for one in placed(start, ids))
+        assert had == Counter(one for ids in want[key] for one in placed(0, ids))
+        assert all(4 * length == len(ids) for _, length, ids in pieces)
     assert packing.pack(empty, BYTES).collect() == []
 
 

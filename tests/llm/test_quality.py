@@ -1,6 +1,9 @@
+import math
 import random
 from collections import Counter
 
+import pytest
+
 from newsloom.llm import line_frequency
 from newsloom.llm.line_frequency import clean_documents, line_rules, measured, repeated_words
 from newsloom.llm.site_quality import good_documents, site_quality
@@ -115,3 +118,44 @@ def test_cleaned_texts_have_the_words_that_are_left(spark, docs, odd, empty):
     assert sorted((r.doc_id, r.text) for r in left) == sorted((i, f"\n{own} {i}") for i in [0, *range(30)])
     assert clean_documents(odd).schema == odd.schema and clean_documents(odd).count() == line_rules(odd).where("kept").count()
     assert clean_documents(empty).collect() == []
+
+
+def test_posteriors_against_plain_ones(spark):
+    """Shares and combined quality worked out in plain Python from each document's evidence."""
+    sf = "/root/testdata/sf0.01"
+    given, marks = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    labels = {}
+    for r in marks.collect():
+        labels[r.doc_id] = min(labels.get(r.doc_id, r.quality), r.quality)
+    found = {r.doc_id: r for r in site_quality(given, marks).collect()}
+    sites = {r.doc_id: (r.source, r.lang) for r in given.select("doc_id", "source", "lang").collect()}
+    good = {i: labels.get(i, r.evidence) for i, r in found.items()}
+
+    def sums(key):
+        out = {}
+        for i, site in sites.items():
+            s, n = out.get(key(site), (0.0, 0))
+            out[key(site)] = s + good[i], n + 1
+        return out
+
+    def strength(table, prior):
+        spread = sum(n * (s / n - prior(k)) ** 2 for k, (s, n) in table.items())
+        noise = sum(prior(k) * (1 - prior(k)) for k in table)
+        most = sum(n * prior(k) * (1 - prior(k)) for k, (_, n) in table.items())
+        excess = (spread - noise) / most
+        return min(max(1 / excess - 1, 1.0), 1e6) if excess > 1e-6 else 1e6
+
+    hosts, paths = sums(lambda site: site[0]), sums(lambda site: site)
+    overall = (sum(good.values()) + 1) / (len(good) + 2)
+    k = strength(hosts, lambda _: overall)
+    host_share = {h: (k * overall + s) / (k + n) for h, (s, n) in hosts.items()}
+    k = strength(paths, lambda path: host_share[path[0]])
+    path_share = {p: (k * host_share[p[0]] + s) / (k + n) for p, (s, n) in paths.items()}
+    logit = lambda p: math.log(p / (1 - p))
+    for i, r in found.items():
+        host, path = host_share[sites[i][0]], path_share[sites[i]]
+        assert r.host_share == pytest.approx(host, abs=1e-4) and r.path_share == pytest.approx(path, abs=1e-4)
+        if 1e-4 < r.evidence < 1 - 1e-4:  # beyond, the rounded evidence does not tell its logit
+            both = 1 / (1 + math.exp(-(logit(r.evidence) + logit(path) - logit(overall))))
+            assert r.quality == pytest.approx(both, abs=5e-3)
+            assert r.kept == (r.quality >= 0.3)
