@@ -16,10 +16,10 @@ from newsloom.annotators import build_pipeline, news_stages
 from newsloom.functions import settle
 from newsloom.operators import (
     annotate_entities, article_lines, assemble, chunk_spans, classify_topic, embed, enrich_articles, entity_counts,
-    entity_type_counts, extract_entities, flatten_articles, iob_to_chunks, keyword_counts, lemmatize,
+    entity_type_counts, extract_entities, flatten_articles, guess_lemmas, iob_to_chunks, keyword_counts, lemmatize,
     ner_tag, pos_frequencies, pos_tag, pos_words, prepare_gazetteer, remove_stopwords, tag_arrays, tag_in_context, term_frequencies,
     term_tfidf, tfidf, to_messages, token_counts, token_rows, token_spans, tokenize, topic_counts, topic_trends,
-    train_context_tagger, train_entity_tagger, train_pos_lexicon, trending_entities, typed_names, word_cloud, word_frequencies,
+    train_context_tagger, train_entity_tagger, train_lemma_rules, train_pos_lexicon, trending_entities, typed_names, word_cloud, word_frequencies,
 )
 from newsloom.session import scratch_dir, spread
 from newsloom.sinks import (
@@ -262,6 +262,14 @@ def q_lemmas_per_document(spark, sf_dir):
     )
 
 
+def q_lemma_rules(spark, sf_dir):
+    """Lemmas of all words but half of the plurals and their singulars, which the rules are learned from."""
+    words = token_counts(_tokens(spark, sf_dir)).select("token")
+    pairs = _plurals(spark, sf_dir).where("conv(substring(md5(lemma), 1, 1), 16, 10) < 8")
+    lexicon = pairs.unionByName(pairs.select(F.col("lemma").alias("token"), "lemma"))
+    return guess_lemmas(words, train_lemma_rules(lexicon), lexicon)
+
+
 def q_pos_counts_top20(spark, sf_dir):
     return pos_frequencies(_tokens(spark, sf_dir), pos_words(spark))
 
@@ -784,6 +792,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, count(DISTINCT coalesce(lemma, tok.token)) AS lemmas,
                    count(*) FILTER (lemma IS NOT NULL) AS changed
             FROM tok LEFT JOIN plural USING (token) GROUP BY doc_id""",
+        "lemma_rules": f"""WITH {_tokens_cte()}, {_PLURALS},
+            half AS (SELECT * FROM plural WHERE ('0x' || md5(lemma)[1])::INTEGER < 8),
+            listed AS (SELECT token, min(lemma) AS lemma FROM (
+                SELECT token, lemma FROM half UNION ALL SELECT lemma, lemma FROM half) GROUP BY token),
+            edit AS (
+                SELECT token, length(token) - same AS strip, substr(lemma, same + 1) AS add FROM (
+                    SELECT *, len(list_filter(range(1, least(length(token), length(lemma)) + 1),
+                        lambda i: token[1:i] = lemma[1:i])) AS same FROM listed)),
+            seen AS (
+                SELECT right(token, k) AS ending, strip, add, count(*) AS n FROM edit, range(6) AS r(k)
+                WHERE k >= strip AND k < length(token) GROUP BY ALL),
+            rule AS (
+                SELECT ending, strip, add FROM (
+                    SELECT *, row_number() OVER (PARTITION BY ending ORDER BY n DESC, strip, add) AS place,
+                        sum(n) OVER (PARTITION BY ending) AS every FROM seen)
+                WHERE place = 1 AND every >= 2)
+            SELECT token, left(token, length(token) - strip) || add AS lemma FROM (
+                SELECT token, strip, add, row_number() OVER (PARTITION BY token ORDER BY k DESC) AS place
+                FROM vocabulary, range(6) AS r(k) JOIN rule ON ending = right(token, k)
+                WHERE k < length(token) AND token NOT IN (SELECT token FROM listed)) WHERE place = 1""",
         "pos_counts_top20": f"""WITH {_tokens_cte()}, {_POS_CTE}
             SELECT {_POS} AS pos_tag, count(*) AS count FROM tok LEFT JOIN lexicon ON lower(token) = word
             GROUP BY ALL ORDER BY count DESC, pos_tag LIMIT 20""",

@@ -4,6 +4,7 @@ from .entities import (
     annotate_entities, entity_counts, entity_pairs, entity_type_counts, extract_entities, trending_entities,
 )
 from .keywords import keyword_counts, pos_frequencies, token_counts
+from .lemma_rules import guess_lemmas, train_lemma_rules
 from .lexicon import (
     embed, lemma_arrays, lemmatize, lookup, normalize_lexicon, pos_tag, pos_words, tag_arrays, train_pos_lexicon, vector_arrays,
 )
