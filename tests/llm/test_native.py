@@ -5,12 +5,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from newsloom.llm.curriculum import WEIGHTS, assign, mixed, ranked, targets
 from newsloom.llm.label_propagation import admitted, shard
 from newsloom.llm.secret_owners import find_secrets
 
-from pyspark.sql import functions as F
-
 
 def _shards(given, **how):
     text = {r.doc_id: r.text or "" for r in given.collect()}
@@ -145,6 +146,33 @@ def test_last_document_is_cut(docs):
     assert words == sum(int(r.target) for r in assign(given).collect())
 
 
+def test_whole_documents(docs):
+    """No text is cut; each source's words miss its target by at most half of one document."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(["w"] * rng.choice([3, 40, 5_000])), rng.choice("abc")) for i in range(60)]
+    given = docs(*rows)
+    texts, target, taken = {r[1] for r in rows}, {}, Counter()
+    for r in mixed(given, whole=True).collect():
+        assert r.text in texts
+        taken[r.source] += len(r.text.split())
+    for r in assign(given).collect():
+        target[r.source] = r.target
+    assert all(abs(taken[s] - int(target[s])) <= 2_500 for s in target)
+
+
+@pytest.mark.parametrize("carry", [False, True])
+def test_one_id_for_all_rows(docs, carry):
+    """Rows that share an id, or have none, are cumulated in the order of their texts."""
+    for shared in (None, 7):
+        rows = [(shared, f"text {i % 300} " + "w " * (i % 9), "ab"[i % 3 == 0]) for i in range(900)]
+        found = assign(docs(*rows).repartition(9), carry=carry).collect()
+        taken, target = Counter(), {}
+        for r in found:
+            taken[r.source] += sum(c.words for c in r.copies)
+            target[r.source] = r.target
+        assert len(found) == 900 and all(taken[s] == int(target[s]) for s in target)
+
+
 def test_ranks(spark):
     table = spark.range(5_000).select(F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("v")).repartition(9)
     found = sorted((r["rank"], r.v) for r in ranked(table, F.col("v")).collect())
