@@ -163,7 +163,9 @@ def _judged(docs, labels, host_col, path_col, fit_rows, min_quality, id_col, tex
         "labels",
     )
     sample = marked.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
-    known = rows.join(F.broadcast(sample), rows["doc_id"] == sample["_id"]).dropDuplicates(["_id"]).orderBy("_id")
+    one = F.min_by(F.struct(*names, "label"), "key")  # of the rows that repeat an id, always the same
+    known = rows.join(F.broadcast(sample), rows["doc_id"] == sample["_id"]).groupBy("_id").agg(one.alias("row"))
+    known = known.orderBy("_id").select("row.*")
     table = known.select(*names, "label").toPandas()
     model = fit(table[names].to_numpy(dtype=float), table["label"].to_numpy(dtype=float))
 
