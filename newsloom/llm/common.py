@@ -89,14 +89,27 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-#: Rows of a list of keys that may be broadcast; a longer list is shuffled, with the same result.
+#: Rows and bytes of a saved table that may be broadcast; a larger one is shuffled, with the same result.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcastable(table: DataFrame) -> bool:
+    """Whether a saved table may be broadcast: its rows are counted (a written table has that in its
+    footers), then the bytes of its texts, and 16 bytes for each column and for the row's two places in a
+    hash table."""
+    rows = table.count()
+    fixed = 16 * (len(table.columns) + 2) * rows
+    if rows > BROADCAST_ROWS or fixed > BROADCAST_BYTES:
+        return False
+    wide = [F.sum(F.octet_length(name)) for name, kind in table.dtypes if kind in ("string", "binary")]
+    return not wide or fixed + sum(n or 0 for n in table.agg(*wide).first()) <= BROADCAST_BYTES
 
 
 def listed(docs: DataFrame, keys: DataFrame, on, how: str) -> DataFrame:
-    """Semi or anti join of documents with a saved list of short keys, broadcast behind a count (which
-    a written table has in its footers)."""
-    small = keys.count() <= BROADCAST_ROWS
+    """Semi or anti join of documents with a saved list of short keys, broadcast behind a check of its
+    rows and bytes."""
+    small = broadcastable(keys)
     return docs.join(F.broadcast(keys) if small else keys.hint("merge"), on, how)
 
 
@@ -127,16 +140,12 @@ def keep_rows(docs: DataFrame, key, verdicts: DataFrame, id_col: str) -> DataFra
     return listed(kept, repeated, same, "left_anti").unionByName(once).drop(own)
 
 
-#: Rows of a lookup table that may be broadcast; a longer one is shuffled, with the same result.
-BROADCAST_TABLE = 100_000
-
-
 def looked_up(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
     """Left join with a saved table of one row per key, nulls among the keys being equal. A table
-    too long to broadcast is merged; adaptive execution then splits a key with very many rows."""
+    too large to broadcast is merged; adaptive execution then splits a key with very many rows."""
     names = {key: f"__{key}" for key in keys}
     other = table.withColumnsRenamed(names)
-    small = table.count() <= BROADCAST_TABLE
+    small = broadcastable(table)
     same = None
     for key, name in names.items():
         one = F.col(key).eqNullSafe(F.col(name))

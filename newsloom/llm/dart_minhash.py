@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.lexicon import even_join
 from .common import keep_rows, listed, normalized, saved, ship, text_or_empty
 from .components import components
 
@@ -359,12 +360,13 @@ def _classes(docs, least, words, bands, rows, weighted, group, id_col, text_col)
     signed = saved(signatures(docs, bands, rows, words, weighted, id_col, text_col), "signatures")
     found = near_links(docs, signed, words, least, group, id_col, text_col)
     keys = signed.select("doc_id", "node")
-    placed = saved(_placed(keys, found).select("doc_id", "node", "comp"), "placed")
+    placed = saved(_placed(keys, found).select("doc_id", "node", F.hex("comp").alias("comp")), "placed")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "node")
     classes = placed.groupBy("comp").agg(
         F.min(order).alias("_first"), F.count("*").alias("class_size")
     )
-    return placed.join(classes.hint("merge"), "comp").select(
+    counts = classes.select("comp", F.col("class_size").alias("_n"))
+    return even_join(placed, classes, "comp", "inner", counts).select(
         "doc_id",
         F.col("_first.doc_id").alias("class_id"),
         "class_size",
