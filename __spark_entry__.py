@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsloom import fixed_values as fixed, word_shapes as shapes
@@ -16,10 +17,10 @@ from newsloom.annotators import build_pipeline, news_stages
 from newsloom.functions import settle
 from newsloom.operators import (
     annotate_entities, article_lines, assemble, chunk_spans, classify_topic, embed, enrich_articles, entity_counts,
-    entity_type_counts, extract_entities, flatten_articles, guess_lemmas, iob_to_chunks, keyword_counts, lemmatize,
+    entity_type_counts, extract_entities, flatten_articles, frequency_changes, guess_lemmas, iob_to_chunks, keyword_counts, lemmatize, merge_frequencies,
     ner_tag, pos_frequencies, pos_tag, pos_words, prepare_gazetteer, remove_stopwords, tag_arrays, tag_in_context, term_frequencies,
     term_tfidf, tfidf, to_messages, token_counts, token_rows, token_spans, tokenize, topic_counts, topic_trends,
-    train_context_tagger, train_entity_tagger, train_lemma_rules, train_pos_lexicon, trending_entities, typed_names, word_cloud, word_frequencies,
+    train_context_tagger, train_entity_tagger, train_lemma_rules, train_pos_lexicon, trending_entities, typed_names, weigh_terms, word_cloud, word_frequencies,
 )
 from newsloom.session import scratch_dir, spread
 from newsloom.sinks import (
@@ -27,7 +28,7 @@ from newsloom.sinks import (
 )
 from newsloom.sources import line_stream, load_lexicon, message_stream, read_wordlist
 from newsloom.streaming import (
-    CLOUD_KEYS, TREND_KEYS, article_query, entity_query, message_query, topic_query, trending_query, word_cloud_query,
+    CLOUD_KEYS, TREND_KEYS, article_query, entity_query, frequency_query, message_query, topic_query, trending_query, word_cloud_query,
 )
 
 try:  # the operators for training data are a part that can be left out
@@ -423,6 +424,17 @@ def q_term_tfidf(spark, sf_dir):
     return weighted.withColumn("tfidf", F.round("tfidf", 6))
 
 
+def q_updated_tfidf(spark, sf_dir):
+    """Weights after the German documents were withdrawn from frequencies of all documents."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    german = F.col("lang").eqNullSafe("de")
+    terms = lambda rows: remove_stopwords(tokenize(assemble(spread(rows))))
+    every = frequency_changes(terms(documents), "cleanTokens")
+    gone = frequency_changes(terms(documents.where(german)).withColumn("change", F.lit(-1)), "cleanTokens", "change")
+    left = terms(documents.where(~german))
+    return weigh_terms(left, merge_frequencies(every, gone), terms_col="cleanTokens").withColumn("tfidf", F.round("tfidf", 6))
+
+
 def q_hashing_tfidf(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
@@ -472,10 +484,24 @@ def q_article_lines(spark, sf_dir):
     return article_lines(flatten_articles(to_messages(_articles(spark, sf_dir), ("source",))))
 
 
+def _plain_documents(spark, sf_dir):
+    return _documents(spark, sf_dir).withColumn("text", F.regexp_replace("text", r"[,\.!?]", ""))
+
+
 def q_annotation_stages(spark, sf_dir):
     """The stages as one fitted pipeline."""
-    documents = _documents(spark, sf_dir).withColumn("text", F.regexp_replace("text", r"[,\.!?]", ""))
-    model = build_pipeline(news_stages(pos_words(spark), _plurals(spark, sf_dir))).fit(documents)
+    documents = _plain_documents(spark, sf_dir)
+    return _stage_counts(build_pipeline(news_stages(pos_words(spark), _plurals(spark, sf_dir))).fit(documents), documents)
+
+
+def q_saved_stages(spark, sf_dir):
+    """The fitted pipeline, written, read back and used."""
+    documents, path = _plain_documents(spark, sf_dir), scratch_dir(spark, "stages")
+    build_pipeline(news_stages(pos_words(spark), _plurals(spark, sf_dir))).fit(documents).write().save(path)
+    return _stage_counts(PipelineModel.load(path), documents)
+
+
+def _stage_counts(model, documents):
     nouns = F.filter("pos", lambda p: p["result"].startswith("NN"))
     return model.transform(documents).select(
         "doc_id",
@@ -557,6 +583,14 @@ def q_stream_trending_entities(spark, sf_dir):
     return read_replaced(spark, f"{path}/out")
 
 
+def q_stream_document_frequencies(spark, sf_dir):
+    path = scratch_dir(spark, "frequencies")
+    documents = remove_stopwords(tokenize(assemble(_stream(spark, sf_dir, "documents"))))
+    frequency_query(documents, batch_table(f"{path}/out"), f"{path}/checkpoint", None, "cleanTokens").awaitTermination()
+    merged = merge_frequencies(read_batches(spark, f"{path}/out"))
+    return merged.withColumn("term", F.coalesce("term", F.lit("all documents")))
+
+
 def q_stream_article_lines(spark, sf_dir):
     path = scratch_dir(spark, "messages")
     to_messages(_articles(spark, sf_dir), ("source",)).select("value").write.text(f"{path}/landed")
@@ -762,6 +796,15 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT doc_id, {where} AS w FROM tokens)"""
     stop = _quoted(fixed.EN_STOP)
     gazetteer_match = f"WITH RECURSIVE {_tokens_cte()}, {_spans_cte()}, {_GAZETTEER} {_chunk_sql('walk')}"
+    stages = f"""WITH {_tokens_cte()}, {_POS_CTE}, {_PLURALS}, {_spans_cte()},
+        per AS (SELECT doc_id, count(*) AS tokens, count(*) FILTER ({_POS} LIKE 'NN%') AS nouns,
+                count(*) FILTER (lower(token) NOT IN ({stop})) AS clean,
+                coalesce(string_agg(coalesce(lemma, token), ' ' ORDER BY pos) FILTER (lower(token) NOT IN ({stop})), '') AS lemmas
+            FROM tok LEFT JOIN lexicon ON lower(token) = word LEFT JOIN plural USING (token) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*) AS entities FROM span GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(tokens, 0) AS tokens, coalesce(nouns, 0) AS nouns, coalesce(clean, 0) AS clean,
+               coalesce(lemmas, '') AS lemmas, coalesce(entities, 0) AS entities
+        FROM documents d LEFT JOIN per USING (doc_id) LEFT JOIN found USING (doc_id)"""
     own = {
         "article_enrich": _article_sql(),
         "topic_classify": f"SELECT doc_id, {_topic()} AS detected_topic FROM documents",
@@ -876,6 +919,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, term, tf, df,
                    round(tf * ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (df + 1)), 6) AS tfidf
             FROM tf JOIN df USING (term)""",
+        "updated_tfidf": f"""WITH {_tokens_cte()},
+            left_over AS (SELECT doc_id FROM documents WHERE lang IS DISTINCT FROM 'de'),
+            tf AS (SELECT doc_id, token AS term, count(*) AS tf FROM tok JOIN left_over USING (doc_id)
+                   WHERE lower(token) NOT IN ({stop}) GROUP BY ALL),
+            df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+            SELECT doc_id, term, tf, df,
+                   round(tf * ln(((SELECT count(*) FROM left_over) + 1)::DOUBLE / (df + 1)), 6) AS tfidf
+            FROM tf JOIN df USING (term)""",
         "hashing_tfidf": _hashed_sql(),
         "token_embeddings": rf"""WITH {_tokens_cte()},
             vector AS (
@@ -894,15 +945,8 @@ def oracle_sql() -> dict[str, str]:
                   UNION ALL SELECT doc_id, unnest(['No title', 'No title', 'No title']), 'Unknown'
                   FROM documents WHERE doc_id % 6 = 3)""",
         "article_lines": _LINES_SQL,
-        "annotation_stages": f"""WITH {_tokens_cte()}, {_POS_CTE}, {_PLURALS}, {_spans_cte()},
-            per AS (SELECT doc_id, count(*) AS tokens, count(*) FILTER ({_POS} LIKE 'NN%') AS nouns,
-                    count(*) FILTER (lower(token) NOT IN ({stop})) AS clean,
-                    coalesce(string_agg(coalesce(lemma, token), ' ' ORDER BY pos) FILTER (lower(token) NOT IN ({stop})), '') AS lemmas
-                FROM tok LEFT JOIN lexicon ON lower(token) = word LEFT JOIN plural USING (token) GROUP BY doc_id),
-            found AS (SELECT doc_id, count(*) AS entities FROM span GROUP BY doc_id)
-            SELECT d.doc_id, coalesce(tokens, 0) AS tokens, coalesce(nouns, 0) AS nouns, coalesce(clean, 0) AS clean,
-                   coalesce(lemmas, '') AS lemmas, coalesce(entities, 0) AS entities
-            FROM documents d LEFT JOIN per USING (doc_id) LEFT JOIN found USING (doc_id)""",
+        "annotation_stages": stages,
+        "saved_stages": stages,
         "stream_articles": _article_sql(),
         "stream_topic_trend": _TREND,
         "stream_topic_complete": _TREND,
@@ -910,6 +954,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_wordcloud": _styled_sql(),
         "stream_extracted_entities": _extracted_sql(),
         "stream_trending_entities": _trending_sql("10 minutes"),
+        "stream_document_frequencies": f"""WITH {_tokens_cte()}
+            SELECT token AS term, count(DISTINCT doc_id) AS df FROM tok WHERE lower(token) NOT IN ({stop}) GROUP BY ALL
+            UNION ALL SELECT 'all documents', count(*) FROM documents""",
         "stream_article_lines": _LINES_SQL,
     }
     return own if llm_queries is None else {**own, **llm_queries.oracle_sql()}

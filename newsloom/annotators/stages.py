@@ -1,7 +1,8 @@
 """The annotation operators as `pyspark.ml` stages.
 
 Every stage adds a column of annotations, `array<struct<result, metadata>>`, so that
-`col.result` is an array of texts, and composes with the feature stages of `pyspark.ml`.
+`col.result` is an array of texts, and composes with the feature stages of `pyspark.ml`. Stages, and
+pipelines of them, fitted or not, are saved with their tables and learned taggers.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import EN_STOP
@@ -19,6 +21,7 @@ from ..operators.perceptron import ContextTagger, tag_in_context
 from ..operators.tagger import tag_entities
 from ..operators.tfidf import NUM_FEATURES
 from ..operators.tokens import finish, remove_stopwords, tokens_of
+from .storage import StageReader, StageWriter
 
 _TOKENS, _VALUES = "_tokens", "_values_out"
 
@@ -31,13 +34,28 @@ def annotations(values) -> Column:
     ).cast(CHUNKS)
 
 
-class _Stage(Transformer, HasInputCol, HasOutputCol):
+class _Stage(Transformer, HasInputCol, HasOutputCol, MLWritable, MLReadable):
     reads, adds = "token", ""
+    holds: tuple[str, ...] = ()  # what a stage has beside its parameters
 
     def __init__(self, inputCol: str | None = None, outputCol: str | None = None):
         super().__init__()
         self._set(inputCol=inputCol or self.reads, outputCol=outputCol or self.adds)
 
+    @classmethod
+    def blank(cls):
+        """A stage with default columns that holds nothing yet."""
+        stage = cls.__new__(cls)
+        _Stage.__init__(stage)
+        return stage
+
+    def write(self) -> StageWriter:
+        return StageWriter(self)
+
+    @classmethod
+    def read(cls) -> StageReader:
+        return StageReader(cls)
+
     def _tokens(self, df: DataFrame) -> DataFrame:
         return settle(df, _TOKENS, F.col(f"{self.getInputCol()}.result"))
 
@@ -65,7 +83,7 @@ class Tokenizer(_Stage):
 class StopWords(_Stage):
     """Drop the words of a list or a table, whatever their case."""
 
-    adds = "cleanTokens"
+    adds, holds = "cleanTokens", ("words",)
 
     def __init__(self, inputCol=None, outputCol=None, words=EN_STOP):
         super().__init__(inputCol, outputCol)
@@ -76,6 +94,8 @@ class StopWords(_Stage):
 
 
 class _LexiconStage(_Stage):
+    holds = ("lexicon",)
+
     def __init__(self, lexicon: DataFrame | ContextTagger, inputCol=None, outputCol=None):
         super().__init__(inputCol, outputCol)
         self.lexicon = lexicon
@@ -112,7 +132,7 @@ class EntityTagger(_Stage):
     """One IOB tag per token: the gazetteer's, then for other capitalised words the type a learned
     `tagger` finds, or one type for all without it."""
 
-    adds = "ner"
+    adds, holds = "ner", ("gazetteer", "tagger", "ner_args")
 
     def __init__(self, gazetteer: DataFrame | None = None, inputCol=None, outputCol=None, tagger=None, **ner_args):
         super().__init__(inputCol, outputCol)
@@ -126,7 +146,7 @@ class EntityTagger(_Stage):
 class Chunker(_Stage):
     """Tags and their tokens to entity chunks with `metadata.entity`."""
 
-    reads, adds = "ner", "entities"
+    reads, adds, holds = "ner", "entities", ("tokens_col",)
 
     def __init__(self, inputCol=None, outputCol=None, tokensCol: str = "token"):
         super().__init__(inputCol, outputCol)

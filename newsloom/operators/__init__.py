@@ -3,6 +3,7 @@ from .enrich import ARTICLE_COLUMNS, enrich_articles
 from .entities import (
     annotate_entities, entity_counts, entity_pairs, entity_type_counts, extract_entities, trending_entities,
 )
+from .frequencies import frequency_changes, inverse_frequencies, merge_frequencies, weigh_terms
 from .keywords import keyword_counts, pos_frequencies, token_counts
 from .lemma_rules import guess_lemmas, train_lemma_rules
 from .lexicon import (

@@ -1,7 +1,7 @@
 from .queries import (
-    CLOUD_KEYS, TREND_KEYS, article_query, entity_query, message_query, topic_query, trending_query, word_cloud_query,
+    CLOUD_KEYS, TREND_KEYS, article_query, entity_query, frequency_query, message_query, topic_query, trending_query, word_cloud_query,
 )
 
 __all__ = [
-    "CLOUD_KEYS", "TREND_KEYS", "article_query", "entity_query", "message_query", "topic_query", "trending_query", "word_cloud_query",
+    "CLOUD_KEYS", "TREND_KEYS", "article_query", "entity_query", "frequency_query", "message_query", "topic_query", "trending_query", "word_cloud_query",
 ]

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed_values import CLOUD_LIFETIME
 from ..operators import (
-    enrich_articles, article_lines, extract_entities, flatten_articles, prepare_gazetteer, topic_trends,
+    enrich_articles, article_lines, extract_entities, flatten_articles, frequency_changes, prepare_gazetteer, topic_trends,
     trending_entities, word_cloud,
 )
 from ..sinks.batches import fan_out, start, start_lines
@@ -124,6 +124,19 @@ def trending_query(
     return start(lines, rank, checkpoint, "append", every)
 
 
+def frequency_query(
+    documents: DataFrame, sink, checkpoint: str, every: str | None = TOPICS_EVERY, terms_col: str = "token",
+    change_col: str | None = None,
+) -> StreamingQuery:
+    """Hand over what each micro-batch changes in the document frequencies, for a `batch_table`, which a
+    repeated batch does not count twice; `merge_frequencies` of its rows is the table of all documents."""
+
+    def change(batch: DataFrame, batch_id: int) -> None:
+        sink(frequency_changes(batch, terms_col, change_col), batch_id)
+
+    return start(documents, change, checkpoint, "append", every)
+
+
 def message_query(messages: DataFrame, path: str, checkpoint: str, every: str | None = ARTICLES_EVERY) -> StreamingQuery:
     """JSON messages to article lines in a text folder. The progress of each batch holds the number of
     messages and of unreadable ones as the observed metrics of `read`."""
