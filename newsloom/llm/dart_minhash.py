@@ -260,9 +260,8 @@ def _ordered(edges: DataFrame) -> DataFrame:
 def _texts(docs: DataFrame, signed: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, text) of the given nodes, each from the document with its smallest id, so that copies are
     not moved; the ids are looked for first, and only what has one is hashed again."""
-    first = saved(
-        signed.join(nodes.hint("merge"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "first"
-    )
+    smallest = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"))  # copies are one row before they meet
+    first = saved(smallest.join(nodes.hint("merge"), "node", "left_semi"), "first")
     ids = saved(first.select(F.col("doc_id").alias("_id")).distinct(), "ids")
     given = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     some = listed(given, ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
