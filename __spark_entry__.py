@@ -22,13 +22,14 @@ from newsloom.operators import (
     term_tfidf, tfidf, to_messages, token_counts, token_rows, token_spans, tokenize, topic_counts, topic_trends,
     train_context_tagger, train_entity_tagger, train_lemma_rules, train_pos_lexicon, trending_entities, typed_names, weigh_terms, word_cloud, word_frequencies,
 )
-from newsloom.session import scratch_dir, spread
+from newsloom.session import scratch_dir, spread, state_session
 from newsloom.sinks import (
     HourlyTable, WindowTable, batch_table, read_batches, read_replaced, replaced_table, start,
 )
 from newsloom.sources import line_stream, load_lexicon, message_stream, read_wordlist
 from newsloom.streaming import (
-    CLOUD_KEYS, TREND_KEYS, article_query, entity_query, frequency_query, message_query, topic_query, trending_query, word_cloud_query,
+    CLOUD_KEYS, TREND_KEYS, article_query, entity_query, frequency_query, live_trending_query, message_query, topic_query, trending_query,
+    word_cloud_query,
 )
 
 try:  # the operators for training data are a part that can be left out
@@ -583,6 +584,16 @@ def q_stream_trending_entities(spark, sf_dir):
     return read_replaced(spark, f"{path}/out")
 
 
+def q_stream_trending_live(spark, sf_dir):
+    """The same from state, in several triggers whose events come in no order."""
+    path = scratch_dir(spark, "trending-live")
+    _entity_events(spark, sf_dir).repartition(4, "detected_at").write.parquet(f"{path}/landed")
+    schema = spark.read.parquet(f"{path}/landed").schema
+    events = line_stream(state_session(spark), "parquet", schema, f"{path}/landed", maxFilesPerTrigger=1)
+    live_trending_query(events, f"{path}/live", replaced_table(f"{path}/out"), f"{path}/checkpoint", None).awaitTermination()
+    return read_replaced(spark, f"{path}/out").withColumn("time_window", F.col("time_window").cast("timestamp_ntz"))
+
+
 def q_stream_document_frequencies(spark, sf_dir):
     path = scratch_dir(spark, "frequencies")
     documents = remove_stopwords(tokenize(assemble(_stream(spark, sf_dir, "documents"))))
@@ -736,12 +747,12 @@ def _keywords_sql(limit="") -> str:
         GROUP BY token ORDER BY count DESC, word {limit}"""
 
 
-def _trending_sql(lookback: str) -> str:
+def _trending_sql(lookback: str, ts: str = "ts") -> str:
     return f"""SELECT entity_name, entity_type, count, count * 1.5::DOUBLE AS trend_score, time_window,
         '{lookback}' AS window_duration, 'CLI_Stream' AS source
         FROM (SELECT 'user' || user_id AS entity_name, event_type AS entity_type, count(*) AS count,
-              (SELECT max(ts) FROM events) AS time_window FROM events
-              WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL '{lookback}'
+              (SELECT max({ts}) FROM events) AS time_window FROM events
+              WHERE {ts} >= (SELECT max({ts}) FROM events) - INTERVAL '{lookback}'
               GROUP BY ALL ORDER BY count DESC, entity_name, entity_type LIMIT 20)"""
 
 
@@ -954,6 +965,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_wordcloud": _styled_sql(),
         "stream_extracted_entities": _extracted_sql(),
         "stream_trending_entities": _trending_sql("10 minutes"),
+        "stream_trending_live": _trending_sql("10 minutes", "date_trunc('second', ts)"),
         "stream_document_frequencies": f"""WITH {_tokens_cte()}
             SELECT token AS term, count(DISTINCT doc_id) AS df FROM tok WHERE lower(token) NOT IN ({stop}) GROUP BY ALL
             UNION ALL SELECT 'all documents', count(*) FROM documents""",

@@ -1,7 +1,7 @@
 from .chunks import iob_to_chunks
 from .enrich import ARTICLE_COLUMNS, enrich_articles
 from .entities import (
-    annotate_entities, entity_counts, entity_pairs, entity_type_counts, extract_entities, trending_entities,
+    annotate_entities, entity_counts, entity_pairs, entity_type_counts, extract_entities, rank_trend, trending_entities,
 )
 from .frequencies import frequency_changes, inverse_frequencies, merge_frequencies, weigh_terms
 from .keywords import keyword_counts, pos_frequencies, token_counts

@@ -77,7 +77,19 @@ def trending_entities(
     """The top entities among those detected within `lookback` before `as_of`."""
     now = moment(as_of)
     recent = entities.where(F.col("detected_at") >= now - F.expr(f"interval {lookback}"))
-    top = _ranked(recent.groupBy("entity_name", "entity_type").count(), ["entity_name", "entity_type"], k)
+    return rank_trend(recent.groupBy("entity_name", "entity_type").count(), now, lookback, k, factor, source)
+
+
+def rank_trend(
+    counted: DataFrame,
+    now,
+    lookback: str = "10 minutes",
+    k: int = 20,
+    factor: float = 1.5,
+    source: str = ARTICLE_SOURCE,
+) -> DataFrame:
+    """The top entities of a table of counts over the `lookback` before `now`, a column."""
+    top = _ranked(counted, ["entity_name", "entity_type"], k)
     return top.select(
         "entity_name",
         "entity_type",

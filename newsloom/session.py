@@ -31,6 +31,18 @@ def session(app: str = "newsloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session beside `spark`, on the same cluster and with its time zone and shuffle partitions, that
+    keeps the state of streams in RocksDB, as `streaming.live_counts` needs."""
+    made = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        made.conf.set(key, spark.conf.get(key))
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.streaming."):
+            made.conf.set(key, value)
+    return made
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared folder (`spark.checkpoint.dir`).
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -129,7 +131,9 @@ def merged_table(path: str, keys: Sequence[str], keep: Column | None = None, ver
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         before = read_replaced(spark, path, df.schema)
-        merged = before.join(df.select(*keys), list(keys), "left_anti").select(*df.columns).unionByName(df)
+        new = df.select(*[F.col(key).alias(f"_{key}") for key in keys])
+        same = reduce(and_, [before[key].eqNullSafe(new[f"_{key}"]) for key in keys])
+        merged = before.join(new, same, "left_anti").select(*df.columns).unionByName(df)
         replace(merged if keep is None else merged.where(keep), batch_id)
 
     return write

@@ -14,9 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..fixed_values import CLOUD_LIFETIME
 from ..operators import (
     enrich_articles, article_lines, extract_entities, flatten_articles, frequency_changes, prepare_gazetteer, topic_trends,
-    trending_entities, word_cloud,
+    rank_trend, trending_entities, word_cloud,
 )
 from ..sinks.batches import fan_out, start, start_lines
+from ..sinks.files import merged_table, read_replaced
+from .look_back import LIVE_KEYS, live_counts
 
 ARTICLES_EVERY = "3 seconds"
 TOPICS_EVERY = "10 seconds"
@@ -124,6 +126,32 @@ def trending_query(
     return start(lines, rank, checkpoint, "append", every)
 
 
+def live_trending_query(
+    entities: DataFrame,
+    live: str,
+    sink,
+    checkpoint: str,
+    every: str | None = TRENDING_EVERY,
+    lookback: str = "10 minutes",
+    step: str = "1 seconds",
+    **trend_args,
+) -> StreamingQuery:
+    """Rank the entities of the last minutes from counts held as state, without reading the entity table
+    back. The counts that a trigger changed are merged into the table in the folder `live`, which holds
+    one row for each entity of the look-back; the top of it replaces the trend table. The time of the
+    trend is that of the newest entity; see `live_counts`.
+    """
+    merge = merged_table(live, LIVE_KEYS, F.col("count") > 0)
+
+    def rank(batch: DataFrame, batch_id: int) -> None:
+        merge(batch, batch_id)
+        counted = read_replaced(batch.sparkSession, live)
+        now = counted.agg(F.max("last_seen")).scalar()
+        sink(rank_trend(counted.select(*LIVE_KEYS, "count"), now, lookback, **trend_args), batch_id)
+
+    return start(live_counts(entities, lookback, step), rank, checkpoint, "update", every)
+
+
 def frequency_query(
     documents: DataFrame, sink, checkpoint: str, every: str | None = TOPICS_EVERY, terms_col: str = "token",
     change_col: str | None = None,
