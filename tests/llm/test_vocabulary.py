@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from newsloom.llm.token_counts import Counts, prove_whole_tokens
+from newsloom.llm.token_counts import Counts, prove_whole_tokens, token_counts, whole_tokens
 from newsloom.llm.vocabulary import Encoder
 
 ENCODERS = {name: Encoder(public_tokenizers.path(name), memo=500) for name in ("byte_bpe_50k.json", "word_bpe_49k.json")}
@@ -38,6 +38,17 @@ def test_proven_strings_are_one_token():
     assert all(len(codec.library(text)) == 1 for text in proven[::97])
 
 
+def test_strings_are_proven_once_in_a_job(spark, odd):
+    codec = ENCODERS["word_bpe_49k.json"]
+    table = whole_tokens(spark, codec.path)
+    strings = [row.token for row in table.collect()]
+    assert len(strings) == len(set(strings)) and set(strings) == set(prove_whole_tokens(codec))
+    expected = sorted((row.doc_id or 0, len(codec.library(row.text or ""))) for row in odd.select("doc_id", "text").collect())
+    for whole in (None, table, table.limit(0)):
+        counted = token_counts(odd, codec.path, whole=whole)
+        assert sorted((row.doc_id or 0, row.n_tokens) for row in counted.collect()) == expected
+
+
 def test_counts():
     table = Counts(ENCODERS["word_bpe_49k.json"])
 
