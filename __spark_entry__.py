@@ -151,9 +151,13 @@ def _entity_events(spark, sf_dir):
 
 
 def _stream(spark, sf_dir, name):
-    """A table as a file stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return line_stream(spark, "parquet", schema, sf_dir, pathGlobFilter=f"{name}.parquet")
+    """A table, one file or a folder of them, as a file stream."""
+    path = f"{sf_dir}/{name}.parquet"
+    table = spark.read.parquet(path)
+    files = table.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):  # a stream reads folders only
+        return line_stream(spark, "parquet", table.schema, sf_dir, pathGlobFilter=f"{name}.parquet")
+    return line_stream(spark, "parquet", table.schema, path)
 
 
 # ---------------------------------------------------------------- queries
