@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,7 +21,7 @@ from newsloom.operators import (
     annotate_entities, article_lines, assemble, chunk_spans, classify_topic, embed, enrich_articles, entity_counts,
     entity_type_counts, extract_entities, flatten_articles, frequency_changes, guess_lemmas, iob_to_chunks, keyword_counts, lemmatize, merge_frequencies,
     ner_tag, pos_frequencies, pos_tag, pos_words, prepare_gazetteer, remove_stopwords, tag_arrays, tag_in_context, term_frequencies,
-    term_tfidf, tfidf, to_messages, token_counts, token_rows, token_spans, tokenize, topic_counts, topic_trends,
+    term_tfidf, texts_at, tfidf, to_messages, token_counts, token_rows, token_spans, tokenize, topic_counts, topic_trends,
     train_context_tagger, train_entity_tagger, train_lemma_rules, train_pos_lexicon, trending_entities, typed_names, weigh_terms, word_cloud, word_frequencies,
 )
 from newsloom.session import scratch_dir, spread, state_session
@@ -219,9 +221,12 @@ def q_token_spans(spark, sf_dir):
     and the same of the names among them."""
     spans = settle(token_spans(_documents(spark, sf_dir)), "token", F.col("spans.token"))
     found = chunk_spans(ner_tag(spans, None))
-    there = lambda s: F.substring("text", s["begin"] + 1, s["end"] - s["begin"])
+    for name in ("spans", "chunks"):
+        places = settle(settle(found, "_begins", F.col(f"{name}.begin")), "_ends", F.col(f"{name}.end"))
+        found = texts_at(places, "text", "_begins", "_ends", f"{name}_there").drop("_begins", "_ends")
     every = lambda c, value: F.aggregate(c, F.lit(0).cast("long"), lambda n, s: n + value(s))
-    wrong = lambda c, name: every(c, lambda s: F.when(there(s) == s[name], 0).otherwise(1))
+    alike = lambda c, name: F.zip_with(c, f"{c}_there", lambda s, there: there == s[name])
+    wrong = lambda c, name: every(alike(c, name), lambda same: F.when(same, 0).otherwise(1))
     return found.select(
         "doc_id", every("spans", lambda s: s["end"] - s["begin"]).alias("characters"),
         wrong("spans", "token").alias("misplaced"), wrong("chunks", "result").alias("misplaced_names"),
@@ -454,16 +459,27 @@ def q_hashing_tfidf(spark, sf_dir):
 
 def q_token_embeddings(spark, sf_dir):
     rows = term_frequencies(_tokens(spark, sf_dir)).withColumnRenamed("term", "token")
-    whole = F.transform("vector", lambda v: F.round(v.cast("double") * 1e6).cast("long"))
-    weighted = F.zip_with(whole, F.sequence(F.lit(1), F.size(whole)), lambda v, i: v * i)
-    every = F.aggregate(weighted, F.lit(0).cast("long"), lambda total, v: total + v)
+
+    @F.arrow_udf("long")
+    def every(vectors: pa.Array) -> pa.Array:
+        """All dimensions in whole millionths, each times its place from 1."""
+        offsets = vectors.offsets.to_numpy().astype(np.int64)
+        flat = vectors.values.slice(offsets[0], offsets[-1] - offsets[0])
+        offsets, none = offsets - offsets[0], flat.is_null().to_numpy(zero_copy_only=False)
+        values = flat.fill_null(0).to_numpy(zero_copy_only=False).astype(np.float64) * 1e6
+        whole = np.trunc(values)
+        whole += np.where(np.abs(values - whole) >= 0.5, np.sign(values), 0)  # halves away from zero
+        place = np.arange(len(whole)) - np.repeat(offsets[:-1], np.diff(offsets)) + 1
+        within = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[offsets])
+        return pa.array(within(whole.astype(np.int64) * place), mask=(within(none) > 0) | (np.diff(offsets) == 0))
+
     return (
         embed(rows, _vectors(spark, sf_dir))
         .groupBy("doc_id")
         .agg(
             F.sum("tf").alias("tokens"),
             F.sum(F.when(F.col("vector").isNotNull(), F.col("tf")).otherwise(0)).alias("known"),
-            F.coalesce(F.sum(every * F.col("tf")), F.lit(0)).alias("all_dimensions"),
+            F.coalesce(F.sum(every("vector") * F.col("tf")), F.lit(0)).alias("all_dimensions"),
         )
     )
 

@@ -10,7 +10,7 @@ from .lexicon import (
     embed, lemma_arrays, lemmatize, lookup, normalize_lexicon, pos_tag, pos_words, tag_arrays, train_pos_lexicon, vector_arrays,
 )
 from .messages import article_lines, flatten_articles, to_messages
-from .offsets import TokenRules, chunk_spans, token_spans
+from .offsets import TokenRules, chunk_spans, texts_at, token_spans
 from .perceptron import ContextTagger, tag_in_context, train_context_tagger
 from .phrases import match_phrases, ner_tag, normalize_gazetteer, prepare_gazetteer
 from .tagger import EntityTagger, tag_entities, train_entity_tagger, typed_names

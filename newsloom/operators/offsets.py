@@ -116,11 +116,29 @@ def chunk_spans(df: DataFrame, spans_col: str = "spans", tags_col: str = "ner",
     first = settle(df, "_first", F.filter(places, begins))
     last = settle(first, "_last", F.filter(places, lambda i: (tag(i) != OUTSIDE) & ((tag(i + 1) == OUTSIDE) | begins(i + 1))))
 
+    begins_at = F.transform("_first", lambda i: F.get(spans_col, i)["begin"])
+    ends_at = F.transform("_last", lambda i: F.get(spans_col, i)["end"])
+    cut = texts_at(settle(settle(last, "_begins", begins_at), "_ends", ends_at), text_col, "_begins", "_ends", "_results")
+
     def chunk(i, k) -> Column:
-        begin, end = F.get(spans_col, i)["begin"], F.get(spans_col, F.get("_last", k))["end"]
         return F.struct(
-            F.substring(F.col(text_col), begin + 1, end - begin).alias("result"), F.substr(tag(i), F.lit(3)).alias("entity"),
-            begin.alias("begin"), end.alias("end"),
+            F.get("_results", k).alias("result"), F.substr(tag(i), F.lit(3)).alias("entity"),
+            F.get("_begins", k).alias("begin"), F.get("_ends", k).alias("end"),
         )
 
-    return settle(last, out, F.transform("_first", chunk)).drop("_first", "_last")
+    return settle(cut, out, F.transform("_first", chunk)).drop("_first", "_last", "_begins", "_ends", "_results")
+
+
+def texts_at(df: DataFrame, text_col: str, begins_col: str, ends_col: str, out: str) -> DataFrame:
+    """Add the parts of a text between two arrays of places, in characters. A place is found without counting
+    the characters before it, so the work grows with the parts and the text, not with their product."""
+
+    @F.arrow_udf("array<string>")
+    def parts(texts: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
+        found = [
+            None if text is None or begin is None or end is None else [text[b:e] for b, e in zip(begin, end)]
+            for text, begin, end in zip(texts.to_pylist(), begins.to_pylist(), ends.to_pylist())
+        ]
+        return pa.array(found, pa.list_(pa.string()))
+
+    return settle(df.withColumn(out, parts(text_col, begins_col, ends_col)), out, F.col(out))
