@@ -81,6 +81,19 @@ def test_a_text_that_does_not_come_back_takes_no_other_with_it():
     assert whole[1][:4] == plain("one two")[:4]
 
 
+def test_chunks_that_come_again_stay_remembered(monkeypatch):
+    """Room is made by forgetting chunks that came once, not those that came late."""
+    tool = Aligner(BYTES, PIECES, memo=40)
+    learned, learn = [], tool.learn
+    monkeypatch.setattr(tool, "learn", lambda chunks: (learned.extend(chunks), learn(chunks))[1])
+    texts = [" ".join(f"first{j}" for j in range(30))]
+    texts += ["again late often " + " ".join(f"once{i}x{j}" for j in range(3)) for i in range(60)]
+    for text in texts:
+        (found,) = tool.texts([text])
+        assert (*found[:5], sorted(np.frombuffer(found[5], np.int64).tolist())) == plain(text)
+    assert max(Counter(learned).values()) == 1 and len(tool) <= 40
+
+
 def table(rows):
     """Plain results for (doc_id, text) rows."""
     made = [plain(text) for _, text in rows]
