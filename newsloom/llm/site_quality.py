@@ -13,39 +13,54 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import drop_rows, looked_up, normalized, saved, text_or_empty
+from ..functions import settle
+from .common import SPACE, drop_rows, looked_up, saved, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _DIGITS = "0123456789"
 
 
-def _share(text: Column, characters: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, characters, ""))) / F.greatest(F.length(text), F.lit(1))
+NAMES = (
+    "symbols", "bars", "exclaims", "upper", "digits", "repeats", "repeated_lines", "words", "word_length", "repeats_by_words",
+)
 
 
-def measures(text_col: str = "text") -> dict[str, Column]:
-    """Measures of a whole text; all zero for an empty one."""
+def with_measures(rows: DataFrame, text_col: str = "text", before: str = "m_") -> DataFrame:
+    """Measures of a whole text, all zero for an empty one, in place of the text; `rows` has no column `_cut`.
+
+    A text is run through once for its words, once for its lines and once for the characters that are
+    counted: what is counted is settled first, so that no measure goes back to the text.
+    """
     text = text_or_empty(text_col)
-    words = F.filter(F.split(normalized(text_col), " "), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
-    n = F.size(words)
-
-    def unlike(items: Column) -> Column:
-        return F.when(F.size(items) == 0, 0.0).otherwise(1 - F.size(F.array_distinct(items)) / F.size(items))
-
-    return {
-        "symbols": _share(text, SYMBOLS),
-        "bars": _share(text, "|"),
-        "exclaims": _share(text, "!"),
-        "upper": _share(text, _UPPER),
-        "digits": _share(text, _DIGITS),
-        "repeats": unlike(words),
-        "repeated_lines": unlike(lines),
-        "words": F.log1p(n.cast("double")),
-        "word_length": F.when(n == 0, 0.0).otherwise(F.length(text) / F.greatest(n, F.lit(1))),
-        "repeats_by_words": unlike(words) * F.log1p(n.cast("double")),
-    }
+    counted = f"{SYMBOLS}!{_UPPER}{_DIGITS}"
+    cut = settle(rows, "_cut", F.struct(
+        F.length(text).alias("length"),
+        F.regexp_replace(text, f"[^{counted}]+", "").alias("signs"),
+        F.filter(F.split(text, SPACE), lambda w: w != "").alias("words"),
+        F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "").alias("lines"),
+    )).drop(text_col)
+    part = lambda name: F.col("_cut")[name]
+    cut = settle(cut, "_cut", F.struct(
+        part("length").alias("length"), part("signs").alias("signs"), F.length(part("signs")).alias("all"),
+        *[F.size(part(name)).alias(name) for name in ("words", "lines")],
+        *[F.size(F.array_distinct(part(name))).alias(f"unlike_{name}") for name in ("words", "lines")],
+    ))
+    length, n = part("length"), part("words")
+
+    def share(characters: str) -> Column:
+        return (part("all") - F.length(F.translate(part("signs"), characters, ""))) / F.greatest(length, F.lit(1))
+
+    def repeats(name: str) -> Column:
+        return F.when(part(name) == 0, 0.0).otherwise(1 - part(f"unlike_{name}") / part(name))
+
+    found = (
+        share(SYMBOLS), share("|"), share("!"), share(_UPPER), share(_DIGITS), repeats("words"), repeats("lines"),
+        F.log1p(n.cast("double")), F.when(n == 0, 0.0).otherwise(length / F.greatest(n, F.lit(1))),
+        repeats("words") * F.log1p(n.cast("double")),
+    )
+    values = [F.coalesce(column, F.lit(0.0)).cast("double").alias(f"{before}{name}") for name, column in zip(NAMES, found)]
+    return cut.select(*[c for c in cut.columns if c != "_cut"], *values)
 
 
 @dataclass
@@ -147,16 +162,12 @@ def _key(host_col: str, path_col: str, text_col: str) -> Column:
 
 
 def _judged(docs, labels, host_col, path_col, fit_rows, min_quality, id_col, text_col, label_id_col, label_col) -> DataFrame:
-    found = measures(text_col)
-    rows = saved(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(path_col).alias("path"),
-            _key(host_col, path_col, text_col).alias("key"),
-            *[F.coalesce(column, F.lit(0.0)).cast("double").alias(f"m_{name}") for name, column in found.items()],
-        ),
-        "measures",
+    given = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(path_col).alias("path"),
+        _key(host_col, path_col, text_col).alias("key"), F.col(text_col).alias("text"),
     )
-    names = [f"m_{name}" for name in found]
+    rows = saved(with_measures(given), "measures")
+    names = [f"m_{name}" for name in NAMES]
     marked = saved(
         labels.where(F.col(label_id_col).isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col(label_id_col).alias("_id")).agg(F.min(F.col(label_col)).cast("double").alias("label")),

@@ -1,12 +1,14 @@
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.llm import line_frequency
 from newsloom.llm.line_frequency import clean_documents, line_rules, measured, repeated_words
-from newsloom.llm.site_quality import good_documents, site_quality
+from newsloom.llm.site_quality import NAMES, good_documents, site_quality, with_measures
 
 
 def test_repeated_words_by_hand():
@@ -81,6 +83,22 @@ def test_sparse_sites_follow_their_parents(docs, spark):
     assert kept >= set(range(300)) and not kept & set(range(1000, 1300))
 
 
+def test_measures_run_through_a_text_once(odd):
+    """Measures against plain ones; the text is cut into words once, and characters are counted in what is cut out."""
+    found = with_measures(odd.select("text", "source", F.col("text").alias("kept")), before="")
+    for r in found.collect():
+        text = r.kept or ""
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+        lines = [line for line in text.split("\n") if line.strip(" ")]
+        share = lambda signs: sum(text.count(c) for c in signs) / max(len(text), 1)
+        unlike = lambda items: 1 - len(set(items)) / len(items) if items else 0.0
+        plain = [share("#*$%&|<>"), share("|"), share("!"), share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share("0123456789"), unlike(words),
+                 unlike(lines), math.log1p(len(words)), len(text) / len(words) if words else 0.0, unlike(words) * math.log1p(len(words))]
+        assert [r[name] for name in NAMES] == pytest.approx(plain)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and plan.count("split(") == 2 and "translate(coalesce" not in plan
+
+
 def test_without_labels_all_stay(docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     given = docs((1, "| | |"), (2, "fine words"))
