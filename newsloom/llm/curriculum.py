@@ -4,14 +4,15 @@ Column functions only. A source's documents, in the order of a hash, make a stre
 repeated as often as its target asks. Its weight schedule, integrated over training time, is the
 words it is asked for up to each time; inverting that gives every document's position. Streams are
 cumulated over the parts of a range sort: within a part by a window, over the parts of a source by
-another, so neither a large source, nor an id that many rows repeat, meets in one task.
+another, so neither a large source, nor an id that many rows repeat, meets in one task. The documents
+then meet their copies by row, and the copies are sorted by position: that is the training stream.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import ROW, looked_up, numbered, saved, text_or_empty, word_count
+from .common import ROW, SPACE, looked_up, numbered, saved, text_or_empty, word_count
 
 #: Weight at the begin and the end of training, relative to the mean, for each weight in turn.
 SCHEDULES = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
@@ -94,15 +95,35 @@ def assign(
     all three either may come first. A null text has no words and is not taken; a null source is a
     source; null or repeated ids are ordered by their texts. An empty table gives no rows.
     """
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    held = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("_held")  # null-free
-    rows = numbered(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
-        held, key.alias("_key"), F.xxhash64(text_or_empty(text_col)).alias("_text"),
-        *([F.struct("*").alias("doc")] if carry else []),
-    ))
-    if not carry:
-        rows = saved(rows, "sizes")  # the sort reads its input twice
+    how = {"weights": weights, "schedules": schedules, "most": most, "whole": whole}
+    if carry:
+        held = _held(docs)
+        plan = _plan(_sizes(held, source_col, id_col, text_col, "doc."), **how)
+        return held.join(plan.hint("merge"), ROW).select(*_COLUMNS, "doc")
+    return _plan(_sizes(docs, source_col, id_col, text_col, row=F.monotonically_increasing_id()), **how).select(*_COLUMNS)
+
+
+_COLUMNS = ("doc_id", "source", "size", "source_size", "target", "copies")
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """The documents as `doc`, written once with the number of the row."""
+    return saved(numbered(docs.select(F.struct("*").alias("doc"))), "documents", compression="zstd")
+
+
+def _sizes(rows: DataFrame, source_col: str, id_col: str, text_col: str, inside: str = "", row: Column | None = None) -> DataFrame:
+    """What a document's place depends on, with `row` as the number of the row."""
+    doc_id, source, text = (F.col(f"{inside}`{name}`") for name in (id_col, source_col, text_col))
+    return saved(rows.select(  # the sort reads its input twice
+        doc_id.alias("doc_id"), source.alias("source"), word_count(text).alias("size"),
+        F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("")).alias("_held"),  # null-free
+        F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))).alias("_key"), F.xxhash64(text_or_empty(text)).alias("_text"),
+        (F.col(ROW) if row is None else row).alias(ROW),
+    ), "sizes")
+
+
+def _plan(rows: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, most: int = 3, whole: bool = False) -> DataFrame:
+    """The columns of `assign`, and the number of the row, for the rows of `_sizes`."""
     order = ["_key", "_text", ROW]
     rows = saved(rows.orderBy("_held", *order).withColumn("_part", F.spark_partition_id()), "ordered")
     sums = saved(rows.groupBy("_held", "source", "_part").agg(F.sum("size").alias("_size")), "sums")
@@ -126,15 +147,38 @@ def assign(
 
     epochs = F.array(*[F.lit(e) for e in range(most)])
     copies = F.filter(F.transform(epochs, copy), lambda c: c["words"] > 0)
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), *(["doc"] if carry else []))
+    return placed.select(ROW, "doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+
+
+def _stream(held: DataFrame, plan: DataFrame, text_col: str) -> DataFrame:
+    """The copies in the order of their positions: `doc` as it was, its `text` as the mix takes it."""
+    copies = plan.select(ROW, "doc_id", "size", F.inline("copies"))
+    whole = F.col(f"doc.`{text_col}`")
+    first = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(whole, SPACE, " ")), " "), F.lit(1), F.col("words").cast("int")), " ")
+    stream = held.join(copies.hint("merge"), ROW).orderBy("position", "epoch", "doc_id")
+    return stream.withColumn("text", F.when(F.col("words") < F.col("size"), first).otherwise(whole))
+
+
+def _planned(docs: DataFrame, text_col: str, source_col: str = "source", id_col: str = "doc_id", **how) -> tuple[DataFrame, DataFrame]:
+    held = _held(docs)
+    return held, saved(_plan(_sizes(held, source_col, id_col, text_col, "doc."), **how), "plan")
 
 
 def mixed(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """The training stream: the columns of `docs`, a row for each copy the mix takes, range-sorted by
     position. A document that is cut keeps its first words, one space between them; with `whole=True`
     none is cut and every text is an input's."""
-    taken = assign(docs, text_col=text_col, carry=True, **how).select("doc", "doc_id", "size", F.inline("copies"))
-    first = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(f"doc.{text_col}", r"[\x20\x09-\x0D]+", " ")), " "), F.lit(1), F.col("words").cast("int")), " ")
-    text = F.when(F.col("words") < F.col("size"), first).otherwise(F.col(f"doc.{text_col}"))
-    columns = [text.alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
-    return taken.orderBy("position", "epoch", "doc_id").select(*columns)
+    stream = _stream(*_planned(docs, text_col, **how), text_col)
+    return stream.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+
+
+def taken(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
+    """One row per row of `docs`: doc_id, source, size, source_size, target, and what the training stream
+    of `mixed` holds of it: `taken`, the words of all its copies, and `first_position`, where the first one
+    is; null if there is none. The words are counted in the texts of the ordered stream."""
+    held, plan = _planned(docs, text_col, **how)
+    stream = _stream(held, plan, text_col).select(ROW, word_count("text").alias("words"), "position")
+    met = saved(stream, "stream").groupBy(ROW).agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
+    return plan.join(met.hint("merge"), ROW, "left").select(
+        *_COLUMNS[:-1], F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_position"
+    )

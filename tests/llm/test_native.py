@@ -8,7 +8,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm.curriculum import WEIGHTS, assign, mixed, ranked, targets
+from newsloom.llm import curriculum, queries as llm
+from newsloom.llm.curriculum import WEIGHTS, assign, mixed, ranked, taken, targets
 from newsloom.llm.label_propagation import admitted, shard
 from newsloom.llm.secret_owners import find_secrets
 
@@ -146,6 +147,29 @@ def test_last_document_is_cut(docs):
     assert words == sum(int(r.target) for r in assign(given).collect())
 
 
+def test_taken_is_what_the_stream_holds(docs, monkeypatch):
+    """Words and first positions come from the ordered stream: nulls, repeated rows and ids."""
+    rng = random.Random(4)
+    rows = [(i // 2, f"t{i // 3} " + "w " * rng.choice([0, 3, 60]), rng.choice(["a", "a", "b", "c", None])) for i in range(200)]
+    given = docs(*rows, *rows[:20], (None, None, "a"), (None, "no id", None), (5, " \t", "b"))
+    found = taken(given).collect()
+    shown = lambda r, n, at: (str(r.doc_id), str(r.source), r["size"], r.source_size, r.target, n, at)
+    planned = [shown(r, sum(c.words for c in r.copies), r.copies[0].position if r.copies else None) for r in assign(given).collect()]
+    assert sorted(map(str, planned)) == sorted(str(shown(r, r.taken, r.first_position)) for r in found)
+    words = Counter()
+    for r in mixed(given).collect():
+        words[r.doc_id] += len(r.text.split())
+    per_id = Counter()
+    for r in found:
+        per_id[r.doc_id] += r.taken
+    assert +per_id == +words
+    # the query's rows are those of the stream: without it nothing is taken
+    stream = curriculum._stream
+    monkeypatch.setattr(curriculum, "_stream", lambda *how: stream(*how).where("false"))
+    monkeypatch.setattr(llm, "documents", lambda *_: given)
+    assert {(r.taken, r.first_position) for r in llm.op9_curriculum(None, None).collect()} == {(0, None)}
+
+
 def test_whole_documents(docs):
     """No text is cut; each source's words miss its target by at most half of one document."""
     rng = random.Random(12)
