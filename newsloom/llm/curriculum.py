@@ -108,7 +108,8 @@ _COLUMNS = ("doc_id", "source", "size", "source_size", "target", "copies")
 
 def _held(docs: DataFrame) -> DataFrame:
     """The documents as `doc`, written once with the number of the row."""
-    return saved(numbered(docs.select(F.struct("*").alias("doc"))), "documents", compression="zstd")
+    rows = numbered(docs.select(F.struct("*").alias("doc")))
+    return saved(rows, "documents", **{"compression": "zstd", "parquet.compression.codec.zstd.level": "6"})
 
 
 def _sizes(rows: DataFrame, source_col: str, id_col: str, text_col: str, inside: str = "", row: Column | None = None) -> DataFrame:
@@ -117,7 +118,7 @@ def _sizes(rows: DataFrame, source_col: str, id_col: str, text_col: str, inside:
     return saved(rows.select(  # the sort reads its input twice
         doc_id.alias("doc_id"), source.alias("source"), word_count(text).alias("size"),
         F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("")).alias("_held"),  # null-free
-        F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))).alias("_key"), F.xxhash64(text_or_empty(text)).alias("_text"),
+        F.unhex(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))).alias("_key"), F.xxhash64(text_or_empty(text)).alias("_text"),
         (F.col(ROW) if row is None else row).alias(ROW),
     ), "sizes")
 
@@ -176,7 +177,8 @@ def taken(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """One row per row of `docs`: doc_id, source, size, source_size, target, and what the training stream
     of `mixed` holds of it: `taken`, the words of all its copies, and `first_position`, where the first one
     is; null if there is none. The words are counted in the texts of the ordered stream."""
-    held, plan = _planned(docs, text_col, **how)
+    needed = dict.fromkeys([how.get("id_col", "doc_id"), how.get("source_col", "source"), text_col])
+    held, plan = _planned(docs.select(*[F.col(f"`{name}`") for name in needed]), text_col, **how)
     stream = _stream(held, plan, text_col).select(ROW, word_count("text").alias("words"), "position")
     met = saved(stream, "stream").groupBy(ROW).agg(F.sum("words").alias("taken"), F.min("position").alias("first_position"))
     return plan.join(met.hint("merge"), ROW, "left").select(
