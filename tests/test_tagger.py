@@ -123,3 +123,25 @@ def test_jobs_and_stage_take_a_tagger(spark, texts):
     model = build_pipeline(news_stages(pos_words(spark), lemmas, gazetteer=gazetteer(spark), tagger=tagger)).fit(docs)
     kinds = model.transform(texts("then Zita went to Hochstadt again")).selectExpr("explode(entities.metadata) as m").selectExpr("m.entity").collect()
     assert [r.entity for r in kinds] == ["PER", "LOC"]
+
+
+def test_all_words_in_phrases_are_learned_from(spark):
+    """More words than any bound of earlier rounds; each rare type has one word."""
+    from pyspark.sql import functions as F
+
+    name = lambda start, i: F.concat(F.lit(start), i.cast("string"))
+    id = F.col("id")
+    many = spark.range(4000).select(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: name("Na", (id * 7 + i * id * 13) % 500)).alias("token"))
+    rare = spark.range(8).select(F.array(name("Rare", id)).alias("token"))
+    phrases = spark.range(500).select(name("Na", id).alias("phrase"), F.lit("PER").alias("entity_type"))
+    phrases = phrases.unionByName(spark.range(8).select(name("Rare", id).alias("phrase"), name("T", id).alias("entity_type")))
+    tagger = train_entity_tagger(many.unionByName(rare), phrases, iterations=3)
+    assert tagger.types == ["PER", *[f"T{i}" for i in range(8)]]
+
+
+def test_counted_rows_give_the_model_of_single_words(spark, texts):
+    """The loss of words counted together is that of the words one by one."""
+    tokens = tokenize(corpus(texts))
+    counted, single = (train_entity_tagger(tokens, gazetteer(spark), max_rows=n) for n in (None, 1_000_000))
+    assert counted.types == single.types and abs(counted.weights - single.weights).max() < 1e-3
+    assert abs(counted.moves - single.moves).max() == 0
