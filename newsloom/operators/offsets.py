@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +19,7 @@ from .trie import OUTSIDE
 
 SPANS = "array<struct<token:string,begin:int,end:int>>"
 _KNOWN_PIECES = 200_000
+_SLICE_BYTES = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -69,32 +71,90 @@ def _cutter(rules: TokenRules):
     return cut
 
 
+def _byte_work():
+    """Functions on the bytes of texts, which travel to the workers by value. A batch is worked on in slices of a few
+    MB, so that what is held beside its result does not grow with it."""
+    most = _SLICE_BYTES
+
+    def plain(texts):
+        return texts.cast(pa.string()).fill_null("")
+
+    def slices(texts):
+        """The (first, end) rows of slices of about as many bytes each."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        cuts = np.flatnonzero(np.diff((offsets[:-1] - offsets[0]) // most)) + 1 if len(texts) else []
+        edges = [0, *cuts, len(texts)]
+        return list(zip(edges, edges[1:]))
+
+    def content(texts):
+        """The bytes of texts, and where each of them begins."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        held = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        return held, offsets - offsets[0]
+
+    def strings(held, begins, ends):
+        """The parts of bytes between places."""
+        sizes = ends - begins
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        parts = held[np.repeat(begins - offsets[:-1], sizes) + np.arange(offsets[-1])]
+        return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(parts))
+
+    return plain, slices, content, strings
+
+
 def token_spans(df: DataFrame, text_col: str = "text", out: str = "spans", rules: TokenRules = TokenRules()) -> DataFrame:
     """Add the tokens of a text with their places; none for an empty text, null for a null one. All
     characters but white space are in exactly one token."""
-    cut, pieces, most, known = _cutter(rules), re.compile(r"\S+", re.ASCII), _KNOWN_PIECES, {}
+    cut, most, known = _cutter(rules), _KNOWN_PIECES, {}
+    plain, slices, content, strings = _byte_work()
+    blank = np.zeros(256, bool)
+    blank[list(b" \t\n\r\f\v")] = True
+
+    def cuts_of(piece):
+        """(begin, end) of a piece's tokens in characters and in bytes."""
+        found = known.get(piece)
+        if found is None:
+            if len(known) >= most:
+                known.clear()
+            found = cut(piece)
+            byte = (lambda i: i) if piece.isascii() else (lambda i: len(piece[:i].encode()))
+            found = known[piece] = [(begin, end, byte(begin), byte(end)) for begin, end in found]
+        return found
+
+    def cut_up(texts):
+        """The tokens of a slice, their begins and ends, and their number in each text."""
+        held, rows = content(texts)
+        inside = ~blank[held]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        edges = rows[(rows > 0) & (rows < len(held))]  # a text's first byte begins a piece, its last one ends it
+        first[edges], last[edges - 1] = inside[edges], inside[edges - 1]
+        starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+        chars = np.concatenate([[0], np.cumsum((held & 0xC0) != 0x80)])
+        row = np.searchsorted(rows, starts, "right") - 1
+        coded = strings(held, starts, stops).dictionary_encode()
+        cuts = [cuts_of(piece) for piece in coded.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        flat = np.fromiter((x for found in cuts for one in found for x in one), np.int64).reshape(-1, 4)
+        at = coded.indices.to_numpy().astype(np.int64)
+        size = sizes[at]
+        ahead = np.cumsum(size) - size
+        which = np.repeat((np.cumsum(sizes) - sizes)[at] - ahead, size) + np.arange(size.sum())
+        places = np.repeat(chars[starts] - chars[rows[row]], size)
+        start = np.repeat(starts, size)
+        tokens = strings(held, start + flat[which, 2], start + flat[which, 3])
+        begins, ends = ((places + flat[which, k]).astype(np.int32) for k in (0, 1))
+        return pa.StructArray.from_arrays([tokens, pa.array(begins), pa.array(ends)], ["token", "begin", "end"]), \
+            np.bincount(row, size, len(texts)).astype(np.int64)
 
     @F.arrow_udf(SPANS)
     def spans(texts: pa.Array) -> pa.Array:
-        tokens, begins, ends, offsets = [], [], [], [0]
-        for text in texts.to_pylist():
-            for found in pieces.finditer(text or ""):
-                piece, start = found.group(), found.start()
-                cuts = known.get(piece)
-                if cuts is None:
-                    if len(known) >= most:
-                        known.clear()
-                    cuts = known[piece] = cut(piece)
-                for begin, end in cuts:
-                    tokens.append(piece[begin:end])
-                    begins.append(start + begin)
-                    ends.append(start + end)
-            offsets.append(len(tokens))
-        struct = pa.StructArray.from_arrays(
-            [pa.array(tokens, pa.string()), pa.array(begins, pa.int32()), pa.array(ends, pa.int32())], ["token", "begin", "end"]
-        )
+        whole = plain(texts)
+        done = [cut_up(whole.slice(first, end - first)) for first, end in slices(whole)]
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([counts for _, counts in done]))])
         missing = texts.is_null() if texts.null_count else None
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct, mask=missing)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.concat_arrays([found for found, _ in done]), mask=missing)
 
     return settle(df.withColumn(out, spans(F.col(text_col))), out, F.col(out))
 
@@ -133,12 +193,43 @@ def texts_at(df: DataFrame, text_col: str, begins_col: str, ends_col: str, out:
     """Add the parts of a text between two arrays of places, in characters. A place is found without counting
     the characters before it, so the work grows with the parts and the text, not with their product."""
 
-    @F.arrow_udf("array<string>")
-    def parts(texts: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
+    plain, slices, content, strings = _byte_work()
+
+    def inner(lists):
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        return lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
+
+    def cut(texts, begins, ends):
+        """The parts of a slice's texts; None where a null, or a place that is none of the text, is in it."""
+        if texts.null_count or begins.null_count or ends.null_count:
+            return None
+        (begin, offsets), (end, others) = inner(begins), inner(ends)
+        if begin.null_count or end.null_count or not np.array_equal(offsets, others):
+            return None
+        held, rows = content(plain(texts))
+        chars = np.append(np.flatnonzero((held & 0xC0) != 0x80), len(held))  # where each character begins
+        row = np.searchsorted(chars, rows)
+        sizes = np.diff(offsets)
+        begin, end = begin.to_numpy().astype(np.int64), end.to_numpy().astype(np.int64)
+        if (begin < 0).any() or (end < begin).any() or (end > np.repeat(np.diff(row), sizes)).any():
+            return None
+        ahead = np.repeat(row[:-1], sizes)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), strings(held, chars[ahead + begin], chars[ahead + end]))
+
+    def one_by_one(texts, begins, ends):
         found = [
             None if text is None or begin is None or end is None else [text[b:e] for b, e in zip(begin, end)]
             for text, begin, end in zip(texts.to_pylist(), begins.to_pylist(), ends.to_pylist())
         ]
         return pa.array(found, pa.list_(pa.string()))
 
+    @F.arrow_udf("array<string>")
+    def parts(texts: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
+        found = []
+        for first, end in slices(plain(texts)):
+            some = [column.slice(first, end - first) for column in (texts, begins, ends)]
+            done = cut(*some)
+            found.append(one_by_one(*some) if done is None else done)
+        return pa.concat_arrays(found)
+
     return settle(df.withColumn(out, parts(text_col, begins_col, ends_col)), out, F.col(out))

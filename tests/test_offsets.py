@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -45,3 +47,43 @@ def test_chunks_have_spans(spark, texts):
 
     (row,) = chunk_spans(df.withColumn("ner", F.array(*map(F.lit, tags)))).collect()
     assert [tuple(c) for c in row.chunks] == [("New  York", "LOC", 3, 12), ("Paris", "LOC", 14, 19), ("Anna", "PER", 24, 28)]
+
+
+def test_slices_of_a_batch(spark, monkeypatch):
+    """However a batch is sliced, and whatever stands at the edges of its texts, the tokens are the same."""
+    from newsloom.operators import offsets, texts_at
+    from pyspark.sql import functions as F
+
+    rows = ["ab", "cd ", " ef", "", None, "🙂x, (é)", "\u00a0y\u2003z", " \t\n ", "中文... b", "end."] * 3
+    want = [None if t is None else [(t[b + at.start():e + at.start()], b + at.start(), e + at.start())
+            for at in re.compile(r"\S+", re.ASCII).finditer(t) for b, e in _cutter(TokenRules())(at.group())] for t in rows]
+    for size in (1, 7, 1 << 20):
+        monkeypatch.setattr(offsets, "_SLICE_BYTES", size)
+        df = token_spans(spark.createDataFrame(list(enumerate(rows)), "id int, text string").coalesce(1))
+        found = {r.id: r.spans for r in df.collect()}
+        assert [found[i] and [tuple(s) for s in found[i]] if found[i] else found[i] for i in range(len(rows))] == want
+        there = texts_at(df.withColumns({"b": F.col("spans.begin"), "e": F.col("spans.end")}), "text", "b", "e", "there")
+        assert all(r.there == (r.spans and [s.token for s in r.spans]) if r.spans else r.there == r.spans for r in there.collect())
+    odd = spark.createDataFrame([("héllo", [-2, 3, 1, None, 4], [5, 1, 99, 2, None]), ("ab", [0], None), (None, [0], [1])], "text string, b array<int>, e array<int>")
+    assert [r.there for r in texts_at(odd.coalesce(1), "text", "b", "e", "there").collect()] == [["lo", "", "éllo", "hé", "o"], None, None]
+
+
+def test_memory_of_a_batch_follows_its_result(spark, monkeypatch):
+    """What is held beside the result of a batch of 5 MB of text is of a slice, not of all its tokens."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from newsloom.operators import offsets
+
+    made = {}
+    monkeypatch.setattr(offsets, "_SLICE_BYTES", 1 << 18, raising=False)
+    monkeypatch.setattr(offsets.F, "arrow_udf", lambda kind: lambda f: made.update(f=f) or (lambda *c: None))
+    monkeypatch.setattr(offsets, "settle", lambda df, *a: df)
+    token_spans(type("Table", (), {"withColumn": lambda self, *a: self})(), "text")
+    texts = pa.array(["The (quick) brown fox, it ran " * 100] * 1700)
+    tracemalloc.start()
+    found = made["f"](texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found.values) == 1700 * 900 and peak < 70e6, peak
