@@ -8,10 +8,12 @@ first one after the token, so that `substring(text, begin + 1, end - begin)` is
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import settle
@@ -20,6 +22,7 @@ from .trie import OUTSIDE
 SPANS = "array<struct<token:string,begin:int,end:int>>"
 _KNOWN_PIECES = 200_000
 _SLICE_BYTES = 1 << 21
+_BLOCK_BITS = 6  # a text is cut into blocks of 64 characters
 
 
 @dataclass(frozen=True)
@@ -72,8 +75,8 @@ def _cutter(rules: TokenRules):
 
 
 def _byte_work():
-    """Functions on the bytes of texts, which travel to the workers by value. A batch is worked on in slices of a few
-    MB, so that what is held beside its result does not grow with it."""
+    """Functions on the bytes of texts, which travel to the workers by value. A batch is worked on, and handed back, in
+    slices of a few MB, so that what is held does not grow with it."""
     most = _SLICE_BYTES
 
     def plain(texts):
@@ -149,12 +152,13 @@ def token_spans(df: DataFrame, text_col: str = "text", out: str = "spans", rules
             np.bincount(row, size, len(texts)).astype(np.int64)
 
     @F.arrow_udf(SPANS)
-    def spans(texts: pa.Array) -> pa.Array:
-        whole = plain(texts)
-        done = [cut_up(whole.slice(first, end - first)) for first, end in slices(whole)]
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate([counts for _, counts in done]))])
-        missing = texts.is_null() if texts.null_count else None
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.concat_arrays([found for found, _ in done]), mask=missing)
+    def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for first, end in slices(texts):
+                some = texts.slice(first, end - first)
+                found, counts = cut_up(plain(some))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                yield pa.ListArray.from_arrays(offsets, found, mask=pc.is_null(some) if some.null_count else None)
 
     return settle(df.withColumn(out, spans(F.col(text_col))), out, F.col(out))
 
@@ -190,46 +194,27 @@ def chunk_spans(df: DataFrame, spans_col: str = "spans", tags_col: str = "ner",
 
 
 def texts_at(df: DataFrame, text_col: str, begins_col: str, ends_col: str, out: str) -> DataFrame:
-    """Add the parts of a text between two arrays of places, in characters. A place is found without counting
-    the characters before it, so the work grows with the parts and the text, not with their product."""
-
-    plain, slices, content, strings = _byte_work()
-
-    def inner(lists):
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        return lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
-
-    def cut(texts, begins, ends):
-        """The parts of a slice's texts; None where a null, or a place that is none of the text, is in it."""
-        if texts.null_count or begins.null_count or ends.null_count:
-            return None
-        (begin, offsets), (end, others) = inner(begins), inner(ends)
-        if begin.null_count or end.null_count or not np.array_equal(offsets, others):
-            return None
-        held, rows = content(plain(texts))
-        chars = np.append(np.flatnonzero((held & 0xC0) != 0x80), len(held))  # where each character begins
-        row = np.searchsorted(chars, rows)
-        sizes = np.diff(offsets)
-        begin, end = begin.to_numpy().astype(np.int64), end.to_numpy().astype(np.int64)
-        if (begin < 0).any() or (end < begin).any() or (end > np.repeat(np.diff(row), sizes)).any():
-            return None
-        ahead = np.repeat(row[:-1], sizes)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), strings(held, chars[ahead + begin], chars[ahead + end]))
-
-    def one_by_one(texts, begins, ends):
-        found = [
-            None if text is None or begin is None or end is None else [text[b:e] for b, e in zip(begin, end)]
-            for text, begin, end in zip(texts.to_pylist(), begins.to_pylist(), ends.to_pylist())
-        ]
-        return pa.array(found, pa.list_(pa.string()))
-
-    @F.arrow_udf("array<string>")
-    def parts(texts: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
-        found = []
-        for first, end in slices(plain(texts)):
-            some = [column.slice(first, end - first) for column in (texts, begins, ends)]
-            done = cut(*some)
-            found.append(one_by_one(*some) if done is None else done)
-        return pa.concat_arrays(found)
-
-    return settle(df.withColumn(out, parts(text_col, begins_col, ends_col)), out, F.col(out))
+    """Add the parts of a text between two arrays of places, in characters; places count as in Python's slices. The text
+    is cut into blocks once, and a part is taken from the blocks that it touches, so the work grows with the parts
+    and the text, not with their product. Rows stay where they are: their other columns may be much larger."""
+    whole = F.col(text_col).isNotNull() & F.col(begins_col).isNotNull() & F.col(ends_col).isNotNull()
+    cut = settle(df, "_blocks", F.regexp_extract_all(text_col, F.lit(f"(?s).{{1,{1 << _BLOCK_BITS}}}"), F.lit(0)))
+    cut = settle(cut, "_length", F.length(text_col))
+    length = F.col("_length")
+
+    def place(at: Column, none: Column) -> Column:
+        at = F.coalesce(at, none)
+        return F.least(F.when(at < 0, F.greatest(at + length, F.lit(0))).otherwise(at), length)
+
+    def part(span: Column) -> Column:
+        first, last = F.shiftright(span["begin"], _BLOCK_BITS), F.shiftright(span["end"] - 1, _BLOCK_BITS)
+        over = F.array_join(F.slice("_blocks", first + 1, last - first + 1), "")
+        held = F.when(first == last, F.get("_blocks", first)).otherwise(over)
+        there = F.substring(held, span["begin"] - F.shiftleft(first, _BLOCK_BITS) + 1, span["end"] - span["begin"])
+        return F.when(span["end"] > span["begin"], there).otherwise("")
+
+    both = F.slice(begins_col, F.lit(1), F.least(F.size(begins_col), F.size(ends_col)))
+    spans = F.transform(both, lambda begin, i: F.struct(
+        place(begin, F.lit(0)).alias("begin"), place(F.get(ends_col, i), length).alias("end")))
+    cut = settle(cut, "_spans_at", F.when(whole, spans))
+    return settle(cut, out, F.transform("_spans_at", part)).drop("_blocks", "_length", "_spans_at")

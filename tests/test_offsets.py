@@ -68,8 +68,8 @@ def test_slices_of_a_batch(spark, monkeypatch):
     assert [r.there for r in texts_at(odd.coalesce(1), "text", "b", "e", "there").collect()] == [["lo", "", "éllo", "hé", "o"], None, None]
 
 
-def test_memory_of_a_batch_follows_its_result(spark, monkeypatch):
-    """What is held beside the result of a batch of 5 MB of text is of a slice, not of all its tokens."""
+def test_a_batch_is_handed_back_in_slices(spark, monkeypatch):
+    """What is held of a batch of 5 MB of text is of a slice, not of all its tokens."""
     import tracemalloc
 
     import pyarrow as pa
@@ -83,7 +83,7 @@ def test_memory_of_a_batch_follows_its_result(spark, monkeypatch):
     token_spans(type("Table", (), {"withColumn": lambda self, *a: self})(), "text")
     texts = pa.array(["The (quick) brown fox, it ran " * 100] * 1700)
     tracemalloc.start()
-    found = made["f"](texts)
+    sizes = [len(found.values) for found in made["f"](iter([texts]))]
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert len(found.values) == 1700 * 900 and peak < 70e6, peak
+    assert sum(sizes) == 1700 * 900 and max(sizes) < 100_000 and peak < 70e6
